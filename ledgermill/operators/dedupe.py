@@ -26,7 +26,7 @@ def newest_first(columns: Sequence[str], arrival_wins: bool = False) -> list[Col
     """
     written = [F.col("write_date").desc_nulls_last()] if "write_date" in columns else []
     arrived = [F.col("_batch").desc_nulls_last()] if "_batch" in columns else []
-    content = [F.xxhash64(*[c for c in columns if not c.startswith("_")]).desc()]
+    content = [F.xxhash64(*[c for c in columns if not c.startswith(("_", "id_"))]).desc()]
     return (arrived + written if arrival_wins else written + arrived) + content
 
 

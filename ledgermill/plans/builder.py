@@ -32,7 +32,7 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size of a plan after column pruning: what Spark compares with the broadcast limit."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _label(ref: str) -> str:

@@ -41,7 +41,7 @@ def stream_upsert(
     def apply(batch: DataFrame, number: int) -> None:
         raw = batch.withColumn("_batch", F.coalesce(BATCH, F.lit(number))).drop(BATCH)
         rows = clean(raw, spec, keep=("_batch",)).where(domain_filter(spec.domain))
-        upsert(store, spec, rows, arrival_wins=arrival_wins)
+        upsert(TableStore(batch.sparkSession, store.root), spec, rows, arrival_wins=arrival_wins)
 
     writer = records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
