@@ -6,6 +6,7 @@ left join and an inner join differ at every scale; negative ids never meet a rea
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import datetime
 
@@ -264,7 +265,9 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+@functools.cache
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A test table; the plan is kept, so that its schema is read from the file once per session."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -8,7 +8,7 @@ HEADER_KEY = "CASE WHEN o_orderkey % 50 = 0 THEN -1 - o_orderkey ELSE o_orderkey
 
 # Lookups under their output names; a column that only serves a join ends in _k and is left out at the end.
 ITEM = "item AS (SELECT p_partkey AS item_k, CASE WHEN p_partkey % 13 <> 0 THEN p_partkey END AS item_tmpl_k FROM part)"
-TMPL = "tmpl AS (SELECT p_partkey AS tmpl_k, p_name AS product_name, p_size % 7 AS product_categ_id FROM part)"
+TMPL = "tmpl AS (SELECT p_partkey AS tmpl_k, p_name AS product_name, (p_size % 7)::BIGINT AS product_categ_id FROM part)"
 CATEG = "categ AS (SELECT r_regionkey AS categ_k, r_name AS product_category FROM region)"
 PRODUCT_TABLES = f"{ITEM}, {TMPL}, {CATEG}"
 PRODUCT_JOINS = """
@@ -144,7 +144,7 @@ STALE = """UNION ALL SELECT -1000000000000 - o_orderkey, NULL, o_orderstatus, o_
 ORACLE_SQL: dict[str, str] = {
     # business views
     "bi_ventas": f"""
-WITH {partner(''', c_mktsegment AS partner_city, c_nationkey AS partner_country_id,
+WITH {partner(''', c_mktsegment AS partner_city, c_nationkey::BIGINT AS partner_country_id,
         CASE WHEN c_mktsegment = 'BUILDING' THEN true END AS is_company''')}, {PRODUCT_TABLES},
 hdr AS (SELECT {ORDER_COLUMNS}, o_orderdate + INTERVAL 7 DAY AS commitment_date, o_totalprice * 0.8 AS order_untaxed,
     o_totalprice * 0.2 AS order_tax, o_totalprice AS order_total, o_orderkey % 120 - 10 AS salesperson_id,
@@ -159,7 +159,7 @@ SELECT line.* EXCLUDE (line_k), hdr.* EXCLUDE (partner_k), partner.*, product_na
 FROM line JOIN hdr ON order_id = line_k LEFT JOIN partner ON partner_id = partner_k {PRODUCT_JOINS}
     LEFT JOIN supplier ON s_suppkey = salesperson_id""",
     "bi_compras": f"""
-WITH {partner(', c_nationkey AS partner_country_id')}, {PRODUCT_TABLES},
+WITH {partner(', c_nationkey::BIGINT AS partner_country_id')}, {PRODUCT_TABLES},
 hdr AS (SELECT {ORDER_COLUMNS}, o_orderdate + INTERVAL 2 DAY AS date_approve, o_totalprice * 0.8 AS order_untaxed,
     o_totalprice AS order_total, o_orderkey % 120 - 10 AS buyer_id, o_orderkey % 3 AS company_id,
     o_orderkey % 4 AS currency_id, o_orderpriority AS invoice_status FROM orders),
@@ -170,7 +170,7 @@ line AS (SELECT l_orderkey AS line_k, l_orderkey * 8 + l_linenumber AS line_id,
 SELECT line.* EXCLUDE (line_k), hdr.* EXCLUDE (partner_k), partner.*, product_name, product_category
 FROM line JOIN hdr ON order_id = line_k LEFT JOIN partner ON partner_id = partner_k {PRODUCT_JOINS}""",
     "bi_facturas": f"""
-WITH {partner(', c_nationkey AS partner_country_id')}, {nation('journal', 'n_nationkey AS journal_k, n_name AS journal_name')},
+WITH {partner(', c_nationkey::BIGINT AS partner_country_id')}, {nation('journal', 'n_nationkey AS journal_k, n_name AS journal_name')},
 kinds(kind_k, move_type, move_type_label) AS (VALUES (0, 'out_invoice', 'Factura Cliente'),
     (1, 'out_refund', 'Nota Crédito Cliente'), (2, 'in_invoice', 'Factura Proveedor'),
     (3, 'in_refund', 'Nota Crédito Proveedor'), (4, 'entry', 'Asiento Contable'), (5, 'receipt', 'receipt')),
@@ -186,18 +186,18 @@ SELECT inv.* EXCLUDE (partner_k), partner.*, journal_name, move_type, move_type_
 FROM inv LEFT JOIN partner ON partner_id = partner_k LEFT JOIN journal ON journal_k = journal_id
     LEFT JOIN kinds ON kind_k = id % 7""",
     "bi_apuntes_contables": f"""
-WITH {partner()}, {nation('account', '''n_nationkey AS account_id, 'A' || n_nationkey AS account_code,
+WITH {partner()}, {nation('account', '''n_nationkey::BIGINT AS account_id, 'A' || n_nationkey AS account_code,
     n_name AS account_name, 'type' || n_regionkey AS account_type''')}
 SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS move_id, 'INV' || l_orderkey AS move_name, l_shipdate AS date,
     l_shipdate + INTERVAL 30 DAY AS date_maturity, account.*, partner.*, {PRODUCT_KEY} AS product_id,
     l_extendedprice AS debit, l_quantity AS credit, l_extendedprice - l_quantity AS balance,
     l_extendedprice * 1.5 AS amount_currency, l_extendedprice * l_discount AS amount_residual,
-    l_linenumber AS journal_id, l_orderkey % 3 AS company_id, l_orderkey % 4 AS currency_id,
+    l_linenumber::BIGINT AS journal_id, l_orderkey % 3 AS company_id, l_orderkey % 4 AS currency_id,
     l_linestatus AS parent_state
 FROM lineitem LEFT JOIN account ON account_id = l_suppkey % 30
     LEFT JOIN partner ON partner_id = l_suppkey AND l_suppkey % 4 <> 0""",
     "bi_crm": f"""
-WITH {partner()}, {nation('stage', '''n_nationkey AS stage_id, n_name AS stage_name,
+WITH {partner()}, {nation('stage', '''n_nationkey::BIGINT AS stage_id, n_name AS stage_name,
     CASE WHEN n_regionkey = 0 THEN true END AS is_won''')}
 SELECT event_id AS id, event_type AS name, CASE WHEN event_id % 2 = 0 THEN 'lead' ELSE 'opportunity' END AS type,
     CASE WHEN event_id % 5 <> 0 THEN true END AS active, stage.*, partner.*, value AS expected_revenue,
@@ -231,7 +231,7 @@ SELECT pay.* EXCLUDE (partner_k), partner.*, journal_name, payment_type, payment
 FROM pay LEFT JOIN partner ON partner_id = partner_k LEFT JOIN journal ON journal_k = journal_id
     LEFT JOIN kinds ON kind_k = id % 4""",
     "bi_pos_ventas": f"""
-WITH {partner()}, {PRODUCT_TABLES}, {nation('till', 'n_nationkey AS config_id, n_name AS pos_name')},
+WITH {partner()}, {PRODUCT_TABLES}, {nation('till', 'n_nationkey::BIGINT AS config_id, n_name AS pos_name')},
 hdr AS (SELECT {ORDER_COLUMNS}, 'R' || o_orderkey AS pos_reference, o_orderkey % 6 AS session_id,
     o_orderkey % 30 AS till_k, o_totalprice AS order_total, o_totalprice * 0.2 AS order_tax,
     o_totalprice + 5 AS order_paid, o_totalprice - 5 AS order_return, o_orderkey % 120 - 10 AS user_id,
@@ -248,7 +248,7 @@ FROM line JOIN hdr ON order_id = line_k LEFT JOIN region ON r_regionkey = sessio
     LEFT JOIN till ON config_id = till_k LEFT JOIN partner ON partner_id = partner_k {PRODUCT_JOINS}
     LEFT JOIN supplier ON s_suppkey = user_id""",
     "bi_pos_pagos": f"""
-WITH {partner()}, {nation('method', '''n_nationkey AS payment_method_id, n_name AS payment_method_name,
+WITH {partner()}, {nation('method', '''n_nationkey::BIGINT AS payment_method_id, n_name AS payment_method_name,
     CASE WHEN n_regionkey = 1 THEN true END AS is_cash_count''')}
 SELECT o_orderkey AS id, o_orderkey AS pos_order_id, 'S' || o_orderkey AS order_name, o_orderdate AS date_order,
     o_totalprice AS amount, o_orderdate + INTERVAL 3 DAY AS payment_date, method.*, o_orderkey % 6 AS session_id,
@@ -259,7 +259,7 @@ FROM orders LEFT JOIN method ON payment_method_id = o_orderkey % 30
     LEFT JOIN partner ON partner_id = {PARTNER_KEY}
 WHERE {HEADER_KEY} = o_orderkey""",
     "bi_pos_sesiones": f"""
-WITH {nation('till', 'n_nationkey AS config_id, n_name AS pos_name')}
+WITH {nation('till', 'n_nationkey::BIGINT AS config_id, n_name AS pos_name')}
 SELECT o_orderkey AS id, 'POS' || o_orderkey AS name, o_orderstatus AS state, o_orderdate AS start_at,
     CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate + to_seconds(o_orderkey % 100000) END AS stop_at,
     CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey % 100000 END AS duration, till.*, s_suppkey AS user_id,
@@ -414,7 +414,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "sync_runs_logged": f"""
 WITH {CLEAN}, {SECOND}, extra AS ({AFTER_MARK}),
 mark AS (SELECT max(write_date) AS first_mark, (SELECT max(write_date) FROM extra) AS second_mark FROM clean)
-SELECT 'sale.order' AS model_name, 'success' AS status, (SELECT count(*) FROM clean) AS records_synced, 0 AS last_batch,
+SELECT 'sale.order' AS model_name, 'success' AS status, (SELECT count(*) FROM clean) AS records_synced, 0::BIGINT AS last_batch,
     first_mark AS mark, (SELECT count(*) FROM clean WHERE unreadable <> '') AS bad_values FROM mark
 UNION ALL SELECT 'sale.order', 'success', (SELECT count(*) FROM extra), 1, second_mark, 0 FROM mark""",
     "full_refresh": loaded("SELECT * FROM second") + "\n" + STALE,

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.session import local_frame
+
 
 def source_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("records"))
@@ -21,7 +23,7 @@ def table_counts(spark: SparkSession, tables: dict[str, DataFrame | None]) -> Da
     ]
     absent = [(name, None) for name, df in tables.items() if df is None]
     if absent or not parts:
-        parts.append(spark.createDataFrame(absent, "pg_table string, row_count bigint"))
+        parts.append(local_frame(spark, absent, "pg_table string, row_count bigint"))
     return reduce(DataFrame.unionByName, parts)
 
 

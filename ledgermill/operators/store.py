@@ -9,13 +9,14 @@ where a hash would spread every batch over all of them.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.session import path_exists
+from ledgermill.session import local_frame, path_exists
 from ledgermill.specs import TableSpec
 
 ABOUT_SCHEMA = "change int, version int, columns string, bucket_width bigint, slice_width bigint"
@@ -49,12 +50,12 @@ class TableStore:
         row = self.spark.read.schema(ABOUT_SCHEMA).json(about).orderBy(F.desc("change")).first()
         if row is None:
             return None
-        return TableInfo(row.change, row.version, T._parse_datatype_json_string(row.columns), row.bucket_width,
+        return TableInfo(row.change, row.version, T.StructType.fromJson(json.loads(row.columns)), row.bucket_width,
                          row.slice_width)
 
     def describe(self, name: str, info: TableInfo) -> None:
         line = [(info.change, info.version, info.schema.json(), info.bucket_width, info.slice_width)]
-        self.spark.createDataFrame(line, ABOUT_SCHEMA).coalesce(1).write.mode("append").json(
+        local_frame(self.spark, line, ABOUT_SCHEMA).coalesce(1).write.mode("append").json(
             f"{self.root}/{name}/_about"
         )
 
@@ -78,12 +79,12 @@ class TableStore:
             return self.read_buckets(name, info).drop("id_bucket")
         if isinstance(spec, str):
             raise ValueError(f"table {name} does not exist")
-        return self.spark.createDataFrame([], spec.schema())
+        return local_frame(self.spark, [], spec.schema())
 
     def columns(self, spec: TableSpec | str) -> DataFrame:
         """Column names and types in order."""
         rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(self.read(spec).schema.fields)]
-        return self.spark.createDataFrame(rows, "ordinal int, column_name string, data_type string")
+        return local_frame(self.spark, rows, "ordinal int, column_name string, data_type string")
 
 
 def widened(old: T.StructType, new: T.StructType) -> T.StructType:

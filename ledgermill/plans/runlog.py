@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators.dedupe import latest_per_key
-from ledgermill.session import path_exists
+from ledgermill.session import local_frame, path_exists
 
 RUN_SCHEMA = (
     "run_id string, model_name string, pg_table string, started_at timestamp_ntz, last_sync timestamp_ntz, "
@@ -85,12 +85,12 @@ class RunLog:
     def append(self, runs: Iterable[Run]) -> None:
         rows = [astuple(r) for r in runs]
         if rows:
-            self.spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            local_frame(self.spark, rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def runs(self) -> DataFrame:
         if path_exists(self.spark, self.path):
             return self.spark.read.schema(RUN_SCHEMA).parquet(self.path)
-        return self.spark.createDataFrame([], RUN_SCHEMA)
+        return local_frame(self.spark, [], RUN_SCHEMA)
 
     def progress(self, reference_watermark: bool = False) -> dict[str, Progress]:
         """Every model's progress; one row per model reaches the driver."""

@@ -9,6 +9,7 @@ from importlib import resources
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.session import local_frame
 from ledgermill.specs import TableSpec
 
 REGISTRY_SCHEMA = (
@@ -41,7 +42,7 @@ def registry_frame(spark: SparkSession, specs: Iterable[TableSpec]) -> DataFrame
     rows = [
         (i, s.model, s.name, s.priority, s.enabled, s.incremental, list(s.fields)) for i, s in enumerate(specs)
     ]
-    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+    return local_frame(spark, rows, REGISTRY_SCHEMA)
 
 
 def enabled(registry: DataFrame) -> DataFrame:

@@ -5,8 +5,12 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,6 +58,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few driver rows as a DataFrame. By way of Arrow they become a local table, with no Python task behind it."""
+    schema = spark_schema(schema)
+    records = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)
+
+
+def spark_schema(schema: str | T.StructType) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 class Staged:
     """A DataFrame written to the scratch folder and read back: the lineage ends at shared files.
 

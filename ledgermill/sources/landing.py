@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.functions.cleaning import clean, raw_schema
-from ledgermill.session import hadoop_path, path_exists
+from ledgermill.session import hadoop_path, local_frame, path_exists
 from ledgermill.specs import TableSpec
 
 BATCH = "landed_batch"
@@ -84,9 +84,7 @@ class Landing:
     def field_catalogue(self, spec: TableSpec) -> DataFrame:
         """Per field of the records, sorted by name: the declared type (``?`` if none) and the types that were seen."""
         declared = {f.name: f.dataType.simpleString() for f in spec.with_keys().schema().fields}
-        kinds = self.spark.createDataFrame(
-            list(declared.items()) or [("", "")], "field string, declared string"
-        ).where("field <> ''")
+        kinds = local_frame(self.spark, declared.items(), "field string, declared string")
         values = self.spark.read.text(self.path(spec)).select(F.try_parse_json("value").alias("v"))
         seen = values.lateralJoin(
             self.spark.tvf.variant_explode(F.col("v").outer()).select(
@@ -113,4 +111,4 @@ def missing_sources(registry: DataFrame, available: DataFrame) -> DataFrame:
 
 def available_sources(landing: Landing, specs: Iterable[TableSpec]) -> DataFrame:
     rows = [(s.model,) for s in specs if landing.exists(s)]
-    return landing.spark.createDataFrame(rows, "model_name string")
+    return local_frame(landing.spark, rows, "model_name string")
