@@ -346,13 +346,15 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log line per event, 1,000 to a file; every 50th line continues the one before it."""
+    """A log line per event, in files of 5,000 lines read in blocks of 500; every 50th line continues the one above."""
     return source(spark, sf_dir, "events").selectExpr(
         "event_id",
-        "event_id div 1000 AS file_no",
+        "event_id div 5000 AS file",
+        "event_id div 500 AS block",
+        "event_id AS seq",
         "CASE WHEN event_id % 50 = 0 THEN concat('  File \"load.py\", line ', event_id) ELSE concat("
         "date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ',', lpad(CAST(event_id % 1000 AS STRING), 3, '0'), ' [',"
         "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END, '] etl.', event_type,"
         "': ', CASE event_type WHEN 'purchase' THEN '✓ ' WHEN 'view' THEN 'SUCCESS ' ELSE '' END, 'user ', user_id)"
-        " END AS value",
+        " END AS line",
     )

@@ -72,7 +72,7 @@ def grouped(value: str) -> str:
 
 
 LOG = """log AS (
-    SELECT event_id, event_id // 1000 AS file_no, event_id % 50 <> 0 AS is_event,
+    SELECT event_id, event_id // 5000 AS file, event_id % 50 <> 0 AS is_event,
            CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END AS own_level,
            'etl.' || event_type AS own_logger,
            date_trunc('second', ts) + to_milliseconds(event_id % 1000) AS own_time,
@@ -354,15 +354,15 @@ WITH {LOG}, kept AS (
         last_value(CASE WHEN is_event THEN own_time END IGNORE NULLS) OVER w AS logged_at,
         last_value(CASE WHEN is_event THEN own_level END IGNORE NULLS) OVER w AS level,
         last_value(CASE WHEN is_event THEN own_logger END IGNORE NULLS) OVER w AS logger
-    FROM log_lines WINDOW w AS (PARTITION BY file_no ORDER BY event_id))
-SELECT file_no, line_no, logged_at, level, logger, CASE WHEN is_event THEN said ELSE trace END AS message FROM kept""",
+    FROM log_lines WINDOW w AS (PARTITION BY file ORDER BY event_id))
+SELECT file, line_no, logged_at, level, logger, CASE WHEN is_event THEN said ELSE trace END AS message FROM kept""",
     "log_severity": f"""
 WITH {LOG} SELECT event_id, CASE WHEN NOT is_event THEN NULL WHEN own_level = 'ERROR' THEN 'error'
     WHEN own_level = 'WARNING' THEN 'warning' WHEN own_logger IN ('etl.purchase', 'etl.view') THEN 'success' END AS severity
 FROM log""",
     "log_search": f"""
 WITH {LOG} SELECT event_id, line FROM log_lines WHERE own_logger = 'etl.purchase' AND is_event""",
-    "log_tail": f"WITH {LOG} SELECT file_no, line FROM log_lines ORDER BY event_id DESC LIMIT 500",
+    "log_tail": f"WITH {LOG} SELECT file, line FROM log_lines ORDER BY event_id DESC LIMIT 500",
     # reading and cleaning
     "project_fields": f"WITH {CLEAN} SELECT id, state, amount_total, write_date FROM clean",
     "clean_false_null": f"WITH {CLEAN} SELECT id, name, active, amount_total FROM clean",

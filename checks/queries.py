@@ -47,7 +47,7 @@ from ledgermill.plans.views import BUSINESS_VIEWS, SALES, STOCK
 from ledgermill.registry import enabled, named, registry_counts
 from ledgermill.session import scratch_path
 from ledgermill.sources.landing import Landing, missing_sources
-from ledgermill.sources.logs import log_tail, parse_lines, read_lines
+from ledgermill.sources.logs import log_tail, parse_lines
 from ledgermill.specs import Join, TableSpec, ViewSpec
 from ledgermill.streaming.upsert_stream import stream_upsert
 
@@ -288,41 +288,24 @@ def preview_text_(spark, sf_dir):
 # --- logs -----------------------------------------------------------------------------------------------------------
 
 
-def _log_lines(spark, sf_dir):
-    """Write the log files and read them back line by line."""
-    folder = scratch_path(spark, "logs")
-    events = log_events(spark, sf_dir).withColumn("file_no", F.lpad(F.col("file_no").cast("string"), 12, "0"))
-    ordered = events.repartition("file_no").sortWithinPartitions("file_no", "event_id")
-    ordered.select("value", "file_no").write.partitionBy("file_no").text(folder)
-    return read_lines(spark, folder)
-
-
-def _file_no():
-    return F.regexp_extract("file", r"file_no=(\d+)", 1).cast("bigint").alias("file_no")
-
-
 @query
 def log_parse(spark, sf_dir):
-    parsed = parse_lines(_log_lines(spark, sf_dir))
-    return parsed.select(_file_no(), "line_no", "logged_at", "level", "logger", "message")
+    return parse_lines(log_events(spark, sf_dir))
 
 
 @query
 def log_severity_(spark, sf_dir):
-    return log_events(spark, sf_dir).select("event_id", log_severity(F.col("value")).alias("severity"))
-
+    return log_events(spark, sf_dir).select("event_id", log_severity(F.col("line")).alias("severity"))
 
 
 @query
 def log_search(spark, sf_dir):
-    found = log_events(spark, sf_dir).where(contains_text("PurChase", "value"))
-    return found.select("event_id", F.col("value").alias("line"))
+    return log_events(spark, sf_dir).where(contains_text("PurChase", "line")).select("event_id", "line")
 
 
 @query
 def log_tail_(spark, sf_dir):
-    return log_tail(_log_lines(spark, sf_dir)).select(_file_no(), "line")
-
+    return log_tail(log_events(spark, sf_dir)).select("file", "line")
 
 
 # --- reading and cleaning -------------------------------------------------------------------------------------------
@@ -394,7 +377,7 @@ def scan_page_(spark, sf_dir):
 
 @query
 def record_cap_(spark, sf_dir):
-    return record_cap(_orders(spark, sf_dir), 1_201, batch_size=500, width=1_000)
+    return record_cap(_orders(spark, sf_dir), 1_201, batch_size=500)
 
 
 

@@ -4,7 +4,8 @@ Parquet has no MERGE, so a batch is merged by rewriting directories with dynamic
 replaced stay until the job commits, so lost executors only cost repeated tasks. Preconditions: one writer per table,
 and a reader during the commit may see some ranges before and some after it (``rebuild`` switches a whole table).
 
-One shuffle moves the stored rows: by (id_bucket, id_slice), which serves both the merge and the write. A slice holds
+A batch small enough to broadcast is merged into the stored rows where they are read, and they are not shuffled. Any
+other batch costs them one shuffle, by (id_bucket, id_slice), which serves both the merge and the write. A slice holds
 at most ``slice_width`` ids with one stored and one changed row each, so no task can grow with the data.
 """
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.operators.dedupe import dedupe_latest
+from ledgermill.operators.sizes import fits_broadcast
 from ledgermill.operators.store import TableInfo, TableStore, range_of, widened
 from ledgermill.session import Staged, path_exists
 from ledgermill.specs import TableSpec
@@ -36,6 +38,27 @@ class UpsertResult:
     bad_values: dict[str, int]
 
 
+def merge_in_place(
+    stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool = False
+) -> DataFrame:
+    """The same as ``merge_rows`` for changes that fit a broadcast, which the caller has checked."""
+    names = [c for c in stored.columns if c not in ("id", "id_bucket", "id_slice")]
+    news = [n for n in names if n in columns]
+    change = F.broadcast(changes.select(F.col("id").alias("_id"), *[F.col(n).alias(f"_new_{n}") for n in news]))
+    joined = stored.join(change, F.col("id") == F.col("_id"), "left")
+    applies = F.col("_id").isNotNull()
+    if not arrival_wins and "write_date" in news:
+        applies &= ~F.coalesce(F.col("write_date") > F.col("_new_write_date"), F.lit(False))
+
+    def value(name: str):
+        return F.when(applies, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name) if name in news else name
+
+    updated = joined.select("id", *[value(n) for n in names], "id_bucket")
+    known = stored.select("id").join(F.broadcast(changes.select("id")), "id", "left_semi")
+    inserted = changes.join(known, "id", "left_anti").repartition("id_bucket").drop("id_slice")
+    return updated.unionByName(inserted, allowMissingColumns=True)
+
+
 def merge_rows(stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool = False) -> DataFrame:
     """Stored rows and deduplicated changes to the rows that remain; both carry id_bucket and id_slice.
 
@@ -137,8 +160,11 @@ def upsert(
             _write(rows.sortWithinPartitions("id_bucket", "id"), path)
             return facts
         stored = store.read_buckets(spec.name, new_info).where(F.col("id_bucket").isin(list(facts.buckets)))
-        stored = stored.withColumn("id_slice", range_of("id", new_info.slice_width))
-        _write(merge_rows(stored, winners, columns, arrival_wins), path)
+        if fits_broadcast(staged):
+            _write(merge_in_place(stored, winners, columns, arrival_wins), path)
+        else:
+            stored = stored.withColumn("id_slice", range_of("id", new_info.slice_width))
+            _write(merge_rows(stored, winners, columns, arrival_wins), path)
     return facts
 
 

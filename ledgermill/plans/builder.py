@@ -15,25 +15,12 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Collection
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.operators.sizes import fits_broadcast
 from ledgermill.specs import Derived, Join, ViewSpec
 
-SIZE_UNITS = {"b": 1, "kb": 1 << 10, "k": 1 << 10, "mb": 1 << 20, "m": 1 << 20, "gb": 1 << 30, "g": 1 << 30}
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's own limit for broadcasting a table, in bytes; 0 when broadcasts are off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b").strip().lower()
-    digits = text.rstrip("bkmg")
-    return max(0, int(digits) * SIZE_UNITS[text[len(digits):] or "b"])
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size of a plan after column pruning: what Spark compares with the broadcast limit."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
 
 def _label(ref: str) -> str:
     return ref.replace(".", "__")
@@ -83,8 +70,7 @@ def build_view(
 
     leaves = {j.alias: leaf(j.table, j.alias) for j in joins}
     base = leaf(spec.table, spec.alias)
-    limit = broadcast_limit(base.sparkSession)
-    small = {alias: plan_bytes(df) <= limit for alias, df in leaves.items()}
+    small = {alias: fits_broadcast(df) for alias, df in leaves.items()}
 
     def children(alias: str) -> list[Join]:
         return [j for j in joins if j.parent == alias]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.formats import duration_short, micros, number_text, timestamp_text
 from ledgermill.functions.labels import area_label, mode_label, status_label
+from ledgermill.functions.predicates import literal
 
 NEVER = "never"
 STATE = ("model_name", "pg_table", "last_sync", "records_synced", "duration_seconds", "status", "error_message")
@@ -17,7 +18,7 @@ STATE = ("model_name", "pg_table", "last_sync", "records_synced", "duration_seco
 def moment(as_of: datetime | None) -> Column:
     """The time ages are measured at: now in UTC, unless given."""
     if as_of is not None:
-        return F.lit(as_of).cast("timestamp_ntz")
+        return literal(as_of)
     return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
 
 

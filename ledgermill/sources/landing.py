@@ -38,6 +38,12 @@ class Landing:
         names = [s.getPath().getName() for s in fs.listStatus(path)]
         return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}="))
 
+    def folders(self, spec: TableSpec, after_batch: int | None = None) -> list[str]:
+        batches = self.batches(spec)
+        if not batches:
+            return [self.path(spec)] if after_batch is None else []
+        return [f"{self.path(spec)}/{BATCH}={b}" for b in batches if after_batch is None or b > after_batch]
+
     def resolve(self, spec: TableSpec) -> TableSpec:
         """The spec with its fields; one without a field list takes every field the records have."""
         if spec.fields:
@@ -48,11 +54,12 @@ class Landing:
         return TableSpec(**{**spec.__dict__, "fields": tuple(found)}).with_keys()
 
     def raw(self, spec: TableSpec, after_batch: int | None = None) -> DataFrame:
-        """The raw records of the extracts after ``after_batch``; older folders are not opened."""
+        """The raw records of the extracts after ``after_batch``; the folders of older ones are not even listed."""
         schema = T.StructType(raw_schema(spec).fields + [T.StructField(BATCH, T.LongType())])
-        records = self.spark.read.schema(schema).json(self.path(spec))
-        if after_batch is not None:
-            records = records.where(F.col(BATCH) > after_batch)
+        folders = self.folders(spec, after_batch)
+        if not folders:
+            return local_frame(self.spark, [], schema).withColumnRenamed(BATCH, "_batch")
+        records = self.spark.read.schema(schema).option("basePath", self.path(spec)).json(folders)
         return records.withColumn("_batch", F.coalesce(BATCH, F.lit(0))).drop(BATCH)
 
     def read(self, spec: TableSpec, after_batch: int | None = None) -> DataFrame:
