@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+KEYS = ("id", "write_date", "id_bucket", "id_slice")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep the first row of each key in the given order.
 
@@ -21,12 +24,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 def newest_first(columns: Sequence[str], arrival_wins: bool = False) -> list[Column]:
     """The order in which versions of a row replace each other.
 
-    The newest ``write_date`` first and then the latest batch, or the other way round when arrival wins. A hash of the
-    whole row settles the rest, so that the choice does not depend on how the rows were read.
+    The newest ``write_date`` first and then the latest batch, or the other way round when arrival wins. The content of
+    the row settles the rest, so that the choice does not depend on how the rows were read. (The columns themselves and
+    not a hash of them: the optimizer would carry the hash as a constraint, and rewrite it once per set of renamed
+    columns above.)
     """
     written = [F.col("write_date").desc_nulls_last()] if "write_date" in columns else []
     arrived = [F.col("_batch").desc_nulls_last()] if "_batch" in columns else []
-    content = [F.xxhash64(*[c for c in columns if not c.startswith(("_", "id_"))]).desc()]
+    content = [F.col(c).desc() for c in columns if not c.startswith("_") and c not in KEYS]
     return (arrived + written if arrival_wins else written + arrived) + content
 
 
