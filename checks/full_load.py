@@ -30,7 +30,9 @@ def records(spark: SparkSession, sf_dir: str, spec: TableSpec, newer_than: str |
     key = F.col("o_orderkey")
     values = {
         KEY: key,
-        REFERENCE: F.when(key % 10 != 0, F.array(key.cast("string"), F.lit("a name"))),
+        REFERENCE: F.parse_json(
+            F.when(key % 10 != 0, F.concat(F.lit("["), key, F.lit(', "a name"]'))).otherwise("false")
+        ),
         FLAG: key % 2 == 0,
         INTEGER: key % 100,
         NUMBER: F.col("o_totalprice"),

@@ -1,8 +1,8 @@
 """Source conventions to typed columns.
 
 The source writes ``false`` for "no value" in every field and ``[id, name]`` for a to-one reference. Numbers, moments,
-flags and references are read as the JSON text, where ``false`` fails its cast and so becomes NULL without a rule of
-its own. Text fields are read as VARIANT, the only form that tells JSON ``false`` from the text "false".
+flags and references are read as the JSON text and cast. Text fields are read as VARIANT, the only form that tells JSON
+``false`` from the text "false".
 """
 
 from __future__ import annotations
@@ -13,9 +13,6 @@ from pyspark.sql import types as T
 
 from ledgermill.specs import FLAG, REFERENCE, SPARK_TYPES, TEXT, TableSpec
 
-REFERENCE_ID = r"^\[?\s*(-?\d+)\s*(?:,|\]|$)"
-
-
 def raw_type(kind: str) -> T.DataType:
     return T.VariantType() if kind == TEXT else T.StringType()
 
@@ -30,14 +27,24 @@ def false_to_null(col: Column) -> Column:
     return F.nullif(col, F.lit(False))
 
 
+def present(col: Column, value: Column) -> Column:
+    """``value`` unless the source wrote ``false``: a failed cast gives NULL too, but costs an exception each time."""
+    return F.when(col != "false", value)
+
+
 def reference_id(col: Column) -> Column:
     """The id in the JSON text of a to-one reference; NULL for ``false``, ``[]`` and a falsy id."""
-    return F.nullif(F.regexp_extract(col, REFERENCE_ID, 1).try_cast("bigint"), F.lit(0).cast("bigint"))
+    first = F.substring_index(F.substring_index(F.ltrim(col, F.lit("[")), ",", 1), "]", 1)
+    return F.nullif(present(col, first.try_cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def text_value(col: Column) -> Column:
-    """The text in a VARIANT; NULL for JSON ``false``, while the text "false" stays."""
-    return F.when(F.schema_of_variant(col) != "BOOLEAN", F.try_variant_get(col, "$", "string"))
+    """The text in a VARIANT; NULL for JSON ``false``, while the text "false" stays.
+
+    Only a value that reads "false" has its JSON type looked up.
+    """
+    text = F.try_variant_get(col, "$", "string")
+    return F.when(text != "false", text).when(F.schema_of_variant(col) == "STRING", text)
 
 
 def typed(col: Column, kind: str, keep_false: bool = False) -> Column:
@@ -48,14 +55,13 @@ def typed(col: Column, kind: str, keep_false: bool = False) -> Column:
     if kind == FLAG:
         value = col.try_cast("boolean")
         return value if keep_false else false_to_null(value)
-    return col.try_cast(SPARK_TYPES[kind])
+    return present(col, col.try_cast(SPARK_TYPES[kind]))
 
 
 def unreadable(raw: Column, value: Column, kind: str) -> Column:
     """TRUE where the source held a value that its kind cannot take (as opposed to no value)."""
     if kind == TEXT:
-        shape = F.schema_of_variant(raw)
-        return value.isNull() & raw.isNotNull() & ~shape.isin("BOOLEAN", "VOID")
+        return value.isNull() & raw.isNotNull() & ~F.schema_of_variant(raw).isin("BOOLEAN", "VOID")
     lost = raw.isNotNull() & value.isNull() & (raw != "false")
     if kind == REFERENCE:
         return lost & ~raw.startswith("[") & (raw != "0")

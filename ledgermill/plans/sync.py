@@ -34,7 +34,8 @@ class Warehouse:
     """Where records land, where tables are kept, and how loads behave.
 
     ``reference_watermark`` starts from the finish time of the latest run if it succeeded, and else reads everything.
-    ``overlap`` reads that much more before the mark; the upsert makes it harmless.
+    ``overlap`` reads that much more before the mark; the upsert makes it harmless. ``replace_full`` makes a load of a
+    table that is not incremental replace the table, so that rows the source dropped go; else they stay.
     """
 
     landing: Landing
@@ -45,6 +46,7 @@ class Warehouse:
     overlap: timedelta = field(default_factory=timedelta)
     arrival_wins: bool = False
     reference_watermark: bool = False
+    replace_full: bool = False
 
 
 def changed_rows(house: Warehouse, spec: TableSpec, start: Progress) -> DataFrame:
@@ -81,6 +83,10 @@ def sync_table(
         if full or not spec.incremental:
             start = Progress()
         rows = changed_rows(house, spec, start)
+        if house.replace_full and not spec.incremental and not house.cap:
+            facts = rebuild(house.store, spec, rows)
+            return run(records_synced=facts.records, rejected=facts.rejected, bad_values=sum(facts.bad_values.values()),
+                       mark=next_mark(started, facts.max_write_date, None), last_batch=facts.last_batch)
         if house.cap:
             rows = record_cap(rows, house.cap, house.batch_size)
         parts: list[UpsertResult] = []

@@ -1,13 +1,16 @@
-"""The ten business views. Output names are fixed: reports are built on them."""
+"""The business views, and their registration. Output names are fixed: reports are built on them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgermill.functions.labels import move_type_label, payment_type_label
 from ledgermill.plans.builder import build_view
+from ledgermill.plans.monitor import sync_status
+from ledgermill.plans.runlog import sync_state_latest
 from ledgermill.specs import Derived, Join, ViewSpec
 
 
@@ -287,8 +290,27 @@ BUSINESS_VIEWS = {
 }
 
 
-def register_views(spark: SparkSession, table: Callable[[str], DataFrame]) -> list[str]:
-    """Create or replace a temporary view per business view, so that they can be queried with ``spark.sql``."""
+def register_views(table: Callable[[str], DataFrame], runs: DataFrame | None = None) -> list[str]:
+    """Create or replace the temporary views, so that they can be queried with ``spark.sql``.
+
+    With the rows of the run log the state of the loads, ``bi_sync_status``, is the eleventh. SQL sees every column of
+    a view, so unused joins stay in its plans; ``build_view(columns=...)`` drops them.
+    """
     for name, spec in BUSINESS_VIEWS.items():
         build_view(spec, table).createOrReplaceTempView(name)
-    return list(BUSINESS_VIEWS)
+    if runs is None:
+        return list(BUSINESS_VIEWS)
+    sync_status(sync_state_latest(runs)).createOrReplaceTempView("bi_sync_status")
+    return [*BUSINESS_VIEWS, "bi_sync_status"]
+
+
+def write_view(view: DataFrame, path: str, month_of: str | None = None) -> None:
+    """Write a view for readers that open files, if asked by month of one of its columns.
+
+    The rebalance hint lets the adaptive plan split a large month over several tasks and put small ones together.
+    """
+    if month_of is None:
+        view.write.mode("overwrite").parquet(path)
+        return
+    rows = view.withColumn("month", F.date_format(month_of, "yyyy-MM"))
+    rows.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)

@@ -2,10 +2,12 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from checks.full_load import records
 from ledgermill.operators.store import TableStore
 from ledgermill.plans import sync as sync_module
 from ledgermill.plans.runlog import Progress, Run, RunLog, run_summary, sync_state_latest, watermark_reference
 from ledgermill.plans.sync import Warehouse, next_mark, rebuild_table, sync_table, sync_tables
+from ledgermill.registry import load_registry
 from ledgermill.sources.landing import Landing
 from ledgermill.specs import TableSpec
 from tests.test_cleaning import land
@@ -81,6 +83,32 @@ def test_tables_that_are_not_incremental_are_read_whole(house, landing):
     assert [run(house, spec).records_synced for _ in range(2)] == [1, 1]
 
 
+def test_tables_that_are_not_incremental_can_be_replaced(house, landing):
+    spec = TableSpec("report_pos_order", ("id", "name"), incremental=False)
+    land(landing, spec.name, [{"id": 1, "name": "a"}, {"id": 2, "name": "b"}])
+    run(house, spec)
+    land(landing, spec.name, [{"id": 2, "name": "b"}])
+    run(house, spec)
+    assert set(names(house, spec)) == {1, 2}
+    house.replace_full = True
+    assert run(house, spec).records_synced == 1
+    assert set(names(house, spec)) == {2}
+
+
+def test_the_widest_tables_load_twice(spark, house, landing):
+    """Wide plans must not make the optimizer rewrite a condition once per set of columns."""
+    widest = sorted(load_registry(), key=lambda s: -len(s.fields))[:2]
+    for n in range(2):
+        for spec in widest:
+            folder = f"{landing}/{spec.name}/landed_batch={n}"
+            records(spark, "/root/testdata/sf0.001", spec).write.text(folder)
+        runs = sync_tables(house, widest, full=bool(n))
+        assert [(r.status, r.records_synced, r.bad_values) for r in runs] == [("success", 1500 * (n + 1), 0)] * 2
+    runs = sync_tables(house, widest)
+    assert [(r.status, r.records_synced) for r in runs] == [("success", 0)] * 2
+    assert [house.store.read(s).count() for s in widest] == [1500, 1500]
+
+
 def test_mark_rule():
     start, before = datetime(2024, 1, 5), datetime(2024, 1, 1)
     assert next_mark(start, None, before) == before

@@ -3,12 +3,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from checks.bindings import bound_tables
+from checks.bindings import bound_tables, sync_runs
 from checks.queries import QUERIES
 from ledgermill.plans.builder import build_view, needed_joins
-from ledgermill.plans.views import BUSINESS_VIEWS, POS_SALES, SALES, register_views
+from ledgermill.plans.views import BUSINESS_VIEWS, POS_SALES, SALES, register_views, write_view
 
 SF = "/root/testdata/sf0.001"
+WITH_SESSIONS = {"pos_session": "pos_session_by_order"}
 SMALL, NONE = str(10 << 20), "-1"
 
 
@@ -26,7 +27,7 @@ def same_rows(a, b) -> bool:
 
 @pytest.mark.parametrize("name", BUSINESS_VIEWS)
 def test_a_view_is_the_same_in_either_join_shape(spark, conf, name):
-    tables = bound_tables(spark, SF)
+    tables = bound_tables(spark, SF, **(WITH_SESSIONS if name == "bi_pos_sesiones" else {}))
     conf(autoBroadcastJoinThreshold=SMALL)
     flat = build_view(BUSINESS_VIEWS[name], tables)
     conf(autoBroadcastJoinThreshold=NONE)
@@ -75,9 +76,23 @@ def test_unknown_columns_are_refused(spark):
 
 
 def test_views_answer_sql(spark):
-    register_views(spark, bound_tables(spark, SF))
+    tables = bound_tables(spark, SF, **WITH_SESSIONS)
+    assert len(register_views(tables)) == 10
+    assert len(register_views(tables, sync_runs(spark, SF))) == 11
     row = spark.sql("SELECT count(*) n, count(partner_id) p FROM bi_ventas").first()
     assert 0 < row.p < row.n
+    ages = spark.sql("SELECT count_if(time_since_sync > INTERVAL 1 DAY) old, count(*) n FROM bi_sync_status").first()
+    assert ages.old == ages.n > 0
+
+
+def test_a_view_can_be_written_by_month(spark, tmp_path):
+    view = build_view(SALES, bound_tables(spark, SF), columns=["line_id", "date_order", "order_id"])
+    write_view(view, str(tmp_path / "months"), month_of="date_order")
+    back = spark.read.parquet(str(tmp_path / "months"))
+    assert same_rows(back.select(view.columns), view)
+    assert "PartitionFilters: [isnotnull(month" in plan(back.where("month = '1997-01'"))
+    write_view(view, str(tmp_path / "plain"))
+    assert same_rows(spark.read.parquet(str(tmp_path / "plain")), view)
 
 
 def test_a_hot_key_is_split(spark, conf, tmp_path):
