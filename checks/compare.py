@@ -28,6 +28,8 @@ def local_session(cores: int = 8) -> SparkSession:
         .appName("ledgermill")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "16g")
+        # A test table is one row group and so one scan task: joining the larger ones by a shuffle spreads the work.
+        .config("spark.sql.autoBroadcastJoinThreshold", "2mb")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

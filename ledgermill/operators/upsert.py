@@ -96,31 +96,33 @@ def _placed(changes: DataFrame, bucket_width: int, slice_width: int) -> DataFram
     )
 
 
-def _write(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("id_bucket").parquet(path)
+def _write(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id_bucket").parquet(path)
 
 
-def _facts(staged: DataFrame) -> UpsertResult:
-    """One pass over the staged batch; the set of ranges is bounded by their number, not by the rows."""
-    has = lambda c: c in staged.columns
-    row = staged.agg(
+def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str) -> Staged:
+    """The batch in scratch files, with its facts; the set of ranges is bounded by their number, not by the rows."""
+    rows = _placed(changes, bucket_width, slice_width)
+    facts = [
         F.count("id").alias("records"),
         F.count_if(F.col("id").isNull()).alias("rejected"),
-        (F.max("write_date") if has("write_date") else F.lit(None).cast("timestamp_ntz")).alias("newest"),
-        (F.max("_batch").cast("bigint") if has("_batch") else F.lit(None).cast("bigint")).alias("last_batch"),
         F.sort_array(F.collect_set("id_bucket")).alias("buckets"),
-        *(
-            [
-                F.count_if(F.array_contains("_bad", F.lit(c))).alias(f"bad__{c}")
-                for c in staged.columns
-                if not c.startswith("_")
-            ]
-            if has("_bad")
-            else []
-        ),
-    ).first()
-    bad = {k[5:]: v for k, v in row.asDict().items() if k.startswith("bad__") and v}
-    return UpsertResult(row.records, row.rejected, row.newest, row.last_batch, tuple(row.buckets), bad)
+    ]
+    if "write_date" in rows.columns:
+        facts.append(F.max("write_date").alias("newest"))
+    if "_batch" in rows.columns:
+        facts.append(F.max("_batch").alias("last_batch"))
+    if "_bad" in rows.columns:
+        fields = [c for c in changes.columns if not c.startswith("_")]
+        facts += [F.count_if(F.array_contains("_bad", F.lit(f))).alias(f"bad {f}") for f in fields]
+    return Staged(rows, label, facts)
+
+
+def _result(facts: dict) -> UpsertResult:
+    bad = {k.removeprefix("bad "): n for k, n in facts.items() if k.startswith("bad ") and n}
+    return UpsertResult(
+        facts["records"], facts["rejected"], facts.get("newest"), facts.get("last_batch"), tuple(facts["buckets"]), bad
+    )
 
 
 def upsert(
@@ -146,21 +148,21 @@ def upsert(
         new_info = replace(info, schema=widened(info.schema, widened(spec.schema(), declared)))
     path = store.data_path(spec.name, new_info)
 
-    with Staged(_placed(changes, new_info.bucket_width, new_info.slice_width), f"batch-{spec.name}") as staged:
-        facts = _facts(staged)
+    with _stage(changes, new_info.bucket_width, new_info.slice_width, f"batch-{spec.name}") as staged:
+        facts, rows = _result(staged.facts), staged.rows
         if info is None or new_info != info:
             store.describe(spec.name, replace(new_info, change=new_info.change + 1))
         if not facts.records:
             return facts
-        winners = dedupe_latest(staged.where("id is not null"), arrival_wins).drop("_batch", "_bad")
+        winners = dedupe_latest(rows.where("id is not null"), arrival_wins).drop("_batch", "_bad")
         if info is None or not path_exists(store.spark, path):
             empty = {f.name: F.lit(None).cast(f.dataType) for f in new_info.schema.fields if f.name not in columns}
             names = [f.name for f in new_info.schema.fields]
-            rows = winners.withColumns(empty).repartition("id_bucket", "id_slice").select(*names, "id_bucket")
-            _write(rows.sortWithinPartitions("id_bucket", "id"), path)
+            placed = winners.withColumns(empty).repartition("id_bucket", "id_slice").select(*names, "id_bucket")
+            _write(placed.sortWithinPartitions("id_bucket", "id"), path)
             return facts
         stored = store.read_buckets(spec.name, new_info).where(F.col("id_bucket").isin(list(facts.buckets)))
-        if fits_broadcast(staged):
+        if fits_broadcast(rows):
             _write(merge_in_place(stored, winners, columns, arrival_wins), path)
         else:
             stored = stored.withColumn("id_slice", range_of("id", new_info.slice_width))
@@ -174,9 +176,9 @@ def rebuild(store: TableStore, spec: TableSpec, rows: DataFrame) -> UpsertResult
     before = (info.change, info.version) if info else (0, -1)
     schema = T.StructType([f for f in rows.schema.fields if not f.name.startswith("_")])
     fresh = TableInfo(before[0] + 1, before[1] + 1, widened(spec.schema(), schema), spec.bucket_width, spec.slice_width)
-    with Staged(_placed(rows, fresh.bucket_width, fresh.slice_width), f"rebuild-{spec.name}") as staged:
-        facts = _facts(staged)
-        winners = dedupe_latest(staged.where("id is not null")).drop("_batch", "_bad")
+    with _stage(rows, fresh.bucket_width, fresh.slice_width, f"rebuild-{spec.name}") as staged:
+        facts = _result(staged.facts)
+        winners = dedupe_latest(staged.rows.where("id is not null")).drop("_batch", "_bad")
         missing = [f for f in fresh.schema.fields if f.name not in winners.columns]
         winners = winners.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
         placed = winners.repartition("id_bucket", "id_slice").drop("id_slice").sortWithinPartitions("id_bucket", "id")

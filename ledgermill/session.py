@@ -5,10 +5,10 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -73,17 +73,28 @@ class Staged:
     """A DataFrame written to the scratch folder and read back: the lineage ends at shared files.
 
     Several jobs then read columnar files instead of repeating the parse, and a lost executor costs a re-read.
-    Used as a context manager; the files go when the block ends.
+    ``facts`` are aggregates of the rows, gathered while they are written. Used as a context manager; the files go when
+    the block ends.
     """
 
-    def __init__(self, df: DataFrame, label: str):
+    def __init__(self, df: DataFrame, label: str, facts: Sequence[Column]):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, label)
-        self.source = df
+        self.schema = df.schema
+        self.seen = Observation()
+        self.source = df.observe(self.seen, *facts)
 
-    def __enter__(self) -> DataFrame:
+    def __enter__(self) -> Staged:
         self.source.write.parquet(self.path)
-        return self.spark.read.schema(self.source.schema).parquet(self.path)
+        return self
+
+    @property
+    def facts(self) -> dict:
+        return self.seen.get
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def __exit__(self, *exc) -> None:
         fs, jpath = hadoop_path(self.spark, self.path)
