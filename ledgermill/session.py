@@ -74,7 +74,7 @@ class Staged:
 
     Several jobs then read columnar files instead of repeating the parse, and a lost executor costs a re-read.
     ``facts`` are aggregates of the rows, gathered while they are written. Used as a context manager; the files go when
-    the block ends.
+    the block ends well, and stay for a repair when it does not.
     """
 
     def __init__(self, df: DataFrame, label: str, facts: Sequence[Column]):
@@ -96,6 +96,7 @@ class Staged:
     def rows(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def __exit__(self, *exc) -> None:
-        fs, jpath = hadoop_path(self.spark, self.path)
-        fs.delete(jpath, True)
+    def __exit__(self, kind, error, trace) -> None:
+        if kind is None:
+            fs, jpath = hadoop_path(self.spark, self.path)
+            fs.delete(jpath, True)
