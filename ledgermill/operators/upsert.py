@@ -2,7 +2,8 @@
 
 Parquet has no MERGE, so a batch is merged by rewriting directories with dynamic partition overwrite. The files being
 replaced stay until the job commits, so lost executors only cost repeated tasks. Preconditions: one writer per table,
-and a reader during the commit may see some ranges before and some after it (``rebuild`` switches a whole table).
+and a reader during the commit may see some ranges before and some after it (``rebuild`` switches a whole table). A
+driver lost during the commit can leave a range out of place; ``keep_copy`` and ``restore`` are for that.
 
 A batch small enough to broadcast is merged into the stored rows where they are read, and they are not shuffled. Any
 other batch costs them one shuffle, by (id_bucket, id_slice), which serves both the merge and the write. A slice holds
@@ -11,6 +12,7 @@ at most ``slice_width`` ids with one stored and one changed row each, so no task
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Collection
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -25,6 +27,8 @@ from ledgermill.operators.store import TableInfo, TableStore, range_of, widened
 from ledgermill.session import Staged, path_exists
 from ledgermill.specs import TableSpec
 
+logger = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class UpsertResult:
@@ -100,6 +104,23 @@ def _write(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id_bucket").parquet(path)
 
 
+def _replace(rows: DataFrame, path: str, label: str, keep_copy: bool) -> None:
+    """Overwrite the ranges of ``rows``; with a copy of them kept in the scratch folder until all are in place."""
+    if not keep_copy:
+        _write(rows, path)
+        return
+    with Staged(rows, f"merged-{label}", [F.count("id").alias("rows")]) as copy:
+        logger.info("%s: ranges being replaced are kept in %s", label, copy.path)
+        _write(copy.rows, path)
+
+
+def restore(store: TableStore, name: str, copy_path: str) -> None:
+    """Put the ranges of a kept copy in place: what to run when the driver was lost during a commit."""
+    info = store.info(name)
+    schema = T.StructType(info.schema.fields + [T.StructField("id_bucket", T.LongType())])
+    _write(store.spark.read.schema(schema).parquet(copy_path), store.data_path(name, info))
+
+
 def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str) -> Staged:
     """The batch in scratch files, with its facts; the set of ranges is bounded by their number, not by the rows."""
     rows = _placed(changes, bucket_width, slice_width)
@@ -131,11 +152,13 @@ def upsert(
     changes: DataFrame,
     columns: Collection[str] | None = None,
     arrival_wins: bool = False,
+    keep_copy: bool = False,
 ) -> UpsertResult:
     """Apply a batch of changes to the table of ``spec``, creating or widening the table first.
 
     ``changes`` has an ``id``, any columns of the table, and optionally ``_batch`` (arrival order) and ``_bad``
-    (unreadable fields). ``columns`` limits the update to the columns the batch is known to carry.
+    (unreadable fields). ``columns`` limits the update to the columns the batch is known to carry. ``keep_copy`` writes
+    the merged ranges twice, so that a commit that was cut short can be finished by ``restore``.
     """
     data = [c for c in changes.columns if not c.startswith("_")]
     columns = [c for c in data if columns is None or c in columns or c == "id"]
@@ -163,10 +186,11 @@ def upsert(
             return facts
         stored = store.read_buckets(spec.name, new_info).where(F.col("id_bucket").isin(list(facts.buckets)))
         if fits_broadcast(rows):
-            _write(merge_in_place(stored, winners, columns, arrival_wins), path)
+            merged = merge_in_place(stored, winners, columns, arrival_wins)
         else:
             stored = stored.withColumn("id_slice", range_of("id", new_info.slice_width))
-            _write(merge_rows(stored, winners, columns, arrival_wins), path)
+            merged = merge_rows(stored, winners, columns, arrival_wins)
+        _replace(merged, path, spec.name, keep_copy)
     return facts
 
 

@@ -35,7 +35,8 @@ class Warehouse:
 
     ``reference_watermark`` starts from the finish time of the latest run if it succeeded, and else reads everything.
     ``overlap`` reads that much more before the mark; the upsert makes it harmless. ``replace_full`` makes a load of a
-    table that is not incremental replace the table, so that rows the source dropped go; else they stay.
+    table that is not incremental replace the table, so that rows the source dropped go; else they stay. ``keep_copy``
+    makes upserts recoverable when the driver is lost during a commit.
     """
 
     landing: Landing
@@ -47,6 +48,7 @@ class Warehouse:
     arrival_wins: bool = False
     reference_watermark: bool = False
     replace_full: bool = False
+    keep_copy: bool = False
 
 
 def changed_rows(house: Warehouse, spec: TableSpec, start: Progress) -> DataFrame:
@@ -93,7 +95,7 @@ def sync_table(
         groups = house.landing.column_groups(spec, start.last_batch)
         for batches, fields in groups:
             part = rows if len(groups) == 1 else rows.where(F.col("_batch").isin(batches))
-            parts.append(upsert(house.store, spec, part, fields, house.arrival_wins))
+            parts.append(upsert(house.store, spec, part, fields, house.arrival_wins, house.keep_copy))
         records = sum(p.records for p in parts)
         rejected = sum(p.rejected for p in parts)
         bad = sum(sum(p.bad_values.values()) for p in parts)

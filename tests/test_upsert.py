@@ -1,3 +1,4 @@
+import shutil
 from datetime import datetime, timedelta
 from glob import glob
 from os import stat
@@ -8,7 +9,8 @@ from hypothesis import strategies as st
 
 from ledgermill.operators.dedupe import dedupe_latest
 from ledgermill.operators.store import TableStore, range_of
-from ledgermill.operators.upsert import merge_in_place, merge_rows, rebuild, upsert
+import ledgermill.operators.upsert as upsert_module
+from ledgermill.operators.upsert import merge_in_place, merge_rows, rebuild, restore, upsert
 from ledgermill.session import local_frame
 from ledgermill.specs import TableSpec
 
@@ -109,6 +111,26 @@ def test_rebuild_switches_to_a_new_version(spark, store, tmp_path):
     assert set(table(store)) == {2, 5}
 
 
+def test_a_commit_cut_short_can_be_finished(spark, store, tmp_path, both_ways, monkeypatch, caplog):
+    upsert(store, SPEC, batch(spark, *[(i, "a", 1.0, 0, 0) for i in range(30)]))
+    change = batch(spark, (1, "b", 2.0, 1, 1), (25, "b", 2.0, 1, 1), (31, "b", 2.0, 1, 1))
+
+    def lost(rows, path):
+        shutil.move(f"{tmp_path}/t/v=0/id_bucket=2", tmp_path / "lost")
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(upsert_module, "_write", lost)
+    with caplog.at_level("INFO"), pytest.raises(RuntimeError):
+        upsert(store, SPEC, change, keep_copy=True)
+    monkeypatch.undo()
+    assert len(table(store)) == 20
+    restore(store, "t", caplog.messages[-1].split(" kept in ")[1])
+    rows = table(store)
+    assert len(rows) == 31 and {i for i, r in rows.items() if r[0] == "b"} == {1, 25, 31}
+    upsert(store, SPEC, change, keep_copy=True)
+    assert table(store) == rows
+
+
 def test_an_empty_batch_changes_nothing(spark, store):
     upsert(store, SPEC, batch(spark))
     assert table(store) == {}
