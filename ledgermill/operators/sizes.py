@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNITS = {"b": 1, "kb": 1 << 10, "k": 1 << 10, "mb": 1 << 20, "m": 1 << 20, "gb": 1 << 30, "g": 1 << 30}
 
@@ -19,5 +24,13 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """What a row takes in memory, as an expression to sum: a word per column and the bytes of its texts and lists."""
+    fixed = F.lit(16 + 8 * len(df.columns)).cast("bigint")
+    texts = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    lists = [32 * F.size(f.name) for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    return reduce(add, [F.coalesce(size, F.lit(0)) for size in texts + lists], fixed)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     return plan_bytes(df) <= broadcast_limit(df.sparkSession)

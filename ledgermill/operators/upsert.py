@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill.operators.dedupe import dedupe_latest
-from ledgermill.operators.sizes import fits_broadcast
+from ledgermill.operators.sizes import broadcast_limit, row_bytes
 from ledgermill.operators.store import TableInfo, TableStore, range_of, widened
 from ledgermill.session import Staged, path_exists
 from ledgermill.specs import TableSpec
@@ -128,6 +128,7 @@ def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str)
         F.count("id").alias("records"),
         F.count_if(F.col("id").isNull()).alias("rejected"),
         F.sort_array(F.collect_set("id_bucket")).alias("buckets"),
+        F.sum(row_bytes(rows)).alias("bytes"),
     ]
     if "write_date" in rows.columns:
         facts.append(F.max("write_date").alias("newest"))
@@ -185,7 +186,7 @@ def upsert(
             _write(placed.sortWithinPartitions("id_bucket", "id"), path)
             return facts
         stored = store.read_buckets(spec.name, new_info).where(F.col("id_bucket").isin(list(facts.buckets)))
-        if fits_broadcast(rows):
+        if (staged.facts["bytes"] or 0) <= broadcast_limit(store.spark):
             merged = merge_in_place(stored, winners, columns, arrival_wins)
         else:
             stored = stored.withColumn("id_slice", range_of("id", new_info.slice_width))

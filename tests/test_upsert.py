@@ -6,8 +6,10 @@ from os import stat
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgermill.operators.dedupe import dedupe_latest
+from ledgermill.operators.sizes import row_bytes
 from ledgermill.operators.store import TableStore, range_of
 import ledgermill.operators.upsert as upsert_module
 from ledgermill.operators.upsert import merge_in_place, merge_rows, rebuild, restore, upsert
@@ -37,6 +39,22 @@ def table(store, spec=SPEC):
     return {r.id: tuple(r)[1:] for r in store.read(spec).collect()}
 
 
+def test_the_size_of_a_batch_is_its_size_in_memory(spark, conf, store, monkeypatch):
+    """A text repeated a thousand times is small on disk and must still not be broadcast."""
+    rows = spark.range(1000).select("id", F.repeat(F.lit("x"), 500).alias("name"))
+    assert rows.agg(F.sum(row_bytes(rows))).first()[0] == 1000 * (16 + 2 * 8 + 500)
+    upsert(store, SPEC, rows)
+    used = []
+    for name in ("merge_rows", "merge_in_place"):
+        real = getattr(upsert_module, name)
+        monkeypatch.setattr(upsert_module, name, lambda *a, name=name, real=real: used.append(name) or real(*a))
+    conf(autoBroadcastJoinThreshold="600kb")
+    upsert(store, SPEC, rows)
+    conf(autoBroadcastJoinThreshold="500kb")
+    upsert(store, SPEC, rows)
+    assert used == ["merge_in_place", "merge_rows"]
+
+
 def test_an_unwritten_table_is_empty_with_its_schema(store):
     assert store.read(SPEC).schema == SPEC.schema() and store.read(SPEC).count() == 0
     assert not store.exists("t")
