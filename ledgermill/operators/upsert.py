@@ -100,6 +100,13 @@ def _placed(changes: DataFrame, bucket_width: int, slice_width: int) -> DataFram
     )
 
 
+def _as_kept(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns in the types of the table, which a batch never changes."""
+    kept = {f.name: f.dataType for f in schema.fields}
+    other = {f.name: kept[f.name] for f in rows.schema.fields if f.name in kept and f.dataType != kept[f.name]}
+    return rows.withColumns({name: F.col(name).try_cast(kind) for name, kind in other.items()})
+
+
 def _write(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id_bucket").parquet(path)
 
@@ -171,6 +178,7 @@ def upsert(
     else:
         new_info = replace(info, schema=widened(info.schema, widened(spec.schema(), declared)))
     path = store.data_path(spec.name, new_info)
+    changes = _as_kept(changes, new_info.schema)
 
     with _stage(changes, new_info.bucket_width, new_info.slice_width, f"batch-{spec.name}") as staged:
         facts, rows = _result(staged.facts), staged.rows
@@ -201,6 +209,7 @@ def rebuild(store: TableStore, spec: TableSpec, rows: DataFrame) -> UpsertResult
     before = (info.change, info.version) if info else (0, -1)
     schema = T.StructType([f for f in rows.schema.fields if not f.name.startswith("_")])
     fresh = TableInfo(before[0] + 1, before[1] + 1, widened(spec.schema(), schema), spec.bucket_width, spec.slice_width)
+    rows = _as_kept(rows, fresh.schema)
     with _stage(rows, fresh.bucket_width, fresh.slice_width, f"rebuild-{spec.name}") as staged:
         facts = _result(staged.facts)
         winners = dedupe_latest(staged.rows.where("id is not null")).drop("_batch", "_bad")

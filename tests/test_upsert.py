@@ -119,6 +119,16 @@ def test_columns_are_added_and_never_dropped(spark, store, both_ways):
     assert names[0] == ("id", "bigint") and names[-1] == ("origin", "string")
 
 
+def test_columns_are_never_retyped(spark, store, both_ways):
+    upsert(store, SPEC, batch(spark, (1, "a", 1.5, 0, 0)))
+    rows = local_frame(spark, [(1, 7, "2.5"), (2, 8, "oops")], "id int, name int, amount_total string")
+    upsert(store, SPEC, rows)
+    assert store.read(SPEC).schema == SPEC.schema()
+    assert table(store) == {1: ("7", 2.5, DAY(0)), 2: ("8", None, None)}
+    rebuild(store, SPEC, rows)
+    assert table(store) == {1: ("7", 2.5, None), 2: ("8", None, None)}
+
+
 def test_rebuild_switches_to_a_new_version(spark, store, tmp_path):
     upsert(store, SPEC, batch(spark, (1, "a", 1.0, 0, 0), (2, "b", 1.0, 0, 0)))
     open_before = store.read(SPEC)

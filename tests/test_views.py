@@ -7,6 +7,7 @@ from checks.bindings import bound_tables, sync_runs
 from checks.queries import QUERIES
 from ledgermill.plans.builder import build_view, needed_joins
 from ledgermill.plans.views import BUSINESS_VIEWS, POS_SALES, SALES, register_views, write_view
+from ledgermill.specs import Join, ViewSpec
 
 SF = "/root/testdata/sf0.001"
 WITH_SESSIONS = {"pos_session": "pos_session_by_order"}
@@ -113,9 +114,15 @@ def test_a_hot_key_is_split(spark, conf, tmp_path):
         adaptive__advisoryPartitionSizeInBytes="20kb",
         adaptive__coalescePartitions__enabled="false",
     )
-    joined = spark.read.parquet(str(tmp_path / "lines")).alias("l").join(
-        products.alias("p"), F.col("l.product_id") == F.col("p.id"), "left"
+    spec = ViewSpec(
+        "hot",
+        "lines",
+        "line",
+        (Join("products", "item", "line.product_id"),),
+        {"id": "line.id", "name": "line.name", "product": "item.name"},
     )
+    tables = {"lines": spark.read.parquet(str(tmp_path / "lines")), "products": products}
+    joined = build_view(spec, tables.get)
     assert len(joined.collect()) == 60_000
     assert "skew=true" in plan(joined)
 
