@@ -2,6 +2,8 @@ import pytest
 
 import __spark_entry__ as driver
 from checks.compare import differences, duck
+from checks.oracle import ORACLE_SQL
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,9 +13,9 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, con, name):
-    assert differences(driver.queries()[name](spark, SF), con, driver.oracle_sql()[name]) == ""
+    assert differences(QUERIES[name](spark, SF), con, ORACLE_SQL[name]) == ""
 
 
 def test_entry(spark):
@@ -21,7 +23,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_the_data_tells_left_from_inner(con):
