@@ -88,7 +88,7 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     if not len(words):
         return words
     width = min(width, len(words))
-    h = np.full(len(words) - width + 1, np.uint64(width) * _M1)
+    h = np.full(len(words) - width + 1, width, np.uint64) * _M1
     for i in range(width):
         h = mixed(h * _M1 + words[i : len(words) - width + 1 + i])
     return h

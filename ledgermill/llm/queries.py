@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, sharding, tokens_out
+from ledgermill.llm import byte_bpe, contamination, edit_counts, line_rules, sharding, tokens_out
 from ledgermill.llm.common import table
 from ledgermill.session import scratch_path
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+EDIT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -21,6 +23,34 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_out.read_tokens(spark, folder)
 
 
+def own_edits(text: Column, doc_id: Column, edits: int = 4) -> Column:
+    """Edits that follow from a document: at hashed places some characters go and a passage of the same text comes in."""
+    draw = lambda below, *salt: F.pmod(F.xxhash64(doc_id, *map(F.lit, salt)), below).cast("int")
+    length = F.length(text)
+    return F.array(*(
+        F.struct(
+            draw(length + 1, k, 0).alias("position"),
+            draw(F.lit(30), k, 1).alias("deleted"),
+            F.substring(text, draw(length + 1, k, 2) + 1, draw(F.lit(60), k, 3)).alias("inserted"),
+        )
+        for k in range(edits)
+    ))
+
+
+def edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("edits", own_edits(F.col("text"), F.col("doc_id")))
+    return edit_counts.recounted(docs, EDIT_RANKS, public_tokenizers.PATTERN)
+
+
+def shared_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.quality(table(spark, sf_dir, "documents"))
+
+
+def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -31,8 +61,14 @@ def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files,
+    "op3_edited_token_counts": edited_counts,
     "op4_minimax_shards": shards,
+    "op5_shared_line_rules": shared_line_rules,
     "op6_byte_bpe": byte_bpe_round_trip,
+    "op10_benchmark_containment": benchmark_items,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_shared_line_rules": line_rules.ORACLE,
+    "op10_benchmark_containment": contamination.ORACLE,
+}
