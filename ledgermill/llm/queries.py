@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, contamination, edit_counts, line_rules, sharding, tokens_out
+from ledgermill.llm import byte_bpe, contamination, edit_counts, line_rules, sharding, tokens_out, toxicity
 from ledgermill.llm.common import table
 from ledgermill.session import scratch_path
 
@@ -51,6 +51,11 @@ def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -65,10 +70,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minimax_shards": shards,
     "op5_shared_line_rules": shared_line_rules,
     "op6_byte_bpe": byte_bpe_round_trip,
+    "op7_toxicity": toxicity_scores,
     "op10_benchmark_containment": benchmark_items,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_shared_line_rules": line_rules.ORACLE,
+    "op7_toxicity": toxicity_scores,
     "op10_benchmark_containment": contamination.ORACLE,
 }
