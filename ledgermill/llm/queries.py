@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, contamination, edit_counts, line_rules, sharding, tokens_out, toxicity
+from ledgermill.llm import byte_bpe, contamination, edit_counts, line_rules, pii, sharding, tokens_out, toxicity
 from ledgermill.llm.common import table
 from ledgermill.session import scratch_path
 
@@ -56,6 +56,11 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -71,11 +76,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_shared_line_rules": shared_line_rules,
     "op6_byte_bpe": byte_bpe_round_trip,
     "op7_toxicity": toxicity_scores,
+    "op8_personal_data": personal_data,
     "op10_benchmark_containment": benchmark_items,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_shared_line_rules": line_rules.ORACLE,
     "op7_toxicity": toxicity_scores,
+    "op8_personal_data": personal_data,
     "op10_benchmark_containment": contamination.ORACLE,
 }
