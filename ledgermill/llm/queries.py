@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, contamination, edit_counts, line_rules, pii, sharding, tokens_out, toxicity
+from ledgermill.llm import byte_bpe, contamination, edit_counts, jaccard_join, line_rules, pii, sharding, tokens_out, toxicity
 from ledgermill.llm.common import table
 from ledgermill.session import scratch_path
 
@@ -37,6 +37,10 @@ def own_edits(text: Column, doc_id: Column, edits: int = 4) -> Column:
     ))
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_groups(table(spark, sf_dir, "documents"))
+
+
 def edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("edits", own_edits(F.col("text"), F.col("doc_id")))
@@ -71,6 +75,7 @@ def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files,
+    "op2_count_vector_join": near_copies,
     "op3_edited_token_counts": edited_counts,
     "op4_minimax_shards": shards,
     "op5_shared_line_rules": shared_line_rules,
