@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, contamination, edit_counts, jaccard_join, line_rules, pii, sharding, tokens_out, toxicity
+from ledgermill.llm import byte_bpe, contamination, edit_counts, jaccard_join, line_rules, pii, repeated_bytes, sharding, tokens_out, toxicity
 from ledgermill.llm.common import table
 from ledgermill.session import scratch_path
 
@@ -65,6 +65,10 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.train(docs))
 
 
+def repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": byte_bpe_round_trip,
     "op7_toxicity": toxicity_scores,
     "op8_personal_data": personal_data,
+    "op9_suffix_merge": repeated,
     "op10_benchmark_containment": benchmark_items,
 }
 
@@ -89,5 +94,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_shared_line_rules": line_rules.ORACLE,
     "op7_toxicity": toxicity_scores,
     "op8_personal_data": personal_data,
+    "op9_suffix_merge": repeated,
     "op10_benchmark_containment": contamination.ORACLE,
 }
