@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgermill.llm.common import Remembered, batches, decoded, id_and_bytes
+from ledgermill.llm.common import Remembered, batches, decoded, id_and_bytes, slices
 
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -120,18 +120,22 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Encode, decode the ids, and return doc_id, n_tokens, ids_sha256, decoded_sha256."""
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Encode, decode the ids, and return doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if asked for."""
+    schema = _DIGESTS.append(pa.field("ids", pa.list_(pa.int32()))) if with_ids else _DIGESTS
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe(path, pattern)
-        for batch in rows:
-            columns = {"doc_id": batch.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        for batch in (s for part in rows for s in slices(part)):
+            columns = {"doc_id": batch.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
             for text in batch.column("text"):
                 ids, joined = bpe.encode(decoded(text.as_py()))
                 columns["n_tokens"].append(len(ids))
                 columns["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
                 columns["decoded_sha256"].append(hashlib.sha256(bpe.decode_bytes(ids)).hexdigest())
-            yield batches(columns, _DIGESTS)
+                if with_ids:
+                    columns["ids"].append(ids)
+            yield batches(columns, schema)
 
-    return id_and_bytes(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    ids = ", ids array<int>" if with_ids else ""
+    return id_and_bytes(docs).mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{ids}")

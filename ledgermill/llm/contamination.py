@@ -94,44 +94,78 @@ def _verified(index: ItemIndex, doc_ids: list, sets: list[np.ndarray], min_share
             yield doc_ids[d], index.item_ids[item], shared, len(shingles)
 
 
-def contained_items(
-    docs: DataFrame, items: DataFrame, min_share: float = 0.8, functions: int = 64, round_bytes: int = 8 << 20,
-    stream: int = 4096,
-) -> DataFrame:
-    """doc_id, item_id, n_shared, n_shingles, containment of every item of which a document has ``min_share``."""
+def _rounds(items: DataFrame, round_bytes: int) -> Iterator[tuple[list, list[bytes]]]:
+    """The items, some ``round_bytes`` of text at a time, as ids and texts."""
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rounds = -(-total // round_bytes) or 1
-    rows = id_and_bytes(docs)
+    for k in range(rounds):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k).collect()
+        yield [r["item_id"] for r in own], [bytes(r["text"]) for r in own]
+
 
-    def searched(k: int) -> DataFrame:
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k).toPandas()
-        own = own.sort_values("item_id")
-        ids = [None if i != i else int(i) for i in own["item_id"]]
-        sent = docs.sparkSession.sparkContext.broadcast((ids, [bytes(t) for t in own["text"]]))
+def _streams(texts: Iterable[bytes], stream: int) -> Iterator[list[np.ndarray]]:
+    """The shingles of whole texts, some ``stream`` of them at a time."""
+    sets, held = [], 0
+    for text in texts:
+        sets.append(shingle_hashes(word_hashes(text), WIDTH))
+        held += len(sets[-1])
+        if held >= stream:
+            yield sets
+            sets, held = [], 0
+    yield sets
 
+
+def contained_items(
+    docs: DataFrame, items: DataFrame, min_share: float = 0.8, functions: int = 64, round_bytes: int = 8 << 20,
+    stream: int = 4096,
+) -> DataFrame:
+    """doc_id, item_id, n_shared, n_shingles, containment of every item of which a document has ``min_share``."""
+
+    def searched(sent) -> DataFrame:
         def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(*sent.value, functions)
             for batch in (s for part in parts for s in slices(part)):
-                found = []
-                doc_ids, sets, held = [], [], 0
-                for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    doc_ids.append(doc_id)
-                    sets.append(shingle_hashes(word_hashes(value.as_py()), WIDTH))
-                    held += len(sets[-1])
-                    if held >= stream:
-                        found += _verified(index, doc_ids, sets, min_share)
-                        doc_ids, sets, held = [], [], 0
-                found += _verified(index, doc_ids, sets, min_share)
-                yield batches(dict(zip(_PAIRS.names, map(list, zip(*found)))) if found else {n: [] for n in _PAIRS.names}, _PAIRS)
-
-        return rows.mapInArrow(run, "doc_id long, item_id long, n_shared long, n_shingles long")
-
-    pairs = reduce(DataFrame.unionByName, [searched(k) for k in range(rounds)])
+                found, doc_ids, at = [], batch.column("doc_id").to_pylist(), 0
+                for sets in _streams(batch.column("text").to_pylist(), stream):
+                    found += _verified(index, doc_ids[at : at + len(sets)], sets, min_share)
+                    at += len(sets)
+                columns = zip(*found) if found else ((),) * len(_PAIRS)
+                yield batches(dict(zip(_PAIRS.names, map(list, columns))), _PAIRS)
+
+        return id_and_bytes(docs).mapInArrow(run, "doc_id long, item_id long, n_shared long, n_shingles long")
+
+    send = docs.sparkSession.sparkContext.broadcast
+    pairs = reduce(DataFrame.unionByName, [searched(send(r)) for r in _rounds(items, round_bytes)])
     return pairs.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 
+def without_items(
+    docs: DataFrame, items: DataFrame, min_share: float = 0.8, functions: int = 64, round_bytes: int = 8 << 20,
+    stream: int = 4096,
+) -> DataFrame:
+    """The rows of ``docs`` that contain no item, with their columns as they are."""
+    at = docs.columns.index("text")
+
+    def cleared(rest: DataFrame, sent) -> DataFrame:
+        def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = ItemIndex(*sent.value, functions)
+            for batch in parts:
+                keep, start = np.ones(len(batch), bool), 0
+                texts = ((t.as_py() or "").encode() for t in batch.column(at))
+                for sets in _streams(texts, stream):
+                    rows = list(range(start, start + len(sets)))
+                    keep[[row for row, *_ in _verified(index, rows, sets, min_share)]] = False
+                    start += len(sets)
+                yield batch.filter(pa.array(keep))
+
+        return rest.mapInArrow(run, docs.schema)
+
+    send = docs.sparkSession.sparkContext.broadcast
+    return reduce(cleared, [send(r) for r in _rounds(items, round_bytes)], docs)
+
+
 ORACLE = r"""
 WITH s AS (
   SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
