@@ -126,7 +126,7 @@ def fit(labels: np.ndarray, words: list, less: list, more: list, steps: int = 30
         swap_weight: float = 1.0, terms: tuple[str, ...] = tuple(IDENTITY_TERMS)) -> Model:
     """Proximal Adagrad on the whole training set."""
     fitted, positive = np.zeros(1 << BITS), float(labels.mean()) if len(labels) else 0.5
-    if not 0 < positive < 1:
+    if not len(labels) or not 0 < positive < 1:
         return Model(float(np.log((positive + 1e-3) / (1 - positive + 1e-3))), fitted)
     x, x_less, x_more = Sparse(words), Sparse(less), Sparse(more)
     chosen = telling(x, labels, kept)
