@@ -124,21 +124,30 @@ CLEAN = """clean AS (
            CASE WHEN o_orderkey % 97 = 0 THEN 'date_order' ELSE '' END AS unreadable
     FROM orders)"""
 SECOND = """second AS (
-    SELECT CASE WHEN o_orderkey % 3 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS id, 'C' AS state,
-           o_totalprice AS amount_total, o_orderdate + to_days(CAST(o_orderkey % 2000 AS INTEGER)) AS write_date
+    SELECT CASE WHEN o_orderkey % 3 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS id, 'C' AS state, o_orderkey % 4 <> 1 AS has_state,
+           o_totalprice AS amount_total, o_orderkey % 4 <> 2 AS has_amount, o_orderkey % 11 = 2 AS unreadable_date,
+           CASE WHEN o_orderkey % 11 NOT IN (1, 2) THEN o_orderdate
+               + to_days(CAST(CASE WHEN o_orderkey % 11 = 0 THEN -1000 ELSE o_orderkey % 2000 END AS INTEGER)) END AS write_date
     FROM orders)"""
 
 
-def loaded(second: str, more: str = "") -> str:
-    """The first extract with the second one on top; fields the second lacks keep their value."""
-    return f"""WITH {CLEAN}, {SECOND}, extra AS ({second})
-SELECT coalesce(s.id, c.id) AS id, c.name, coalesce(s.state, c.state) AS state,
-       CASE WHEN s.id IS NULL THEN c.amount_total ELSE s.amount_total END AS amount_total,
-       coalesce(s.write_date, c.write_date) AS write_date
-FROM clean c FULL JOIN extra s ON s.id = c.id {more}"""
+def loaded(undated: str, more: str = "") -> str:
+    """The first extract with the second one on top.
+
+    Fields a record lacks keep their value, and a record older than the stored row is refused; ``undated`` tells whether
+    one without a date counts as newer.
+    """
+    return f"""WITH {CLEAN}, {SECOND}, met AS (
+    SELECT coalesce(s.id, c.id) AS id, c.name, c.state, s.state AS new_state, c.amount_total, s.amount_total AS new_amount,
+        c.write_date, s.write_date AS new_date, has_state, has_amount, s.id IS NOT NULL AND (
+            c.id IS NULL OR coalesce(s.write_date >= c.write_date, {undated})) AS taken
+    FROM clean c FULL JOIN second s ON s.id = c.id)
+SELECT id, name, CASE WHEN taken AND has_state THEN new_state ELSE state END AS state,
+       CASE WHEN taken AND has_amount THEN new_amount ELSE amount_total END AS amount_total,
+       CASE WHEN taken THEN new_date ELSE write_date END AS write_date
+FROM met {more}"""
 
 
-AFTER_MARK = "SELECT * FROM second WHERE write_date >= (SELECT max(o_orderdate) FROM orders)"
 STALE = """UNION ALL SELECT -1000000000000 - o_orderkey, NULL, o_orderstatus, o_totalprice, o_orderdate FROM orders"""
 
 ORACLE_SQL: dict[str, str] = {
@@ -283,17 +292,18 @@ SELECT l_orderkey * 8 + l_linenumber AS line_id, o_orderkey AS order_id, o_order
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE {HEADER_KEY} = o_orderkey""",
     # registry and state of the loads
     "registry_enabled": f"""
-WITH {REGISTRY} SELECT ordinal, model_name, pg_table, priority, incremental FROM models WHERE enabled""",
+WITH {REGISTRY} SELECT ordinal, model_name, pg_table, priority, incremental,
+    row_number() OVER (ORDER BY priority, ordinal) AS place FROM models WHERE enabled""",
     "registry_filter": f"""
-WITH {REGISTRY} SELECT model_name, pg_table, priority FROM models WHERE model_name IN ('FRANCE', 'GERMANY', 'PERU')""",
+WITH {REGISTRY} SELECT model_name, pg_table, priority FROM models WHERE model_name IN ('NATION_7', 'NATION_12', 'NATION_21')""",
     "registry_counts": f"""
 WITH {REGISTRY} SELECT count(*) AS models_total, count(*) FILTER (enabled) AS models_enabled FROM models""",
     "model_status": f"WITH {STATUS} SELECT * FROM state",
     "model_search": f"""
-WITH {REGISTRY} SELECT model_name, pg_table, priority FROM models WHERE model_name LIKE '%AN%'""",
+WITH {REGISTRY} SELECT model_name, pg_table, priority FROM models WHERE model_name LIKE '%NATION_1%'""",
     "model_detail": f"""
 WITH {STATUS} SELECT *, CASE WHEN incremental THEN 'Incremental' ELSE 'Completa' END AS mode,
-    {STATUS_WORDS.format('status')} AS status_label FROM state WHERE model_name = 'FRANCE'""",
+    {STATUS_WORDS.format('status')} AS status_label FROM state WHERE model_name = 'NATION_7'""",
     "area_label": f"""
 WITH {REGISTRY} SELECT ordinal, model_name, priority, CASE n_regionkey WHEN 0 THEN 'Maestros / Configuracion'
     WHEN 1 THEN 'Ventas' WHEN 2 THEN 'Contabilidad' WHEN 3 THEN 'Punto de Venta (POS)'
@@ -362,7 +372,9 @@ WITH {LOG} SELECT event_id, CASE WHEN NOT is_event THEN NULL WHEN own_level = 'E
 FROM log""",
     "log_search": f"""
 WITH {LOG} SELECT event_id, line FROM log_lines WHERE own_logger = 'etl.purchase' AND is_event""",
-    "log_tail": f"WITH {LOG} SELECT file, line FROM log_lines ORDER BY event_id DESC LIMIT 500",
+    "log_tail": f"""
+WITH {LOG}, tail AS (SELECT * FROM log_lines ORDER BY event_id DESC LIMIT 500)
+SELECT file, line, row_number() OVER (ORDER BY event_id) AS place FROM tail""",
     # reading and cleaning
     "project_fields": f"WITH {CLEAN} SELECT id, state, amount_total, write_date FROM clean",
     "clean_false_null": f"WITH {CLEAN} SELECT id, name, active, amount_total FROM clean",
@@ -375,8 +387,8 @@ WHERE o_totalprice BETWEEN 50000 AND 299999.999999 AND o_orderstatus = 'F' AND o
 SELECT o_orderkey AS id, o_orderstatus AS state, o_totalprice AS amount_total, o_orderdate AS write_date FROM orders
 WHERE o_orderdate >= TIMESTAMP '1996-06-01'""",
     "scan_page": """
-SELECT o_orderkey AS id, o_orderstatus AS state, o_orderdate AS write_date FROM orders
-ORDER BY o_orderkey LIMIT 500 OFFSET 1000""",
+SELECT o_orderkey AS id, o_orderstatus AS state, o_orderdate AS write_date,
+    row_number() OVER (ORDER BY o_orderkey) - 1000 AS place FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 1000""",
     "record_cap": """
 SELECT o_orderkey AS id, o_orderstatus AS state, o_totalprice AS amount_total, o_orderdate AS write_date FROM orders
 ORDER BY o_orderkey LIMIT 1500""",
@@ -390,8 +402,8 @@ UNION ALL SELECT 'never_loaded', NULL""",
 SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM events) + (SELECT count(*) FROM lineitem)
     + (SELECT count(*) FROM orders) + (SELECT count(*) FROM part) + (SELECT count(*) FROM supplier) AS total_records""",
     "recent_rows": """
-SELECT o_orderkey AS id, o_orderstatus AS state, o_totalprice AS amount_total FROM orders
-ORDER BY o_orderkey DESC LIMIT 20""",
+SELECT o_orderkey AS id, o_orderstatus AS state, o_totalprice AS amount_total,
+    row_number() OVER (ORDER BY o_orderkey DESC) AS place FROM orders ORDER BY o_orderkey DESC LIMIT 20""",
     # tables
     "dedupe_latest": """
 SELECT user_id AS id, event_type AS state, value AS amount_total, ts AS write_date, event_id FROM events
@@ -410,18 +422,22 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     "late_row_guard": merged(
         """CASE WHEN taken THEN c_amount ELSE b_amount END AS guarded, coalesce(last_amount, b_amount) AS arrived"""
     ),
-    "sync_table": loaded(AFTER_MARK),
+    "sync_table": loaded("true"),
     "sync_runs_logged": f"""
-WITH {CLEAN}, {SECOND}, extra AS ({AFTER_MARK}),
+WITH {CLEAN}, {SECOND}, extra AS (SELECT * FROM second),
 mark AS (SELECT max(write_date) AS first_mark, (SELECT max(write_date) FROM extra) AS second_mark FROM clean)
 SELECT 'sale.order' AS model_name, 'success' AS status, (SELECT count(*) FROM clean) AS records_synced, 0::BIGINT AS last_batch,
     first_mark AS mark, (SELECT count(*) FROM clean WHERE unreadable <> '') AS bad_values FROM mark
-UNION ALL SELECT 'sale.order', 'success', (SELECT count(*) FROM extra), 1, second_mark, 0 FROM mark""",
-    "full_refresh": loaded("SELECT * FROM second") + "\n" + STALE,
+UNION ALL SELECT 'sale.order', 'success', (SELECT count(*) FROM extra), 1, second_mark,
+    (SELECT count(*) FROM extra WHERE unreadable_date) FROM mark
+UNION ALL SELECT 'product.template', 'success', (SELECT count(*) FROM part), 0, TIMESTAMP '2020-01-01', 0
+UNION ALL SELECT 'res.users', 'error', 0, NULL, NULL, 0
+UNION ALL SELECT 'res.partner', 'skipped', 0, NULL, NULL, 0""",
+    "full_refresh": loaded("false", STALE),
+    "capped_loads": f"WITH {CLEAN} SELECT id, amount_total FROM clean",
+    "views_after_loads": f"""WITH {CLEAN}, {SECOND} SELECT 'load' AS moment, count(*) AS sessions,
+    count(*) FILTER (state = 'C') AS closed FROM ({loaded("true")})
+UNION ALL SELECT 'rebuild', count(*), count(*) FILTER (o_orderstatus = 'C') FROM orders""",
     "rebuild": f"WITH {CLEAN} SELECT id, name, state, amount_total, write_date FROM clean",
-    "stream_upsert": f"""
-WITH {CLEAN}, {SECOND} SELECT coalesce(s.id, c.id) AS id, CASE WHEN s.id IS NULL THEN c.name END AS name,
-    coalesce(s.state, c.state) AS state, CASE WHEN s.id IS NULL THEN c.amount_total ELSE s.amount_total END AS amount_total,
-    coalesce(s.write_date, c.write_date) AS write_date
-FROM clean c FULL JOIN second s ON s.id = c.id""",
+    "stream_upsert": loaded("true"),
 }

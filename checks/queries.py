@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.bindings import (
@@ -42,10 +42,10 @@ from ledgermill.plans.runlog import (
     watermark_last_success,
     watermark_reference,
 )
-from ledgermill.plans.sync import Warehouse, rebuild_table, sync_table
+from ledgermill.plans.sync import Warehouse, rebuild_table, sync_table, sync_tables
 from ledgermill.plans.views import BUSINESS_VIEWS, SALES, STOCK
-from ledgermill.registry import enabled, named, registry_counts
-from ledgermill.session import scratch_path
+from ledgermill.registry import enabled, load_registry, named, registry_counts
+from ledgermill.session import hadoop_path, local_frame, scratch_path
 from ledgermill.sources.landing import Landing, missing_sources
 from ledgermill.sources.logs import log_tail, parse_lines
 from ledgermill.specs import Join, TableSpec, ViewSpec
@@ -55,6 +55,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """With the place of each row in the order the operator gives: a comparison of rows alone would not see it."""
+    return df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+
+
 def query(build: Query) -> Query:
     """Register under the function's name; a trailing underscore keeps it apart from the operator it calls."""
     QUERIES[build.__name__.rstrip("_")] = build
@@ -134,12 +139,12 @@ def _model_status(spark, sf_dir):
 
 @query
 def registry_enabled(spark, sf_dir):
-    return enabled(registry(spark, sf_dir)).select("ordinal", "model_name", "pg_table", "priority", "incremental")
+    return placed(enabled(registry(spark, sf_dir)).select("ordinal", "model_name", "pg_table", "priority", "incremental"))
 
 
 @query
 def registry_filter(spark, sf_dir):
-    chosen = named(registry(spark, sf_dir), ["FRANCE", "germany", "PERU", "nobody"])
+    chosen = named(registry(spark, sf_dir), ["NATION_7", "nation_12", "NATION_21", "nobody"])
     return chosen.select("model_name", "pg_table", "priority")
 
 
@@ -156,13 +161,13 @@ def model_status(spark, sf_dir):
 
 @query
 def model_search(spark, sf_dir):
-    found = registry(spark, sf_dir).where(contains_text("aN", "model_name", "pg_table"))
+    found = registry(spark, sf_dir).where(contains_text("ioN_1", "model_name", "pg_table"))
     return found.select("model_name", "pg_table", "priority")
 
 
 @query
 def model_detail(spark, sf_dir):
-    return monitor.model_detail(_model_status(spark, sf_dir), "FRANCE")
+    return monitor.model_detail(_model_status(spark, sf_dir), "NATION_7")
 
 
 @query
@@ -305,7 +310,7 @@ def log_search(spark, sf_dir):
 
 @query
 def log_tail_(spark, sf_dir):
-    return log_tail(log_events(spark, sf_dir)).select("file", "line")
+    return placed(log_tail(log_events(spark, sf_dir)).select("file", "line"))
 
 
 # --- reading and cleaning -------------------------------------------------------------------------------------------
@@ -371,7 +376,7 @@ def incremental_scan(spark, sf_dir):
 
 @query
 def scan_page_(spark, sf_dir):
-    return scan_page(_orders(spark, sf_dir), ["id", "state", "write_date"], offset=1_000, limit=500)
+    return placed(scan_page(_orders(spark, sf_dir), ["id", "state", "write_date"], offset=1_000, limit=500))
 
 
 
@@ -406,7 +411,7 @@ def total_records_(spark, sf_dir):
 
 @query
 def recent_rows_(spark, sf_dir):
-    return recent_rows(_orders(spark, sf_dir), columns=3)
+    return placed(recent_rows(_orders(spark, sf_dir), columns=3))
 
 
 
@@ -508,20 +513,28 @@ def _house(spark, sf_dir) -> Warehouse:
     return Warehouse(landing, TableStore(spark, f"{root}/tables"), RunLog(spark, f"{root}/tables"))
 
 
-def _land_changes(house: Warehouse, spark, sf_dir) -> None:
-    """Extract 1: every order again, a third of them as new ids, later or earlier than the extract before."""
+def _land_changes(house: Warehouse, spark, sf_dir, spec: TableSpec = ORDER) -> None:
+    """Extract 1: every order again, a third of them as new ids.
+
+    Records lack the state or the amount, are newer or older than the first extract, or have no date or one that cannot
+    be read.
+    """
+    date = (
+        "CASE o_orderkey % 11 WHEN 1 THEN 'false' WHEN 2 THEN 'some day' ELSE date_format(o_orderdate + make_dt_interval("
+        "CAST(CASE WHEN o_orderkey % 11 = 0 THEN -1000 ELSE o_orderkey % 2000 END AS INT)), 'yyyy-MM-dd HH:mm:ss') END"
+    )
     changes = (
         source(spark, sf_dir, "orders")
         .selectExpr(
             "CASE WHEN o_orderkey % 3 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS id",
-            "'C' AS state",
-            "o_totalprice AS amount_total",
-            "date_format(o_orderdate + make_dt_interval(CAST(o_orderkey % 2000 AS INT)), 'yyyy-MM-dd HH:mm:ss')"
-            " AS write_date",
+            "CASE WHEN o_orderkey % 4 <> 1 THEN 'C' END AS state",
+            "CASE WHEN o_orderkey % 4 <> 2 THEN o_totalprice END AS amount_total",
+            f"{date} AS write_date",
         )
+        # to_json leaves nulls out, so these records do not carry the field.
         .select(F.to_json(F.struct("id", "state", "amount_total", "write_date")).alias("value"))
     )
-    _land(spark, changes, house.landing, ORDER, 1)
+    _land(spark, changes, house.landing, spec, 1)
 
 
 def _stale_orders(spark, sf_dir) -> DataFrame:
@@ -538,7 +551,7 @@ def _logged(house: Warehouse, **options) -> None:
 
 @query
 def sync_table_(spark, sf_dir):
-    """A first load and an incremental one: the second takes what is at or after the mark and keeps absent fields."""
+    """A first load and an incremental one: the second takes the whole new extract and keeps absent fields."""
     house = _house(spark, sf_dir)
     _logged(house)
     _land_changes(house, spark, sf_dir)
@@ -549,14 +562,51 @@ def sync_table_(spark, sf_dir):
 
 @query
 def sync_runs_logged(spark, sf_dir):
-    """The run log of those two loads."""
+    """The run log of two loads of several tables at a time; one has a broken filter, one has not landed."""
     house = _house(spark, sf_dir)
-    _logged(house)
+    template = TableSpec("product_template", ("id", "name", "write_date"))
+    parts = source(spark, sf_dir, "part").selectExpr("p_partkey AS id", "p_name AS name", "'2020-01-01 00:00:00' AS write_date")
+    _land(spark, parts.select(F.to_json(F.struct("*")).alias("value")), house.landing, template, 0)
+    broken = TableSpec("res_users", ("id", "name"), domain=(("nobody", "=", 1),))
+    _land(spark, parts.select(F.to_json(F.struct("id")).alias("value")), house.landing, broken, 0)
+    sync_tables(house, [ORDER, template, broken, TableSpec("res_partner", ("id", "name"))])
     _land_changes(house, spark, sf_dir)
-    _logged(house)
+    sync_tables(house, [ORDER])
     return house.runlog.runs().select("model_name", "status", "records_synced", "last_batch", "mark", "bad_values")
 
 
+@query
+def capped_loads(spark, sf_dir):
+    """Loads of at most a third of the table each, until one is done."""
+    house = _house(spark, sf_dir)
+    house.cap = source(spark, sf_dir, "orders").count() // 3 + 1
+    house.batch_size = house.cap
+    for _ in range(4):
+        house.runlog.append([sync_table(house, ORDER)])
+    return house.store.read(ORDER).select("id", F.col("amount_total"))
+
+
+@query
+def views_after_loads(spark, sf_dir):
+    """One view, registered once, read by SQL after a second load and after a rebuild."""
+    session = next(s for s in load_registry() if s.name == "pos_session")
+    root = scratch_path(spark, "house")
+    landing = Landing(spark, f"{root}/landing")
+    house = Warehouse(landing, TableStore(spark, f"{root}/tables"), RunLog(spark, f"{root}/tables"), views_over=tuple(load_registry()))
+    _land(spark, raw_records(spark, sf_dir), landing, session, 0)
+    sync_tables(house, [session])
+    count = "SELECT '{}' AS moment, count(*) AS sessions, count_if(state = 'C') AS closed FROM bi_pos_sesiones"
+    spark.sql(count.format("first")).collect()
+    _land_changes(house, spark, sf_dir, session)
+    sync_tables(house, [session])
+    loaded = local_frame(spark, map(tuple, spark.sql(count.format("load")).collect()), "moment string, sessions bigint, closed bigint")
+    fs, path = hadoop_path(spark, f"{landing.path(session)}/landed_batch=1")
+    fs.delete(path, True)
+    rebuild_table(house, session)
+    house.store.drop_old_versions(session.name)
+    return loaded.unionByName(spark.sql(count.format("rebuild")))
+
+
 @query
 def full_refresh(spark, sf_dir):
     """Everything is read again whatever the mark says, and rows the source does not have stay."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.operators.store import range_of
@@ -51,11 +51,10 @@ def record_cap(df: DataFrame, cap: int, batch_size: int = 500, width: int = 100_
     keep = -(-cap // batch_size) * batch_size
     ranged = df.withColumn("_range", range_of("id", width))
     counts = ranged.where("id is not null").groupBy("_range").agg(F.count("*").alias("n"))
-    full, taken = None, 0
-    for row in counts.orderBy("_range").toLocalIterator():
-        if taken + row.n > keep:
-            edge = ranged.where(F.col("_range") == row["_range"]).orderBy("id").limit(keep - taken)
-            below = ranged.where(F.col("_range") < row["_range"])
-            return below.unionByName(edge).drop("_range")
-        full, taken = row["_range"], taken + row.n
-    return ranged.where(F.col("_range") <= full).drop("_range") if full is not None else df.limit(0)
+    before = F.sum("n").over(Window.orderBy("_range")) - F.col("n")  # one row per range
+    reached = counts.select("_range", before.alias("before")).where(F.col("before") < keep)
+    edge = reached.agg(F.max("_range").alias("range"), F.max_by("before", "_range").alias("before")).first()
+    if edge["range"] is None:
+        return df.limit(0)
+    last = ranged.where(F.col("_range") == edge["range"]).orderBy("id").limit(keep - edge["before"])
+    return ranged.where(F.col("_range") < edge["range"]).unionByName(last).drop("_range")

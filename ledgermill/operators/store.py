@@ -10,13 +10,13 @@ where a hash would spread every batch over all of them.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.session import local_frame, path_exists
+from ledgermill.session import hadoop_path, local_frame, path_exists
 from ledgermill.specs import TableSpec
 
 ABOUT_SCHEMA = "change int, version int, columns string, bucket_width bigint, slice_width bigint"
@@ -72,15 +72,27 @@ class TableStore:
         return self.spark.read.schema(schema).parquet(self.data_path(name, info))
 
     def read(self, spec: TableSpec | str) -> DataFrame:
-        """The table; for a spec whose table was never written, no rows with the declared schema."""
+        """The table, with every column its spec declares; where it was never written, no rows of them."""
         name = spec if isinstance(spec, str) else spec.name
         info = self.info(name)
         if info is not None and path_exists(self.spark, self.data_path(name, info)):
+            if not isinstance(spec, str):
+                info = replace(info, schema=widened(info.schema, spec.schema()))
             return self.read_buckets(name, info).drop("id_bucket")
         if isinstance(spec, str):
             raise ValueError(f"table {name} does not exist")
         return local_frame(self.spark, [], spec.schema())
 
+    def drop_old_versions(self, name: str) -> list[int]:
+        """Delete the versions a rebuild has replaced: once no reader of them is left."""
+        info = self.info(name)
+        fs, path = hadoop_path(self.spark, f"{self.root}/{name}")
+        found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")]
+        old = sorted(int(p.getName()[2:]) for p in found if int(p.getName()[2:]) < info.version)
+        for version in old:
+            fs.delete(hadoop_path(self.spark, f"{self.root}/{name}/v={version}")[1], True)
+        return old
+
     def columns(self, spec: TableSpec | str) -> DataFrame:
         """Column names and types in order."""
         rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(self.read(spec).schema.fields)]

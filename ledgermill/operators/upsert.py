@@ -3,7 +3,7 @@
 Parquet has no MERGE, so a batch is merged by rewriting directories with dynamic partition overwrite. The files being
 replaced stay until the job commits, so lost executors only cost repeated tasks. Preconditions: one writer per table,
 and a reader during the commit may see some ranges before and some after it (``rebuild`` switches a whole table). A
-driver lost during the commit can leave a range out of place; ``keep_copy`` and ``restore`` are for that.
+driver lost during the commit can leave a range out of place; the copy kept by default and ``restore`` are for that.
 
 A batch small enough to broadcast is merged into the stored rows where they are read, and they are not shuffled. Any
 other batch costs them one shuffle, by (id_bucket, id_slice), which serves both the merge and the write. A slice holds
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.operators.dedupe import dedupe_latest
+from ledgermill.operators.dedupe import combine_latest, dedupe_latest
 from ledgermill.operators.sizes import broadcast_limit, row_bytes
 from ledgermill.operators.store import TableInfo, TableStore, range_of, widened
 from ledgermill.session import Staged, path_exists
@@ -40,6 +40,7 @@ class UpsertResult:
     last_batch: int | None
     buckets: tuple[int, ...]
     bad_values: dict[str, int]
+    last_id: int | None = None
 
 
 def merge_in_place(
@@ -48,25 +49,29 @@ def merge_in_place(
     """The same as ``merge_rows`` for changes that fit a broadcast, which the caller has checked."""
     names = [c for c in stored.columns if c not in ("id", "id_bucket", "id_slice")]
     news = [n for n in names if n in columns]
-    change = F.broadcast(changes.select(F.col("id").alias("_id"), *[F.col(n).alias(f"_new_{n}") for n in news]))
+    marks = ["_has"] if "_has" in changes.columns else []
+    change = F.broadcast(changes.select(F.col("id").alias("_id"), *marks, *[F.col(n).alias(f"_new_{n}") for n in news]))
     joined = stored.join(change, F.col("id") == F.col("_id"), "left")
     applies = F.col("_id").isNotNull()
     if not arrival_wins and "write_date" in news:
         applies &= ~F.coalesce(F.col("write_date") > F.col("_new_write_date"), F.lit(False))
 
     def value(name: str):
-        return F.when(applies, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name) if name in news else name
+        if name not in news:
+            return name
+        carried = applies & F.array_contains("_has", F.lit(name)) if marks else applies
+        return F.when(carried, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
 
     updated = joined.select("id", *[value(n) for n in names], "id_bucket")
     known = stored.select("id").join(F.broadcast(changes.select("id")), "id", "left_semi")
-    inserted = changes.join(known, "id", "left_anti").repartition("id_bucket").drop("id_slice")
+    inserted = changes.join(known, "id", "left_anti").repartition("id_bucket").drop("id_slice", *marks)
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 
 def merge_rows(stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool = False) -> DataFrame:
     """Stored rows and deduplicated changes to the rows that remain; both carry id_bucket and id_slice.
 
-    Columns outside ``columns`` keep their stored value. A change older than the stored row is refused, unless arrival
+    Columns outside ``columns``, or outside a change's own ``_has``, keep their stored value. A change older than the stored row is refused, unless arrival
     wins or either of the two has no write_date.
     """
     names = [c for c in stored.columns if c not in ("id", "id_bucket", "id_slice")]
@@ -89,6 +94,8 @@ def merge_rows(stored: DataFrame, changes: DataFrame, columns: Collection[str],
 
     def value(name: str):
         keep_old = stale if name in columns else updates
+        if name in columns and "_has" in changes.columns:
+            keep_old = stale | (updates & ~F.array_contains("_has", F.lit(name)))
         return F.when(keep_old, F.col(f"_old_{name}")).otherwise(F.col(name)).alias(name)
 
     return met.select("id", *[value(n) for n in names], "id_bucket")
@@ -133,6 +140,7 @@ def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str)
     rows = _placed(changes, bucket_width, slice_width)
     facts = [
         F.count("id").alias("records"),
+        F.max("id").alias("last_id"),
         F.count_if(F.col("id").isNull()).alias("rejected"),
         F.sort_array(F.collect_set("id_bucket")).alias("buckets"),
         F.sum(row_bytes(rows)).alias("bytes"),
@@ -141,6 +149,8 @@ def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str)
         facts.append(F.max("write_date").alias("newest"))
     if "_batch" in rows.columns:
         facts.append(F.max("_batch").alias("last_batch"))
+    if "_has" in rows.columns:
+        facts += [F.min("_has").alias("has_low"), F.max("_has").alias("has_high")]
     if "_bad" in rows.columns:
         fields = [c for c in changes.columns if not c.startswith("_")]
         facts += [F.count_if(F.array_contains("_bad", F.lit(f))).alias(f"bad {f}") for f in fields]
@@ -150,23 +160,34 @@ def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str)
 def _result(facts: dict) -> UpsertResult:
     bad = {k.removeprefix("bad "): n for k, n in facts.items() if k.startswith("bad ") and n}
     return UpsertResult(
-        facts["records"], facts["rejected"], facts.get("newest"), facts.get("last_batch"), tuple(facts["buckets"]), bad
+        facts["records"], facts["rejected"], facts.get("newest"), facts.get("last_batch"), tuple(facts["buckets"]), bad,
+        facts["last_id"],
     )
 
 
+def _winners(rows: DataFrame, facts: dict, arrival_wins: bool = False) -> tuple[DataFrame, Collection[str] | None]:
+    """One row per id, and the fields that all records carry; None where a row has its own in ``_has``, or all."""
+    rows = rows.where("id is not null")
+    if "_has" in rows.columns and facts["has_low"] != facts["has_high"]:
+        return combine_latest(rows, arrival_wins), None
+    winners = dedupe_latest(rows.drop("_has"), arrival_wins).drop("_batch", "_bad")
+    return winners, facts["has_high"] if "_has" in rows.columns else None
+
+
 def upsert(
     store: TableStore,
     spec: TableSpec,
     changes: DataFrame,
     columns: Collection[str] | None = None,
     arrival_wins: bool = False,
-    keep_copy: bool = False,
+    keep_copy: bool = True,
 ) -> UpsertResult:
     """Apply a batch of changes to the table of ``spec``, creating or widening the table first.
 
-    ``changes`` has an ``id``, any columns of the table, and optionally ``_batch`` (arrival order) and ``_bad``
-    (unreadable fields). ``columns`` limits the update to the columns the batch is known to carry. ``keep_copy`` writes
-    the merged ranges twice, so that a commit that was cut short can be finished by ``restore``.
+    ``changes`` has an ``id``, any columns of the table, and optionally ``_batch`` (arrival order), ``_bad`` (unreadable
+    fields) and ``_has`` (the fields that each record carries; those it does not carry keep their stored value).
+    ``columns`` limits the update of the whole batch. ``keep_copy`` writes the merged ranges twice, so that a commit that
+    was cut short can be finished by ``restore``; without it such a commit can lose ranges.
     """
     data = [c for c in changes.columns if not c.startswith("_")]
     columns = [c for c in data if columns is None or c in columns or c == "id"]
@@ -186,11 +207,12 @@ def upsert(
             store.describe(spec.name, replace(new_info, change=new_info.change + 1))
         if not facts.records:
             return facts
-        winners = dedupe_latest(rows.where("id is not null"), arrival_wins).drop("_batch", "_bad")
+        winners, carried = _winners(rows, staged.facts, arrival_wins)
+        columns = [c for c in columns if carried is None or c in carried or c == "id"]
         if info is None or not path_exists(store.spark, path):
-            empty = {f.name: F.lit(None).cast(f.dataType) for f in new_info.schema.fields if f.name not in columns}
+            empty = {f.name: F.lit(None).cast(f.dataType) for f in new_info.schema.fields if f.name not in winners.columns}
             names = [f.name for f in new_info.schema.fields]
-            placed = winners.withColumns(empty).repartition("id_bucket", "id_slice").select(*names, "id_bucket")
+            placed = winners.withColumns(empty).drop("_has").repartition("id_bucket", "id_slice").select(*names, "id_bucket")
             _write(placed.sortWithinPartitions("id_bucket", "id"), path)
             return facts
         stored = store.read_buckets(spec.name, new_info).where(F.col("id_bucket").isin(list(facts.buckets)))
@@ -212,7 +234,7 @@ def rebuild(store: TableStore, spec: TableSpec, rows: DataFrame) -> UpsertResult
     rows = _as_kept(rows, fresh.schema)
     with _stage(rows, fresh.bucket_width, fresh.slice_width, f"rebuild-{spec.name}") as staged:
         facts = _result(staged.facts)
-        winners = dedupe_latest(staged.rows.where("id is not null")).drop("_batch", "_bad")
+        winners = _winners(staged.rows, staged.facts)[0].drop("_has")
         missing = [f for f in fresh.schema.fields if f.name not in winners.columns]
         winners = winners.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
         placed = winners.repartition("id_bucket", "id_slice").drop("id_slice").sortWithinPartitions("id_bucket", "id")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable
-from dataclasses import astuple, dataclass
+from dataclasses import astuple, dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from ledgermill.session import local_frame, path_exists
 RUN_SCHEMA = (
     "run_id string, model_name string, pg_table string, started_at timestamp_ntz, last_sync timestamp_ntz, "
     "records_synced bigint, duration_seconds double, status string, error_message string, mark timestamp_ntz, "
-    "last_batch bigint, rejected bigint, bad_values bigint"
+    "last_batch bigint, rejected bigint, bad_values bigint, last_id bigint"
 )
 
 
@@ -34,14 +35,20 @@ class Run:
     last_batch: int | None = None
     rejected: int = 0
     bad_values: int = 0
+    last_id: int | None = None
 
 
 @dataclass(frozen=True)
 class Progress:
-    """Where the next incremental load of a model starts."""
+    """Where the next incremental load of a model starts.
+
+    A capped load that was not done goes on after ``last_id``, in the extracts up to ``upto`` that it began with.
+    """
 
     mark: datetime | None = None
     last_batch: int | None = None
+    last_id: int | None = None
+    upto: int | None = None
 
 
 def sync_state_latest(runs: DataFrame) -> DataFrame:
@@ -81,10 +88,13 @@ class RunLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = f"{root.rstrip('/')}/etl_sync_log"
+        self.one_at_a_time = threading.Lock()  # appends share a folder for their temporary files
 
     def append(self, runs: Iterable[Run]) -> None:
         rows = [astuple(r) for r in runs]
-        if rows:
+        if not rows:
+            return
+        with self.one_at_a_time:
             local_frame(self.spark, rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def runs(self) -> DataFrame:
@@ -96,5 +106,10 @@ class RunLog:
         """Every model's progress; one row per model reaches the driver."""
         if reference_watermark:
             return {r.model_name: Progress(r.mark) for r in watermark_reference(self.runs()).collect()}
-        marks = watermark_last_success(self.runs())
-        return {r.model_name: Progress(r.mark, r.last_batch) for r in marks.collect()}
+        runs = self.runs()
+        marks = {r.model_name: Progress(r.mark, r.last_batch) for r in watermark_last_success(runs).collect()}
+        latest = sync_state_latest(runs.where("status IN ('success', 'partial')")).where("status = 'partial'")
+        for r in latest.collect():
+            before = marks.get(r.model_name, Progress())
+            marks[r.model_name] = replace(before, last_id=r.last_id, upto=r.last_batch)
+        return marks

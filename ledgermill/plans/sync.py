@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta, timezone
 from multiprocessing.pool import ThreadPool
 
@@ -18,6 +18,7 @@ from ledgermill.operators.paging import record_cap
 from ledgermill.operators.store import TableStore
 from ledgermill.operators.upsert import UpsertResult, rebuild, upsert
 from ledgermill.plans.runlog import Progress, Run, RunLog
+from ledgermill.plans.views import register_views
 from ledgermill.registry import select_specs
 from ledgermill.sources.landing import Landing
 from ledgermill.specs import TableSpec
@@ -36,7 +37,8 @@ class Warehouse:
     ``reference_watermark`` starts from the finish time of the latest run if it succeeded, and else reads everything.
     ``overlap`` reads that much more before the mark; the upsert makes it harmless. ``replace_full`` makes a load of a
     table that is not incremental replace the table, so that rows the source dropped go; else they stay. ``keep_copy``
-    makes upserts recoverable when the driver is lost during a commit.
+    makes upserts recoverable when the driver is lost during a commit. The views over the tables ``views_over`` (all that
+    the views read) are registered anew after each load.
     """
 
     landing: Landing
@@ -48,17 +50,39 @@ class Warehouse:
     arrival_wins: bool = False
     reference_watermark: bool = False
     replace_full: bool = False
-    keep_copy: bool = False
+    keep_copy: bool = True
+    views_over: tuple[TableSpec, ...] = ()
 
+    def __post_init__(self):
+        if self.replace_full and self.cap:
+            raise ValueError("a capped load reads a part of a table and cannot replace it")
 
-def changed_rows(house: Warehouse, spec: TableSpec, start: Progress) -> DataFrame:
-    """The typed records a load has to apply."""
-    rows = house.landing.read(spec, start.last_batch).where(domain_filter(spec.domain))
-    if start.mark is not None:
-        rows = rows.where(since(start.mark - house.overlap))
+    def refresh_views(self) -> None:
+        """Register the views over the files as they are now; a view made before a load reads files that may be gone."""
+        if self.views_over:
+            tables = {s.name: s for s in self.views_over}
+            register_views(lambda name: self.store.read(tables[name]), self.runlog.runs())
+
+
+def changed_rows(house: Warehouse, spec: TableSpec, start: Progress, numbered: bool) -> DataFrame:
+    """The typed records a load has to apply.
+
+    New extracts are read whole: the upsert refuses what is older than the stored row. Only records that are not in
+    numbered extracts, or a house with the reference's rule, are told apart by their date; one without a date passes.
+    """
+    rows = house.landing.read(spec, start.last_batch, start.upto).where(domain_filter(spec.domain))
+    if start.mark is not None and (house.reference_watermark or not numbered):
+        rows = rows.where(since(start.mark - house.overlap) | F.col("write_date").isNull())
     return rows
 
 
+def next_rows(house: Warehouse, rows: DataFrame, start: Progress) -> DataFrame:
+    """The next rows by id under the cap; rows without an id come with the first ones, to be counted as rejected."""
+    if start.last_id is not None:
+        return record_cap(rows.where(F.col("id") > start.last_id), house.cap, house.batch_size)
+    return record_cap(rows, house.cap, house.batch_size).unionByName(rows.where("id is null"))
+
+
 def next_mark(started: datetime, newest: datetime | None, before: datetime | None) -> datetime | None:
     """The start of the load, or the newest change seen if that is earlier; unchanged without rows."""
     return before if newest is None else min(started, newest)
@@ -84,33 +108,24 @@ def sync_table(
             start = house.runlog.progress(house.reference_watermark).get(spec.model, Progress())
         if full or not spec.incremental:
             start = Progress()
-        rows = changed_rows(house, spec, start)
-        if house.replace_full and not spec.incremental and not house.cap:
+        batches = house.landing.batches(spec)
+        if start.upto is None and batches:
+            start = replace(start, upto=batches[-1])
+        if not house.cap:
+            start = replace(start, last_id=None, upto=batches[-1] if batches else None)
+        rows = changed_rows(house, spec, start, bool(batches))
+        if house.replace_full and not spec.incremental:
             facts = rebuild(house.store, spec, rows)
             return run(records_synced=facts.records, rejected=facts.rejected, bad_values=sum(facts.bad_values.values()),
                        mark=next_mark(started, facts.max_write_date, None), last_batch=facts.last_batch)
         if house.cap:
-            rows = record_cap(rows, house.cap, house.batch_size)
-        parts: list[UpsertResult] = []
-        groups = house.landing.column_groups(spec, start.last_batch)
-        for batches, fields in groups:
-            part = rows if len(groups) == 1 else rows.where(F.col("_batch").isin(batches))
-            parts.append(upsert(house.store, spec, part, fields, house.arrival_wins, house.keep_copy))
-        records = sum(p.records for p in parts)
-        rejected = sum(p.rejected for p in parts)
-        bad = sum(sum(p.bad_values.values()) for p in parts)
-        if house.cap and records + rejected >= house.cap:
-            return run(status="partial", records_synced=records, rejected=rejected, bad_values=bad)
-        newest = max((p.max_write_date for p in parts if p.max_write_date), default=None)
-        last = max((b for batches, _ in groups for b in batches), default=start.last_batch)
-        landed = bool(house.landing.batches(spec))
-        return run(
-            records_synced=records,
-            rejected=rejected,
-            bad_values=bad,
-            mark=next_mark(started, newest, start.mark),
-            last_batch=last if landed else None,
-        )
+            rows = next_rows(house, rows, start)
+        facts = upsert(house.store, spec, rows, None, house.arrival_wins, house.keep_copy)
+        counted = dict(records_synced=facts.records, rejected=facts.rejected, bad_values=sum(facts.bad_values.values()))
+        if house.cap and facts.records >= house.cap:
+            return run(status="partial", last_id=facts.last_id, last_batch=start.upto, **counted)
+        mark = next_mark(started, facts.max_write_date, start.mark)
+        return run(mark=mark, last_batch=start.upto, **counted)
     except Exception as problem:  # one table must not stop the others
         logger.exception("load of %s failed", spec.name)
         return run(status="error", error_message=str(problem))
@@ -123,7 +138,7 @@ def sync_tables(
     only: Iterable[str] | None = None,
     threads: int = 8,
 ) -> list[Run]:
-    """Load the enabled tables, several at a time in load order, and append their rows to the run log."""
+    """Load the enabled tables, several at a time in load order; each has its row in the run log as it ends."""
     chosen = select_specs(specs, only)
     run_id = f"{utc_now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     progress = house.runlog.progress(house.reference_watermark)
@@ -131,15 +146,19 @@ def sync_tables(
 
     def one(spec: TableSpec) -> Run:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
-        return sync_table(house, spec, full, run_id, progress.get(spec.model, Progress()))
+        done = sync_table(house, spec, full, run_id, progress.get(spec.model, Progress()))
+        house.runlog.append([done])
+        return done
 
     with ThreadPool(max(1, min(threads, len(chosen)))) as pool:
         runs = pool.map(inheritable_thread_target(spark)(one), chosen, chunksize=1)
-    house.runlog.append(runs)
+    house.refresh_views()
     return runs
 
 
 def rebuild_table(house: Warehouse, spec: TableSpec) -> UpsertResult:
     """Replace a table with everything that has landed; rows the source no longer has are gone afterwards."""
     spec = house.landing.resolve(spec)
-    return rebuild(house.store, spec, house.landing.read(spec).where(domain_filter(spec.domain)))
+    facts = rebuild(house.store, spec, house.landing.read(spec).where(domain_filter(spec.domain)))
+    house.refresh_views()
+    return facts

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
@@ -40,7 +42,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 @functools.cache
 def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="ledgermill-")
+    folder = tempfile.mkdtemp(prefix="ledgermill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -7,8 +7,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from itertools import groupby
-from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +19,21 @@ from ledgermill.specs import TableSpec
 BATCH = "landed_batch"
 
 
+def raw_records(lines: DataFrame, spec: TableSpec, number: int = 0) -> DataFrame:
+    """Landed JSON lines to the configured fields as they are, ``_has`` and ``_batch``.
+
+    ``_has`` names the fields that the record carries: a field left out is not the same as one without a value. The
+    extract number is that of the file's folder, or ``number``.
+    """
+    schema = raw_schema(spec)
+    batch = F.regexp_extract("_metadata.file_path", rf"/{BATCH}=(\d+)/", 1).try_cast("bigint")
+    has = F.array_sort(F.array_intersect(F.json_object_keys("value"), F.array(*[F.lit(f) for f in schema.names])))
+    records = lines.where(F.length(F.trim("value")) > 0).select(
+        F.from_json("value", schema).alias("record"), has.alias("_has"), F.coalesce(batch, F.lit(number).cast("bigint")).alias("_batch")
+    )
+    return records.select("record.*", "_has", "_batch")
+
+
 class Landing:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -38,11 +51,12 @@ class Landing:
         names = [s.getPath().getName() for s in fs.listStatus(path)]
         return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}="))
 
-    def folders(self, spec: TableSpec, after_batch: int | None = None) -> list[str]:
+    def folders(self, spec: TableSpec, after_batch: int | None = None, upto: int | None = None) -> list[str]:
         batches = self.batches(spec)
         if not batches:
             return [self.path(spec)] if after_batch is None else []
-        return [f"{self.path(spec)}/{BATCH}={b}" for b in batches if after_batch is None or b > after_batch]
+        wanted = [b for b in batches if (after_batch is None or b > after_batch) and (upto is None or b <= upto)]
+        return [f"{self.path(spec)}/{BATCH}={b}" for b in wanted]
 
     def resolve(self, spec: TableSpec) -> TableSpec:
         """The spec with its fields; one without a field list takes every field the records have."""
@@ -53,40 +67,17 @@ class Landing:
         found = [r.name for r in names.orderBy("name").collect() if not r.name.endswith("_ids")]
         return TableSpec(**{**spec.__dict__, "fields": tuple(found)}).with_keys()
 
-    def raw(self, spec: TableSpec, after_batch: int | None = None) -> DataFrame:
+    def raw(self, spec: TableSpec, after_batch: int | None = None, upto: int | None = None) -> DataFrame:
         """The raw records of the extracts after ``after_batch``; the folders of older ones are not even listed."""
-        schema = T.StructType(raw_schema(spec).fields + [T.StructField(BATCH, T.LongType())])
-        folders = self.folders(spec, after_batch)
+        folders = self.folders(spec, after_batch, upto)
         if not folders:
-            return local_frame(self.spark, [], schema).withColumnRenamed(BATCH, "_batch")
-        records = self.spark.read.schema(schema).option("basePath", self.path(spec)).json(folders)
-        return records.withColumn("_batch", F.coalesce(BATCH, F.lit(0))).drop(BATCH)
-
-    def read(self, spec: TableSpec, after_batch: int | None = None) -> DataFrame:
-        """Typed records with ``_batch`` and ``_bad``."""
-        return clean(self.raw(spec, after_batch), spec, keep=("_batch",))
-
-    def first_record_fields(self, spec: TableSpec, batch: int | None = None) -> tuple[str, ...]:
-        """The configured fields that the first record of an extract has."""
-        folder = self.path(spec) if batch is None else f"{self.path(spec)}/{BATCH}={batch}"
-        files = sorted(self.spark.read.text(folder).inputFiles())
-        row = None
-        for name in files:
-            row = self.spark.read.text(name).select(F.json_object_keys("value").alias("names")).first()
-            if row:
-                break
-        present = set(row.names or []) if row else set()
-        return tuple(f for f in spec.with_keys().fields if f in present or f == "id")
-
-    def column_groups(self, spec: TableSpec, after_batch: int | None = None) -> list[tuple[list[int], tuple[str, ...]]]:
-        """Runs of consecutive extracts that carry the same fields; normally all of them in one run."""
-        batches = [b for b in self.batches(spec) if after_batch is None or b > after_batch]
-        if not batches:
-            return [] if after_batch is not None else [([0], self.first_record_fields(spec))]
-        with ThreadPool(min(16, len(batches))) as pool:
-            fields = pool.map(lambda b: self.first_record_fields(spec, b), batches)
-        runs = groupby(zip(batches, fields), key=lambda pair: pair[1])
-        return [([b for b, _ in members], names) for names, members in runs]
+            schema = T.StructType([*raw_schema(spec).fields, *T.StructType.fromDDL("_has array<string>, _batch bigint").fields])
+            return local_frame(self.spark, [], schema)
+        return raw_records(self.spark.read.text(folders), spec)
+
+    def read(self, spec: TableSpec, after_batch: int | None = None, upto: int | None = None) -> DataFrame:
+        """Typed records with ``_batch``, ``_has`` and ``_bad``."""
+        return clean(self.raw(spec, after_batch, upto), spec, keep=("_batch", "_has"))
 
     def field_catalogue(self, spec: TableSpec) -> DataFrame:
         """Per field of the records, sorted by name: the declared type (``?`` if none) and the types that were seen."""

@@ -16,8 +16,9 @@ TAIL = 500
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, block, seq, line``; ordering by the first three gives the order of the lines."""
+    """``file, block, seq, line``, whose first three give the order of the lines of a file, and when it was ``modified``."""
     return spark.read.text(path).select(
+        F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
@@ -70,6 +71,9 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 
 def log_tail(lines: DataFrame, count: int = TAIL) -> DataFrame:
-    """The last lines in file order."""
-    order = ("file", "block", "seq")
+    """The last lines: of the file that was written last first, and not of the one whose name sorts last.
+
+    A rotated file has an older time than the current one. Lines without ``modified`` are ordered by the rest.
+    """
+    order = [c for c in ("modified", "file", "block", "seq") if c in lines.columns]
     return lines.orderBy(*[F.desc(c) for c in order]).limit(count).orderBy(*order)

@@ -39,7 +39,6 @@ class TableSpec:
     model: str = ""
     kinds: dict[str, str] = field(default_factory=dict, hash=False)
     keep_false: bool = False
-    unique: bool = True
     bucket_width: int = 1_000_000
     slice_width: int = 100_000
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ledgermill.functions.cleaning import clean, raw_schema
+from ledgermill.functions.cleaning import clean
 from ledgermill.functions.predicates import domain_filter
 from ledgermill.operators.store import TableStore
 from ledgermill.operators.upsert import upsert
-from ledgermill.sources.landing import BATCH, Landing
+from ledgermill.plans.runlog import Run, RunLog
+from ledgermill.plans.sync import Warehouse, utc_now
+from ledgermill.registry import select_specs
+from ledgermill.sources.landing import Landing, raw_records
 from ledgermill.specs import TableSpec
 
 
@@ -23,26 +27,53 @@ def stream_upsert(
     every: str | None = None,
     max_files: int | None = None,
     arrival_wins: bool = False,
+    runlog: RunLog | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Keep a table current from its landing folder.
 
     Without ``every`` the query takes what has landed and ends, for a scheduler that calls it again; with it (say,
     ``15 minutes``) the query keeps running. File arrival decides what is read, so a record with an old write_date is
-    still taken, and the upsert refuses it only where the stored row is newer. A restart repeats the batch that was
-    in flight, which the upsert makes harmless.
+    still taken, and the upsert refuses it only where the stored row is newer; fields a record lacks keep their value.
+    A restart repeats the batch that was in flight, which the upsert makes harmless. Each batch has a row in ``runlog``.
+    With ``archive`` files that were taken are moved there, so that the folder does not have to be listed for ever.
     """
     spec = landing.resolve(spec)
-    schema = T.StructType(raw_schema(spec).fields + [T.StructField(BATCH, T.LongType())])
-    reader = landing.spark.readStream.schema(schema)
+    reader = landing.spark.readStream.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    records = reader.json(landing.path(spec))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    records = raw_records(reader.text(landing.path(spec)), spec)
 
     def apply(batch: DataFrame, number: int) -> None:
-        raw = batch.withColumn("_batch", F.coalesce(BATCH, F.lit(number))).drop(BATCH)
-        rows = clean(raw, spec, keep=("_batch",)).where(domain_filter(spec.domain))
-        upsert(TableStore(batch.sparkSession, store.root), spec, rows, arrival_wins=arrival_wins)
+        started, run_id = utc_now(), f"stream-{number}-{uuid.uuid4().hex[:8]}"
+
+        def log(**facts) -> None:
+            ended = utc_now()
+            seconds = (ended - started).total_seconds()
+            if runlog:
+                runlog.append([Run(run_id, spec.model, spec.name, started, ended, duration_seconds=seconds, **facts)])
+
+        try:
+            rows = clean(batch, spec, keep=("_batch", "_has")).where(domain_filter(spec.domain))
+            done = upsert(TableStore(batch.sparkSession, store.root), spec, rows, arrival_wins=arrival_wins)
+        except Exception as problem:
+            log(status="error", error_message=str(problem))
+            raise
+        log(records_synced=done.records, rejected=done.rejected, bad_values=sum(done.bad_values.values()))
 
     writer = records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
+
+
+def stream_tables(
+    house: Warehouse, specs: Iterable[TableSpec], checkpoints: str, every: str | None = None, **options
+) -> dict[str, StreamingQuery]:
+    """A stream for each enabled table that has a landing folder; one that fails leaves the others running."""
+    landed = [s for s in select_specs(specs) if house.landing.exists(s)]
+    return {
+        s.name: stream_upsert(house.landing, house.store, s, f"{checkpoints}/{s.name}", every, runlog=house.runlog, **options)
+        for s in landed
+    }

@@ -95,14 +95,16 @@ def test_extracts_are_numbered_and_pruned(spark, tmp_path):
     assert landing.read(spec, after_batch=10).count() == 0
 
 
-def test_fields_of_the_first_record(spark, tmp_path):
+def test_each_record_says_which_fields_it_carries(spark, tmp_path):
     spec = TableSpec("t", ("id", "name", "city", "write_date"))
     landing = Landing(spark, str(tmp_path))
     land(tmp_path, "t", [{"id": 1, "name": "a", "other": 1}, {"id": 2, "city": "b"}], 0)
-    land(tmp_path, "t", [{"id": 1, "name": "a"}], 1)
-    land(tmp_path, "t", [{"id": 1, "city": "a"}], 2)
-    assert landing.column_groups(spec) == [([0, 1], ("id", "name")), ([2], ("id", "city"))]
-    assert landing.column_groups(spec, after_batch=2) == []
+    land(tmp_path, "t", [{"id": 3, "name": None, "city": False}, "no json"], 1)
+    found = {r.id: (r._has, r.name, r.city, r._batch) for r in landing.read(spec).collect()}
+    assert found == {
+        1: (["id", "name"], "a", None, 0), 2: (["city", "id"], None, "b", 0), 3: (["city", "id", "name"], None, None, 1),
+        None: (None, None, None, 1),
+    }
 
 
 def test_no_field_list_takes_every_field(spark, tmp_path):

@@ -1,3 +1,5 @@
+import os
+
 from ledgermill.session import local_frame
 from ledgermill.sources.logs import log_tail, parse_lines, read_lines
 
@@ -44,6 +46,15 @@ def test_tail(spark, conf, tmp_path):
     assert [r.line for r in log_tail(read_lines(spark, str(tmp_path)), 3).collect()] == lines[-3:]
 
 
+def test_the_tail_of_rotated_files_is_that_of_the_newest(spark, tmp_path):
+    write(tmp_path, "sync.log.1", [f"old {n}" for n in range(20)])
+    write(tmp_path, "sync.log", [f"new {n}" for n in range(20)])
+    os.utime(tmp_path / "sync.log.1", (1_600_000_000, 1_600_000_000))
+    os.utime(tmp_path / "sync.log", (1_700_000_000, 1_700_000_000))
+    lines = [r.line for r in log_tail(read_lines(spark, str(tmp_path)), 25).collect()]
+    assert lines == [f"old {n}" for n in range(15, 20)] + [f"new {n}" for n in range(20)]
+
+
 def test_a_file_without_events(spark):
     lines = local_frame(spark, [("f", 0, 0, "x"), ("f", 0, 1, "y")], "file string, block bigint, seq bigint, line string")
     assert {(r.line_no, r.message, r.level) for r in parse_lines(lines).collect()} == {(1, "x", None), (2, "y", None)}

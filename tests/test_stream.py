@@ -1,8 +1,13 @@
+import contextlib
+
+from pyspark.errors import StreamingQueryException
+
 from ledgermill.operators.store import TableStore
 from ledgermill.plans.sync import Warehouse, sync_table
 from ledgermill.plans.runlog import RunLog
 from ledgermill.sources.landing import Landing
-from ledgermill.streaming.upsert_stream import stream_upsert
+from ledgermill.specs import TableSpec
+from ledgermill.streaming.upsert_stream import stream_tables, stream_upsert
 from tests.test_cleaning import land
 from tests.test_sync import SPEC, order
 
@@ -21,7 +26,8 @@ def test_a_stream_ends_with_the_table_of_the_batch_load(spark, tmp_path):
     landing = Landing(spark, str(tmp_path / "landing"))
     streamed, loaded = TableStore(spark, str(tmp_path / "streamed")), TableStore(spark, str(tmp_path / "loaded"))
     extracts = [
-        [order(1, "a", 1), order(2, "b", 5)],
+        [order(1, "a", 1), order(2, "b", 5, amount_total=4.0)],
+        [{"id": 2, "amount_total": 5.0, "write_date": "2024-01-06 00:00:00"}, {"id": 5, "name": "e"}],
         [order(1, "a2", 2), order(2, "late", 3), order(3, "c", 1)],
         [order(1, "a3", 2), order(4, "d", 1)],
     ]
@@ -31,7 +37,22 @@ def test_a_stream_ends_with_the_table_of_the_batch_load(spark, tmp_path):
     house = Warehouse(landing, loaded, RunLog(spark, loaded.root))
     assert sync_table(house, SPEC).status == "success"
     assert rows(streamed) == rows(loaded)
-    assert {i: n for i, (n, _) in rows(streamed).items()} == {1: "a3", 2: "b", 3: "c", 4: "d"}
+    assert {i: n for i, (n, _) in rows(streamed).items()} == {1: "a3", 2: "b", 3: "c", 4: "d", 5: "e"}
+    assert streamed.read(SPEC).where("id = 2").first().amount_total == 5.0
+
+
+def test_streams_of_many_tables_log_their_batches(spark, tmp_path):
+    tables = str(tmp_path / "tables")
+    house = Warehouse(Landing(spark, str(tmp_path / "landing")), TableStore(spark, tables), RunLog(spark, tables))
+    good, broken = TableSpec("a", ("id", "name", "write_date")), TableSpec("b", ("id", "name"), domain=(("nobody", "=", 1),))
+    for name in "ab":
+        land(tmp_path / "landing", name, [order(1, name, 1)], 0)
+    streams = stream_tables(house, [good, broken, TableSpec("never", ("id",))], str(tmp_path / "checkpoints"))
+    assert set(streams) == {"a", "b"}
+    for stream in streams.values():
+        with contextlib.suppress(StreamingQueryException):
+            stream.awaitTermination()
+    assert {(r.pg_table, r.status, r.records_synced) for r in house.runlog.runs().collect()} == {("a", "success", 1), ("b", "error", 0)}
 
 
 def test_a_restart_from_nothing_repeats_harmlessly(spark, tmp_path):

@@ -41,7 +41,7 @@ def names(house, spec=SPEC):
     return {r.id: r.name for r in house.store.read(spec).collect()}
 
 
-def test_incremental_loads_follow_the_mark(house, landing):
+def test_incremental_loads_take_new_extracts_whole(house, landing):
     land(landing, "sale_order", [order(1, "a", 1), order(2, "b", 3)], 0)
     first = run(house)
     assert (first.status, first.records_synced, first.mark, first.last_batch) == (
@@ -49,8 +49,34 @@ def test_incremental_loads_follow_the_mark(house, landing):
     )
     land(landing, "sale_order", [order(1, "late", 2), order(2, "again", 3), order(3, "c", 4)], 1)
     second = run(house)
-    assert (second.records_synced, second.mark, second.last_batch) == (2, datetime(2024, 1, 4), 1)
-    assert names(house) == {1: "a", 2: "again", 3: "c"}
+    assert (second.records_synced, second.mark, second.last_batch) == (3, datetime(2024, 1, 4), 1)
+    assert names(house) == {1: "late", 2: "again", 3: "c"}, "it is newer than the stored row, whatever the mark"
+
+
+def test_records_before_the_mark_or_without_a_date_are_not_lost(house, landing):
+    land(landing, "sale_order", [order(1, "a", 1), order(2, "b", 3), order(3, "c", 3)], 0)
+    run(house)
+    bad = [{**order(i, f"new {i}", 1), "write_date": d} for i, d in ((4, False), (5, "some day"), (3, False))]
+    land(landing, "sale_order", [order(1, "a2", 2), order(2, "older", 2), *bad], 1)
+    assert run(house).records_synced == 5
+    assert names(house) == {1: "a2", 2: "b", 3: "new 3", 4: "new 4", 5: "new 5"}
+
+
+def test_the_first_record_does_not_decide_for_the_extract(house, landing, monkeypatch):
+    first = {"id": 1, "write_date": AT(1)}
+    land(landing, "sale_order", [first, *[order(i, f"n{i}", 1, amount_total=float(i)) for i in range(2, 6)]], 0)
+    assert run(house).bad_values == 0
+    assert {r.id: (r.name, r.amount_total) for r in house.store.read(SPEC).collect()} == {
+        1: (None, None), **{i: (f"n{i}", float(i)) for i in range(2, 6)}
+    }
+    for n in range(1, 6):  # extracts whose records carry other fields each, in one upsert
+        land(landing, "sale_order", [{"id": n, ("name" if n % 2 else "amount_total"): f"{n}0", "write_date": AT(n + 1)}], n)
+    calls, real = [], sync_module.upsert
+    monkeypatch.setattr(sync_module, "upsert", lambda *a: calls.append(1) or real(*a))
+    assert run(house).records_synced == 5 and len(calls) == 1
+    assert {r.id: (r.name, r.amount_total) for r in house.store.read(SPEC).collect()} == {
+        1: ("10", None), 2: ("n2", 20.0), 3: ("30", 3.0), 4: ("n4", 40.0), 5: ("50", 5.0)
+    }
 
 
 def test_nothing_new_leaves_the_mark(house, landing):
@@ -61,18 +87,19 @@ def test_nothing_new_leaves_the_mark(house, landing):
 
 
 def test_overlap_reads_a_little_more(house, landing):
-    land(landing, "sale_order", [order(1, "a", 3)], 0)
+    land(landing, "sale_order", [order(1, "a", 3)])
     run(house)
-    land(landing, "sale_order", [order(2, "b", 2)], 1)
+    land(landing, "sale_order", [order(1, "a", 3), order(2, "b", 2), order(3, "c", 1)])
     house.overlap = timedelta(days=1)
-    assert run(house).records_synced == 1
+    assert run(house).records_synced == 2
+    assert set(names(house)) == {1, 2}, "without extract numbers the date tells what is new"
 
 
 def test_a_full_load_ignores_the_mark_and_deletes_nothing(house, landing):
     land(landing, "sale_order", [order(1, "a", 3)], 0)
     run(house)
     land(landing, "sale_order", [order(2, "b", 1)], 1)
-    assert run(house).records_synced == 0
+    assert run(house).records_synced == 1
     assert run(house, full=True).records_synced == 2
     assert names(house) == {1: "a", 2: "b"}
 
@@ -137,6 +164,46 @@ def test_a_capped_load_is_partial_and_keeps_the_mark(house, landing):
     assert run(house).records_synced == 20
 
 
+def test_capped_loads_go_on_until_they_are_done(house, landing):
+    land(landing, "sale_order", [order(False, "no id", 1), *[order(i, "a", 1) for i in range(23)]], 0)
+    house.cap = house.batch_size = 10
+    first = run(house)
+    assert (first.status, first.records_synced, first.rejected, first.last_id) == ("partial", 10, 1, 9)
+    land(landing, "sale_order", [order(3, "b", 2)], 1)  # below the place the load has reached
+    assert [run(house).status for _ in range(2)] == ["partial", "success"]
+    assert len(names(house)) == 23 and names(house)[3] == "a"
+    assert run(house).records_synced == 1 and names(house)[3] == "b"
+    with pytest.raises(ValueError, match="capped"):
+        Warehouse(house.landing, house.store, house.runlog, cap=5, replace_full=True)
+
+
+def test_views_follow_loads_and_rebuilds(spark, house, landing):
+    specs = load_registry()
+    house.views_over = tuple(specs)
+    session = [s for s in specs if s.name == "pos_session"]
+    seen = lambda: {r.id: r.name for r in spark.sql("SELECT id, name FROM bi_pos_sesiones").collect()}
+    land(landing, "pos_session", [{"id": 1, "name": "a", "write_date": AT(1)}], 0)
+    sync_tables(house, session)
+    assert seen() == {1: "a"}
+    land(landing, "pos_session", [{"id": 1, "name": "b", "write_date": AT(2)}, {"id": 2, "name": "c", "write_date": AT(1)}], 1)
+    sync_tables(house, session)
+    assert seen() == {1: "b", 2: "c"}
+    assert [r.status for r in spark.sql("SELECT * FROM bi_sync_status").collect()] == ["success"]
+    for version in ([0], [1]):
+        rebuild_table(house, session[0])
+        assert house.store.drop_old_versions("pos_session") == version and seen() == {1: "b", 2: "c"}
+
+
+def test_each_table_is_logged_as_it_ends(house, landing, monkeypatch):
+    specs = [TableSpec(n, ("id", "name", "write_date")) for n in ("a", "b")]
+    for s in specs:
+        land(landing, s.name, [order(1, s.name, 1)], 0)
+    real, seen = house.runlog.append, []
+    monkeypatch.setattr(house.runlog, "append", lambda runs: seen.append([r.pg_table for r in runs]) or real(runs))
+    sync_tables(house, specs, threads=1)
+    assert seen == [["a"], ["b"]]
+
+
 def test_a_failed_run_does_not_move_the_mark(house, landing, monkeypatch):
     land(landing, "sale_order", [order(1, "a", 1)], 0)
     run(house)

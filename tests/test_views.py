@@ -96,12 +96,13 @@ def test_a_view_can_be_written_by_month(spark, tmp_path):
     assert same_rows(spark.read.parquet(str(tmp_path / "plain")), view)
 
 
-def test_a_hot_key_is_split(spark, conf, tmp_path):
-    """A third of the lines share one product: the adaptive plan splits that partition instead of one task taking it."""
+@pytest.mark.parametrize("hot", [1, None])
+def test_a_hot_key_is_split(spark, conf, tmp_path, hot):
+    """A third of the lines share one product, or have none: the adaptive plan splits that partition over tasks."""
     lines = spark.range(60_000).select(
         "id",
         F.col("id").alias("order_id"),
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500).alias("product_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(hot).cast("bigint")).otherwise(F.col("id") % 500).alias("product_id"),
         F.repeat(F.lit("x"), 50).alias("name"),
     )
     lines.repartition(16).write.parquet(str(tmp_path / "lines"))
