@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -411,7 +412,10 @@ def total_records_(spark, sf_dir):
 
 @query
 def recent_rows_(spark, sf_dir):
-    return placed(recent_rows(_orders(spark, sf_dir), columns=3))
+    """Of a stored table in ranges of 1,000 ids, of which the last ones are read."""
+    store, spec = _store(spark), replace(STORED, bucket_width=1000, slice_width=1000)
+    upsert(store, spec, _orders(spark, sf_dir))
+    return placed(recent_rows(store.tail(spec, 20), columns=3))
 
 
 

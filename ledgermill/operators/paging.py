@@ -30,7 +30,7 @@ def scan_page(
 
 
 def recent_rows(df: DataFrame, rows: int = RECENT_ROWS, columns: int = RECENT_COLUMNS) -> DataFrame:
-    """The rows with the highest ids, first columns only.
+    """The rows with the highest ids, first columns only. For a stored table pass its ``TableStore.tail``.
 
     The id column alone gives the lowest id to show; that bound then prunes the scan of the other columns to the row
     groups at the end of the table.

@@ -83,6 +83,25 @@ class TableStore:
             raise ValueError(f"table {name} does not exist")
         return local_frame(self.spark, [], spec.schema())
 
+    def tail(self, spec: TableSpec | str, rows: int) -> DataFrame:
+        """The last ranges of ids that hold ``rows`` rows between them, for readers of the newest records.
+
+        Ranges are counted from the last one backwards; as a rule the first is enough, and the others are never read.
+        """
+        name = spec if isinstance(spec, str) else spec.name
+        info = self.info(name)
+        if info is None or not path_exists(self.spark, self.data_path(name, info)):
+            return self.read(spec)
+        fs, path = hadoop_path(self.spark, self.data_path(name, info))
+        found = [s.getPath().getName() for s in fs.listStatus(path)]
+        ranges = sorted((int(n.split("=")[1]) for n in found if n.startswith("id_bucket=")), reverse=True)
+        table, held, edge = self.read_buckets(name, info), 0, None
+        for edge in ranges:
+            held += table.where(F.col("id_bucket") == edge).count()
+            if held >= rows:
+                break
+        return table.where(F.col("id_bucket") >= F.lit(edge)).drop("id_bucket")
+
     def drop_old_versions(self, name: str) -> list[int]:
         """Delete the versions a rebuild has replaced: once no reader of them is left."""
         info = self.info(name)

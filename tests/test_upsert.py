@@ -129,6 +129,15 @@ def test_columns_are_never_retyped(spark, store, both_ways):
     assert table(store) == {1: ("7", 2.5, None), 2: ("8", None, None)}
 
 
+def test_the_tail_reads_the_last_ranges_only(spark, store):
+    assert store.tail(SPEC, 5).count() == 0
+    upsert(store, SPEC, batch(spark, *[(i, "a", 1.0, 0, 0) for i in (*range(0, 40), 47, -3)]))
+    tail = store.tail(SPEC, 5)
+    assert sorted(r.id for r in tail.collect()) == [*range(30, 40), 47]
+    assert {f.split("id_bucket=")[1].split("/")[0] for f in tail.inputFiles()} >= {"3", "4"}
+    assert store.tail(SPEC, 1).count() == 1 and store.tail(SPEC, 100).count() == 42
+
+
 def test_rebuild_switches_to_a_new_version(spark, store, tmp_path):
     upsert(store, SPEC, batch(spark, (1, "a", 1.0, 0, 0), (2, "b", 1.0, 0, 0)))
     open_before = store.read(SPEC)
