@@ -19,7 +19,7 @@ def components(links: DataFrame) -> DataFrame:
     """node, label (the smallest node that links reach) for every node of ``links`` (a, b)."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct()
     edges, mark = stage(edges, "links"), None
-    while True:
+    while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).where("u != v")
         down = _with_least(large.distinct())
@@ -33,3 +33,4 @@ def components(links: DataFrame) -> DataFrame:
                 edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
             )
         mark = tuple(seen)
+    return edges.toDF("node", "label")

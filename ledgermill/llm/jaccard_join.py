@@ -12,9 +12,9 @@ with a probability of 1 - (1 - 0.85^3)^24 = 1 - 1e-10. A tree is built for each
 
 Links are wanted for their components, and one large group of near copies must not be paired out. First every class is
 verified against one pivot of its group for three of the keys, and the links found give labels. Then trees are built only for keys
-whose members have different labels, nodes of one same label are not walked, and a point meets its two closest partners
-of a label. After a second labelling the rest is walked without that limit, so every link between different components
-is looked for. Keys with very many such members are cut into tiles, and pairs of tiles are joined as trees of their own.
+whose members have different labels, nodes of one same label are not walked, and a point is verified with its closest
+partner of another label only. The labels are taken anew, and the trees built again for four partners and then, where some
+were left, without a limit, so every link between different components is looked for. Keys with very many such members are cut into tiles, and pairs of tiles are joined as trees of their own.
 
 Defined results: words are those of ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; fewer words than ``width`` make one
 shingle; null and empty texts have none and are their own component; equal rows share a component; a null doc_id keeps
@@ -101,8 +101,12 @@ class RTree:
             first, last = np.minimum.reduceat(first, starts), np.maximum.reduceat(last, starts)
             self.levels.append((high, low, first, last))
 
-    def _open(self, level: int, i: np.ndarray, j: np.ndarray, share: float, step: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The pairs of nodes that may hold a link between different labels, and their bounds."""
+    def _open(self, level: int, i: np.ndarray, j: np.ndarray, threshold: float, step: int = 4096) -> tuple[np.ndarray, ...]:
+        """The pairs of nodes that may hold a link between different labels, and their bounds.
+
+        Two sets of sizes m and n over a threshold t share t / (1 + t) * (m + n) at least, and the smaller has t of the larger.
+        """
+        share = threshold / (1 + threshold)
         high, low, first, last = self.levels[level]
         kept = (first[i] != last[j]) | (last[i] != first[j])
         i, j = i[kept], j[kept]
@@ -111,15 +115,14 @@ class RTree:
             bounds[at : at + step] = np.minimum(high[i[at : at + step]], high[j[at : at + step]]).sum(axis=1)
         kept = bounds >= share * (low[i] + low[j]) - 1e-3
         if level == 0:
-            kept &= (i < j) & (np.maximum(low[i], low[j]) * (2 * share / (2 - 2 * share)) <= np.minimum(low[i], low[j]) + 1e-3)
+            kept &= (i < j) & (np.maximum(low[i], low[j]) * threshold <= np.minimum(low[i], low[j]) + 1e-3)
         return i[kept], j[kept], bounds[kept]
 
     def pairs(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Positions of two points each that may be over the threshold, and the bound of their overlap."""
-        share = threshold / (1 + threshold)
         i = j = np.zeros(1, np.int64)
         for level in range(len(self.levels) - 1, -1, -1):
-            i, j, bounds = self._open(level, i, j, share)
+            i, j, bounds = self._open(level, i, j, threshold)
             if level:
                 n = len(self.levels[level - 1][1])
                 step = np.arange(FANOUT)
@@ -130,16 +133,14 @@ class RTree:
         return self.order[i], self.order[j], bounds
 
 
-def _closest(i, j, bounds, sizes, labels, limit: int) -> np.ndarray:
-    """Of the pairs of a point with a label, the ``limit`` with the largest bound for their size; as a mask over pairs."""
-    grade = bounds / (sizes[i] + sizes[j])
+def _closest(i: np.ndarray, j: np.ndarray, grade: np.ndarray, limit: int) -> np.ndarray:
+    """Of the pairs of each point the ``limit`` with the largest grade; as a mask over pairs."""
     kept = np.zeros(len(i), bool)
-    for own, other in ((i, j), (j, i)):
-        order = np.lexsort((-grade, labels[other], own))
-        o, t = own[order], labels[other][order]
-        new = np.concatenate([[True], (o[1:] != o[:-1]) | (t[1:] != t[:-1])]) if len(o) else np.empty(0, bool)
-        start = np.maximum.accumulate(np.where(new, np.arange(len(o)), 0)) if len(o) else np.empty(0, np.int64)
-        kept[order] |= np.arange(len(o)) - start < limit
+    for own in (i, j):
+        order = np.lexsort((-grade, own))
+        new = np.concatenate([[True], own[order][1:] != own[order][:-1]])
+        start = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        kept[order] |= np.arange(len(order)) - start < limit
     return kept
 
 
@@ -160,7 +161,10 @@ def _grouped(rows: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def candidates(nodes: DataFrame, labels: DataFrame, percent: int, limit: int | None) -> DataFrame:
-    """a, b: classes of different labels that the trees of their common keys do not tell apart."""
+    """a, b: classes of different labels that the trees of their common keys do not tell apart.
+
+    With ``limit`` a point keeps so many partners in each tree; a row of nulls says that some were left for later.
+    """
     spark = nodes.sparkSession
     known = nodes.select("node", "n", "bands").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = known.select("node", "n", "label", F.explode("bands").alias("key"))
@@ -181,11 +185,14 @@ def candidates(nodes: DataFrame, labels: DataFrame, percent: int, limit: int | N
             i, j, bounds = RTree(counts, sizes, label).pairs(percent / 100)
             kept = np.ones(len(i), bool) if tile.min() == tile.max() else tile[i] != tile[j]
             i, j, bounds = i[kept], j[kept], bounds[kept]
-            if limit and len(i):
-                kept = _closest(i, j, bounds, sizes, label, limit)
+            if not len(i):
+                continue
+            if limit:
+                kept = _closest(i, j, bounds / (sizes[i] + sizes[j]), limit)
+                if not kept.all():
+                    yield batches({"a": [None], "b": [None]}, _PAIR)  # says that there is more
                 i, j = i[kept], j[kept]
-            if len(i):
-                yield batches({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])}, _PAIR)
+            yield batches({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])}, _PAIR)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = members.repartition(parts, "block").sortWithinPartitions("block", "node")
@@ -243,12 +250,14 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
     pairs = spread.join(pivots, "key").where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     tested = stage(pairs.distinct(), "pivot-pairs")
     found = stage(verified(tested, nodes, docs, width, percent), "pivot-links")
-    for limit in (2, None):
-        labels = components(found)
-        more = candidates(nodes, labels, percent, limit).join(tested, ["a", "b"], "left_anti")
-        more = stage(more, "tree-pairs")
+    for limit in (1, 4, None):
+        more = stage(candidates(nodes, components(found), percent, limit), "tree-pairs")
+        rest = not more.where("a IS NULL").isEmpty()
+        more = stage(more.where("a IS NOT NULL").join(tested, ["a", "b"], "left_anti"), "new-pairs")
         tested = tested.unionByName(more)
         found = found.unionByName(stage(verified(more, nodes, docs, width, percent), "tree-links"))
+        if not rest:
+            break
     return found
 
 
