@@ -15,7 +15,9 @@ ordered by text; an empty table makes files without documents; other columns are
 from __future__ import annotations
 
 import bisect
+import functools
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -30,13 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import Remembered, batches, decoded, id_and_bytes
+from ledgermill.llm.common import batches, chunked, decoded, id_and_bytes, slices
 
 # Fixed values of the public seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
+SIGNS = string.punctuation.encode()
+
 _MANIFEST = pa.schema([("file", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64()), ("bytes", pa.int64())])
 _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
                    ("file", pa.string())])
@@ -51,26 +55,60 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizers file.
+    """Ids of whole texts by a tokenizers file that drops white space, lower-cases, and splits letters from signs.
 
-    The pre-tokenizer drops white space and no normaliser reaches across it, so pieces between ASCII white space are
-    encoded alone and remembered.
+    No normaliser reaches across white space, so pieces between ASCII white space are encoded once and remembered; unseen
+    pieces are encoded together, with a space between them, and told apart by the offsets. ASCII signs that end a piece
+    after a letter are a piece of their own. Texts with a special token in them keep their capitals until then. Of what is
+    remembered the older half goes when it is full, but for pieces that were met again since.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 600_000, together: int = 4000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        self.pieces = Remembered(self._piece)
-
-    def _piece(self, piece: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(decoded(piece), add_special_tokens=False).ids, self.kind).tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, text.split()))
+        self.limit, self.together, self.known, self.older = limit, together, {}, {}
+
+    @staticmethod
+    def _split(piece: bytes) -> tuple[bytes, bytes] | None:
+        """A piece and the signs that end it, if the pre-tokenizer cuts there."""
+        word = piece.rstrip(SIGNS)
+        if not word or word == piece or b"<|" in piece:  # a special token ends in signs
+            return None
+        return (word, piece[len(word) :]) if decoded(word)[-1].isalpha() else None
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        missing = {p for p in pieces if p not in self.known}
+        if missing and len(self.known) + len(missing) > self.limit // 2:
+            self.older, self.known, missing = self.known, {}, pieces
+        met = {p for p in missing if p in self.older}
+        self.known.update((p, self.older[p]) for p in met)
+        parts = {p: found for p in missing - met if (found := self._split(p))}
+        plain = (missing - met - parts.keys()).union(*parts.values())
+        for held in chunked(sorted(p for p in plain if p not in self.known), self.together):
+            shown = [decoded(p) for p in held]
+            found = self.tokenizer.encode(" ".join(shown), add_special_tokens=False)
+            starts = np.cumsum([0, *(len(p) + 1 for p in shown)])
+            cuts = np.searchsorted([a for a, _ in found.offsets], starts).tolist()
+            ids = np.array(found.ids, self.kind).tobytes()
+            for k, p in enumerate(held):
+                self.known[p] = ids[cuts[k] * self.width : cuts[k + 1] * self.width]
+        for p, (word, signs) in parts.items():
+            self.known[p] = self.known[word] + self.known[signs]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        pieces = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        self._learn(set().union(*pieces))
+        return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One per worker process: what it has learned serves the next task too."""
+    return Encoder(path)
 
 
 class FrameWriter:
@@ -167,16 +205,15 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
         fs, root = file_system(folder)
         name = f"tokens-{TaskContext.get().partitionId():06d}.zst"
         attempt = f"{root}/_{uuid.uuid4().hex}"
-        encoder = Encoder(tokenizer)
-        end, tokens = np.array([end_id], encoder.kind).tobytes(), 0
+        own = encoder(tokenizer)
+        end, tokens = np.array([end_id], own.kind).tobytes(), 0
         fs.create_dir(root, recursive=True)
         with fs.open_output_stream(attempt) as out:
-            writer = FrameWriter(out, encoder.width, frame_bytes)
-            for batch in rows:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    ids = encoder.encode(text.as_py()) + end
-                    writer.add(doc_id, ids)
-                    tokens += len(ids) // encoder.width
+            writer = FrameWriter(out, own.width, frame_bytes)
+            for batch in (s for part in rows for s in slices(part, 2 << 20)):
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode(batch.column("text").to_pylist())):
+                    writer.add(doc_id, ids + end)
+                    tokens += len(ids) // own.width + 1
             writer.close()
         fs.move(attempt, f"{root}/{name}")
         yield batches({"file": [name], "documents": [len(writer.index)], "tokens": [tokens], "bytes": [writer.written]}, _MANIFEST)

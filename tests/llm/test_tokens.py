@@ -85,8 +85,11 @@ def test_reader_refuses_a_damaged_frame():
         list(tokens_out.FrameReader(io.BytesIO(data), len(data)).documents())
 
 
+SPECIAL = st.sampled_from(["<|endoftext|>", "a<|endoftext|>", "<|startoftext|>.", "<|ENDOFTEXT|>", "it's!!", "Ünï.»", "x_"])
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(TEXTS, min_size=1, max_size=4))
+@given(st.lists(TEXTS | st.lists(SPECIAL, max_size=4).map(" ".join), min_size=1, max_size=4))
 def test_word_pieces_encode_as_whole_texts(texts):
     own = tokens_out.encoder(WORD_TOKENIZER)
     for text, ids in zip(texts, own.encode([t.encode() for t in texts])):
@@ -94,10 +97,12 @@ def test_word_pieces_encode_as_whole_texts(texts):
 
 
 def test_memory_of_pieces_is_bounded():
-    own = tokens_out.Encoder(WORD_TOKENIZER, limit=50)
+    own = tokens_out.Encoder(WORD_TOKENIZER, limit=100)
     for k in range(20):
-        own.encode([" ".join(f"p{k}q{j}" for j in range(20)).encode()])
-        assert len(own.known) <= 50
+        text = " ".join(f"p{k}q{j}" for j in range(20)) + " often. again"
+        ids = np.frombuffer(own.encode([text.encode()])[0], own.kind).tolist()
+        assert ids == own.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(own.known) <= 60 and len(own.older) <= 60
 
 
 def test_round_trip(docs, rows):
