@@ -94,7 +94,7 @@ class Sparse:
 
     def __init__(self, rows: list, width: int = 1 << BITS):
         self.rows, self.width = len(rows), width
-        self.columns = np.concatenate([np.asarray(r, np.int32) for r in rows]) if len(rows) else np.empty(0, np.int32)
+        self.columns = np.concatenate([np.asarray(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
         self.row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
 
     def renumbered(self, number: np.ndarray, width: int) -> Sparse:
@@ -157,7 +157,7 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("long").cast("string").cast("binary")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, **options) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 3_000, **options) -> Model:
     """Fit on the labelled rows of ``docs`` that are not held out, at most ``max_rows`` of them."""
 
     def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,8 +180,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, **options)
     if not len(found):
         return fit(np.empty(0), [], [], [], **options)
     # The rows come in any order: sort them, so that sums and so weights are the same in every run.
-    order = sorted(range(len(found)), key=lambda k: (found["label"][k], found["words"][k].tolist(), found["less"][k].tolist()))
-    return fit(found["label"].to_numpy()[order], *([list(found[c][k]) for k in order] for c in ("words", "less", "more")), **options)
+    columns = {c: found[c].to_list() for c in ("words", "less", "more")}  # arrays, not lists of numbers
+    order = sorted(range(len(found)), key=lambda k: (found["label"][k], columns["words"][k].tobytes(), columns["less"][k].tobytes()))
+    return fit(found["label"].to_numpy()[order], *([columns[c][k] for k in order] for c in columns), **options)
 
 
 class Scorer:
