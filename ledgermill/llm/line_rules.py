@@ -5,9 +5,9 @@ than ``max_share`` of the host's distinct texts have it, and at least ``min_docs
 are removed, and a document is rejected when less than ``min_left`` of its words are left, or by the rules per text.
 
 Two passes find the common lines. The first counts rows per (host, line), which pre-aggregates before its shuffle and can
-only be too high; the second counts distinct texts for the lines that pass. At most (mean lines of a text) / max_share
-lines of a host can be common, so the list kept per host is bounded, and it meets the documents by a join on the host
-that Spark broadcasts where the written table is under its threshold.
+only be too high; the second counts distinct texts for the lines that pass. They meet the lines of the texts by a join on
+(host, line), so a row holds only those of its own text, however many a host has. ``max_docs`` is a limit in texts that
+does not grow with the host: where it is given, a line above either limit is common.
 
 Defined results: a null text has no words and fails; a null host is a host of its own; documents without lines above the
 limit lose nothing; repeated rows give a row each; an empty table gives no rows; other columns are ignored.
@@ -70,14 +70,21 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(F.regexp_replace(plain, f"{SPACE}+", " ")))
 
 
-def common_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """host, line of the lines over the limit. ``rows``: host, text."""
-    keyed = rows.select("host", "text", F.xxhash64("text", F.lit(1)).alias("text_key"))
-    texts = keyed.groupBy("host", "text_key").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("texts"))
-    limits = stage(texts.select("host", F.greatest(F.lit(min_docs - 1), F.col("texts") * max_share).alias("limit")), "host-limits")
-    lines = keyed.select(
+def text_lines(rows: DataFrame) -> DataFrame:
+    """host, text_key, line (hash) of the distinct lines of every row. ``rows``: host, text, text_key."""
+    return rows.select(
         "host", "text_key", F.explode(F.array_distinct(F.transform(lines_of(F.col("text")), line_hash))).alias("line")
     )
+
+
+def common_lines(rows: DataFrame, min_docs: int, max_share: float, max_docs: int | None = None) -> DataFrame:
+    """host, line of the lines over the limit. ``rows``: host, text, text_key."""
+    texts = rows.groupBy("host", "text_key").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("texts"))
+    limit = F.col("texts") * max_share
+    if max_docs is not None:
+        limit = F.least(limit, F.lit(max_docs))
+    limits = stage(texts.select("host", F.greatest(F.lit(min_docs - 1), limit).alias("limit")), "host-limits")
+    lines = text_lines(rows)
     often = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
     suspects = stage(often.join(limits, "host").where(F.col("n") > F.col("limit")).select("host", "line", "limit"), "suspects")
     seen = lines.join(suspects, ["host", "line"]).groupBy("host", "line").agg(
@@ -86,37 +93,43 @@ def common_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
     return seen.where(F.col("n") > F.col("limit")).select("host", "line")
 
 
-def quality(docs: DataFrame, min_docs: int = 20, max_share: float = 0.2, min_left: float = 0.5) -> DataFrame:
-    """The counts per text, base_failed, n_removed_words (in common lines) and kept. The host is the column source."""
+def cleaned(
+    docs: DataFrame, min_docs: int = 20, max_share: float = 0.2, min_left: float = 0.5, max_docs: int | None = None
+) -> DataFrame:
+    """doc_id, host, text without its common lines, the counts, base_failed and kept. The host is the column source."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    common = common_lines(rows, min_docs, max_share).groupBy("host").agg(F.collect_set("line").alias("common"))
+    rows = rows.withColumn("text_key", F.xxhash64("text", F.lit(1)))
+    lines = stage(common_lines(rows, min_docs, max_share, max_docs), "common-lines")
+    common = text_lines(rows).join(lines, ["host", "line"]).groupBy("host", "text_key").agg(F.collect_set("line").alias("common"))
     text, words = F.col("text"), words_of(F.col("text"))
     visible = lines_of(text)
-    removed = let(
-        visible,
-        lambda ls: F.aggregate(
-            F.filter(ls, lambda x: F.array_contains(F.col("common"), line_hash(x))),
-            F.lit(0), lambda n, x: n + F.size(words_of(x)),
-        ),
-    )
-    counted = rows.join(stage(common, "common-lines"), "host", "left").select(
-        "doc_id",
+    blank = lambda x: F.length(without(x, SPACES)) == 0
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: blank(x) | ~F.array_contains(F.col("common"), line_hash(x))), "\n")
+    rows = rows.join(stage(common, "common-of-texts"), ["host", "text_key"], "left")
+    rows = rows.withColumn("left", F.when(F.col("common").isNull(), text).otherwise(left))
+    counted = rows.select(
+        "doc_id", "host", F.col("left").alias("text"),
         F.size(words).cast("long").alias("n_words"),
         F.length(without(text, SPACES)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         let(visible, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(words).cast("long").alias("n_repeat_words"),
-        F.when(F.col("common").isNull(), 0).otherwise(removed).cast("long").alias("n_removed_words"),
-    )
+        F.when(F.col("common").isNull(), 0).otherwise(F.size(words) - F.size(words_of(F.col("left")))).cast("long").alias("n_removed_words"),
+    )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = F.col("n_words") - F.col("n_removed_words") < min_left * F.col("n_words")
     return counted.withColumns({"base_failed": failed, "kept": ~failed & ~depleted})
 
 
+def quality(docs: DataFrame, **limits) -> DataFrame:
+    """The counts per text, base_failed, n_removed_words (in common lines) and kept, from ``cleaned``."""
+    return cleaned(docs, **limits).drop("host", "text")
+
+
 ORACLE = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),

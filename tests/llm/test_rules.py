@@ -95,6 +95,20 @@ def test_shared_lines_go_and_depleted_documents_are_rejected(frame):
     assert all(found[300 + 2 * k].kept for k in range(60)) and found[600].kept  # copies of one text count once
 
 
+def test_texts_lose_their_common_lines(frame):
+    name = lambda k: chr(97 + k // 26) + chr(97 + k % 26)
+    rows = [(2 * k, f"own {name(k)} a\n\n  Menu 4{k % 10} \nown {name(k)} b") for k in range(30)] + [(100 + 2 * k, f"other {name(k)}\n") for k in range(200)]
+    by_share = {r.doc_id: r for r in line_rules.cleaned(frame(rows)).collect()}
+    assert all(by_share[i].text == t and by_share[i].n_removed_words == 0 for i, t in rows)  # 30 of 230 texts are under 20%
+    found = {r.doc_id: r for r in line_rules.cleaned(frame(rows), max_docs=25).collect()}
+    assert all(found[2 * k].text == f"own {name(k)} a\n\nown {name(k)} b" and found[2 * k].n_removed_words == 2 for k in range(30))
+    assert all(found[100 + 2 * k].text == f"other {name(k)}\n" for k in range(200))
+    above = {r.doc_id: r for r in line_rules.cleaned(frame(rows), max_docs=30).collect()}
+    assert all(above[i].text == t for i, t in rows)
+    widely = {r.doc_id: r for r in line_rules.cleaned(frame(rows[:60])).collect()}
+    assert all(widely[2 * k].text == f"own {name(k)} a\n\nown {name(k)} b" for k in range(30))
+
+
 def test_line_rules_run_no_python(docs):
     plan = line_rules.quality(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
