@@ -57,6 +57,15 @@ def test_run(spark, folder):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
+def test_near_copies_by_five_words(spark, frame):
+    base = [f"v{k}" for k in range(100)]
+    near, far = list(base), list(base)
+    near[30] = near[60] = "other"  # 0.811 of five words, 0.848 of four
+    far[20] = far[50] = far[80] = "else"
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))]
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, frame(rows), "").collect()) == [1, 3]
+
+
 def test_stages_keep_the_columns_of_documents(spark, folder):
     path, *_ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
