@@ -311,14 +311,13 @@ def all_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span],
     return result
 
 
-def _training_windows(rows: list[tuple[str, list[Span]]]) -> list[tuple[str, list[Span]]]:
-    """Windows around labelled spans, at two places each, and windows with two labelled values side by side."""
-    found, values = [], []
+def _windows_around(rows: list[tuple[str, list[Span]]]) -> list[tuple[str, list[Span]]]:
+    """Windows around labelled spans, at two places each."""
+    found = []
     for text, spans in rows:
         for k, (kind, a, b) in enumerate(spans):
             if b - a > WINDOW - 8:
                 continue
-            values.append((kind, text[a:b]))
             for lead in (4 + 7 * k % 20, 24 + 5 * k % 20):
                 start = max(0, min(a - min(lead, WINDOW - (b - a) - 2), len(text) - WINDOW))
                 window = text[start : start + WINDOW].ljust(WINDOW)
@@ -326,6 +325,12 @@ def _training_windows(rows: list[tuple[str, list[Span]]]) -> list[tuple[str, lis
                 cut_off = any(x < start < y or x < start + WINDOW < y for _, x, y in spans)
                 if not cut_off:
                     found.append((window, inside))
+    return found
+
+
+def _windows_side_by_side(rows: list[tuple[str, list[Span]]]) -> list[tuple[str, list[Span]]]:
+    """Windows with two labelled values side by side."""
+    found, values = [], [(kind, text[a:b]) for text, spans in rows for kind, a, b in spans if b - a <= WINDOW - 8]
     for (one, left), (two, right) in zip(values, values[len(values) // 2 :] + values[: len(values) // 2]):
         text = f"en {left} {right} de"
         a, b = 3, 4 + len(left)
@@ -334,14 +339,31 @@ def _training_windows(rows: list[tuple[str, list[Span]]]) -> list[tuple[str, lis
     return found
 
 
-def train(docs: DataFrame, max_rows: int = 400, max_bytes: int = 100_000) -> Tagger | None:
-    """Fit on the spans the patterns find in ``max_rows`` texts with a digit or @, of at most ``max_bytes`` each."""
+def _training_windows(rows: list[tuple[str, list[Span]]]) -> list[tuple[str, list[Span]]]:
+    return _windows_around(rows) + _windows_side_by_side(rows)
+
+
+def _drawn(windows: list[tuple[str, list[Span]]], pairs: list[tuple[str, list[Span]]], limit: int) -> list[tuple[str, list[Span]]]:
+    """All windows of both sorts, or ``limit`` of them by hash: half of each sort, or more of one where the other has fewer."""
+    if len(windows) + len(pairs) <= limit:
+        return windows + pairs
+    n_pairs = min(len(pairs), max(limit // 2, limit - len(windows)))
+    by_hash = lambda part: sorted(part, key=lambda w: hashlib.blake2b(w[0].encode("utf-8", "replace"), digest_size=8).digest())
+    return by_hash(windows)[: limit - n_pairs] + by_hash(pairs)[:n_pairs]
+
+
+def train(docs: DataFrame, max_rows: int = 400, max_bytes: int = 100_000, max_windows: int = 2000) -> Tagger | None:
+    """Fit on the spans the patterns find in ``max_rows`` texts with a digit or @, of at most ``max_bytes`` each.
+
+    Where their windows are more than ``max_windows``, those around spans and those of values side by side are drawn evenly.
+    """
     rows = id_and_bytes(docs).where(F.octet_length("text") <= max_bytes)
     rows = rows.where(F.col("text").cast("string").rlike("[0-9]{3}|@")).withColumn("draw", F.xxhash64("text"))
     chosen = rows.orderBy("draw", "doc_id").limit(max_rows).select("text").toPandas()["text"]
     labelled = [(t, base_spans(t)) for t in dict.fromkeys(decoded(bytes(v)) for v in chosen)]
-    windows = _training_windows([(t, s) for t, s in labelled if s])
-    return Tagger().fit(windows[:2000]) if len(windows) >= 8 else None
+    labelled = [(t, s) for t, s in labelled if s]
+    windows = _drawn(_windows_around(labelled), _windows_side_by_side(labelled), max_windows)
+    return Tagger().fit(windows) if len(windows) >= 8 else None
 
 
 def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:

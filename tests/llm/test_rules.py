@@ -307,5 +307,20 @@ def test_personal_data_rows(docs, rows, tagged):
     assert pii.find(docs, None).count() == len(rows)
 
 
+def test_dense_tables_train_on_both_sorts_of_windows(frame, monkeypatch):
+    rows = [(k, " and so ".join(f"u{k}x{j}@mail.example.com" for j in range(30))) for k in range(60)]
+    labelled_rows = [(t, pii.base_spans(t)) for _, t in rows]
+    fitted_on = []
+    monkeypatch.setattr(pii.Tagger, "fit", lambda self, windows, **_: fitted_on.append(windows))
+    pii.train(frame(rows))
+    used = [w for w, _ in fitted_on[0]]
+    assert len(used) == 2000 and sum(w.startswith("en u") and w.rstrip().endswith(" de") for w in used) == 1000
+    pii.train(frame(rows), max_windows=10**6)
+    assert len(fitted_on[1]) == len(pii._training_windows(labelled_rows)) > 2000
+    windows, side = [(f"a{k}", []) for k in range(50)], [(f"b{k}", []) for k in range(5)]
+    assert len(pii._drawn(windows, side, 20)) == 20 and set(w for w, _ in side) <= {w for w, _ in pii._drawn(windows, side, 20)}
+    assert pii._drawn(windows, side, 55) == windows + side
+
+
 def test_no_labelled_spans_no_network(frame):
     assert pii.train(frame([(1, "plain"), (2, None)])) is None
