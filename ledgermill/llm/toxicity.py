@@ -41,7 +41,8 @@ IDENTITY_TERMS = (
     "frauen männer muslime christen juden schwarze weiße einwanderer"
 ).split()
 
-_FEATURES = pa.schema([("label", pa.int32()), ("words", pa.list_(pa.int32())), ("less", pa.list_(pa.int32())), ("more", pa.list_(pa.int32()))])
+_FEATURES = pa.schema([("label", pa.int32()), ("copies", pa.int64()), ("words", pa.list_(pa.int32())), ("less", pa.list_(pa.int32())),
+                       ("more", pa.list_(pa.int32()))])
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -165,23 +166,35 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 3_000, **options)
         for batch in (s for part in rows for s in slices(part)):
             texts = [decoded(t.as_py()) for t in batch.column("text")]
             swaps = [counterfactual(t, IDENTITY_TERMS, known) for t in texts]
-            columns = {"label": batch.column("label"), "words": [sorted(features_of(t, known)) for t in texts],
-                       "less": [sorted(a) for a, _ in swaps], "more": [sorted(b) for _, b in swaps]}
+            columns = {"label": batch.column("label"), "copies": batch.column("copies"),
+                       "words": [sorted(features_of(t, known)) for t in texts], "less": [sorted(a) for a, _ in swaps], "more": [sorted(b) for _, b in swaps]}
             yield batches(columns, _FEATURES)
 
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     marked = marked.where(F.col("label").isin(0, 1) & (remainder(F.col("doc_id")) != 0))
     rows = id_and_bytes(docs).withColumn("draw", F.xxhash64("text", "doc_id"))
-    lowest = rows.select("doc_id", "draw").join(marked, "doc_id").orderBy("draw", "doc_id", "label").limit(max_rows)
-    edge = lowest.agg(F.max("draw")).first()[0]  # the bound as a filter: texts of other rows are never moved
-    chosen = rows.where(F.col("draw") <= F.lit(edge)).join(marked, "doc_id").select("draw", "doc_id", "label", "text")
-    schema = "label int, words array<int>, less array<int>, more array<int>"
-    found = chosen.select("label", "text").mapInArrow(run, schema).toArrow().to_pandas()
+    # Repeated rows and labels are counted before they meet, and a repeated row brings its text once.
+    own = rows.groupBy("doc_id", "draw").agg(F.count("*").alias("n_rows"))
+    twice = marked.groupBy("doc_id", "label").agg(F.count("*").alias("n_labels"))
+    lowest = own.join(twice, "doc_id").select("draw", "doc_id", "label", (F.col("n_rows") * F.col("n_labels")).alias("copies"))
+    wanted, left = [], max_rows
+    for draw, doc_id, label, copies in lowest.orderBy("draw", "doc_id", "label").limit(max_rows).collect():
+        if left:
+            wanted.append((draw, doc_id, label, min(copies, left)))
+            left -= wanted[-1][3]
+    edge = max((w[0] for w in wanted), default=None)  # the bound as a filter: texts of other rows are never moved
+    wanted = docs.sparkSession.createDataFrame(wanted, "draw long, doc_id long, label int, copies long")
+    texts = rows.where(F.col("draw") <= F.lit(edge)).join(F.broadcast(wanted.select("draw", "doc_id").distinct()), ["draw", "doc_id"])
+    texts = texts.groupBy("draw", "doc_id").agg(F.first("text").alias("text"))
+    chosen = texts.join(F.broadcast(wanted), ["draw", "doc_id"]).select("label", "copies", "text")
+    schema = "label int, copies long, words array<int>, less array<int>, more array<int>"
+    found = chosen.mapInArrow(run, schema).toArrow().to_pandas()
     if not len(found):
         return fit(np.empty(0), [], [], [], **options)
     # The rows come in any order: sort them, so that sums and so weights are the same in every run.
     columns = {c: found[c].to_list() for c in ("words", "less", "more")}  # arrays, not lists of numbers
     order = sorted(range(len(found)), key=lambda k: (found["label"][k], columns["words"][k].tobytes(), columns["less"][k].tobytes()))
+    order = np.repeat(order, found["copies"].to_numpy()[order])  # the lists of a repeated row are held once
     return fit(found["label"].to_numpy()[order], *([columns[c][k] for k in order] for c in columns), **options)
 
 

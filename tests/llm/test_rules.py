@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -200,6 +201,19 @@ def test_scores(spark, frame):
     assert kept.columns == docs.columns and kept.count() == sum(r.score < 0.5 for r in found)
 
 
+def test_repeated_rows_and_labels_stay_within_max_rows(spark, frame, monkeypatch):
+    held = []
+    monkeypatch.setattr(toxicity, "fit", lambda labels, words, less, more, **_: held.append((labels, words)))
+    rows = [(1, "one text")] * 400 + [(k, f"text {k}") for k in range(2, 30)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)] + [(1, 1)] * 20, "doc_id long, toxic int")
+    toxicity.train(frame(rows), labels, max_rows=50)
+    assert len(held[0][0]) == len(held[0][1]) == 50
+    some = frame([(k, f"text {k}") for k in (2, 3, 3, 4)])
+    twice = spark.createDataFrame([(2, 0), (3, 1), (3, 1), (4, 0)], "doc_id long, toxic int")
+    toxicity.train(some, twice, max_rows=50)
+    assert sorted(held[1][0].tolist()) == sorted(y for k, y, n in ((2, 0, 1), (3, 1, 4), (4, 0, 1)) for _ in range(n) if zlib.crc32(str(k).encode()) % 5)
+
+
 def test_without_labels_the_score_is_even(spark, frame):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     docs = frame([(1, "a"), (2, None)])
