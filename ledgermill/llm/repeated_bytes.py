@@ -45,6 +45,9 @@ _INVERSE = np.cumprod(np.full(SEGMENT + LENGTH, pow(_BASE, -1, 1 << 64), np.uint
 _ROWS = pa.schema([("doc_id", pa.int64()), ("class", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string()),
                    ("grams", pa.list_(pa.int64())), ("places", pa.list_(pa.int64()))])
 _RUNS = pa.schema([("part", pa.int32()), ("run", pa.binary())])
+_TEXTS = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
+_CUT = pa.schema([("class", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                  ("kept_sha256", pa.string())])
 _SPANS = pa.schema([("class", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
@@ -298,30 +301,32 @@ def spans(held: DataFrame) -> DataFrame:
     return runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, "class long, start long, end long")
 
 
-def _kept(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """class, n_removed, n_spans, kept_sha256 from class, text, covered (starts and ends)."""
-    schema = pa.schema([("class", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+def cut(text: bytes, covered: Iterable[tuple[int, int]]) -> tuple[list[tuple[int, int]], bytes]:
+    """The covered stretches in order, merged where they meet, and the bytes outside them."""
+    found, kept, end = [], [], 0
+    for a, b in sorted(covered):
+        if a > end or not found:
+            kept.append(text[end:a])
+            found.append((a, b))
+        else:
+            found[-1] = found[-1][0], max(found[-1][1], b)
+        end = found[-1][1]
+    return found, b"".join([*kept, text[end:]])
+
+
+def _cut(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """class, spans, kept_sha256 from class, text, covered (starts and ends)."""
     for batch in rows:
-        found = {f.name: [] for f in schema} | {"class": batch.column("class")}
+        found = {"class": batch.column("class"), "spans": [], "kept_sha256": []}
         for text, covered in zip(batch.column("text"), batch.column("covered")):
-            text, rest, end, removed, runs = text.as_py(), hashlib.sha256(), 0, 0, 0
-            for span in sorted((c["start"], c["end"]) for c in covered.as_py() or []):
-                if span[0] > end or not runs:
-                    rest.update(text[end : span[0]])
-                    runs += 1
-                    end = span[0]
-                removed += max(0, span[1] - end)
-                end = max(end, span[1])
-            rest.update(text[end:])
-            found["n_removed"].append(removed)
-            found["n_spans"].append(runs)
-            found["kept_sha256"].append(rest.hexdigest())
-        yield batches(found, schema)
+            spans, kept = cut(text.as_py(), ((c["start"], c["end"]) for c in covered.as_py() or []))
+            found["spans"].append([{"start": a, "end": b} for a, b in spans])
+            found["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+        yield batches(found, _CUT)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document."""
-    rows = stage(described(docs), "texts")
+def _repeats(rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(classes with copies and size, classes with spans and kept_sha256) of the repeats. ``rows``: ``docs`` described."""
     first = F.min(F.coalesce("doc_id", F.lit(NO_ID)))
     classes = rows.groupBy("class").agg(first.alias("first_id"), F.count("*").alias("copies"), F.min("n_bytes").alias("n_bytes"))
     classes = stage(classes, "text-classes")
@@ -344,17 +349,50 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     held = stage(held.mapInArrow(own, held.schema), "repeated-texts")
     covered = spans(held).groupBy("class").agg(F.collect_list(F.struct("start", "end")).alias("covered"))
     results = held.select("class", "text").join(covered, "class").mapInArrow(
-        _kept, "class long, n_removed long, n_spans long, kept_sha256 string"
+        _cut, "class long, spans array<struct<start: long, end: long>>, kept_sha256 string"
     )
     # Equal rows of one id come more than once; their class has copies, so only one result of it may be joined.
     results = stage(results.dropDuplicates(["class"]), "kept")
+    return classes.select("class", "copies", F.col("n_bytes").alias("size")), results
+
+
+def _spanned(rows: DataFrame, classes: DataFrame, results: DataFrame) -> DataFrame:
+    """``rows``, which have a class, with the spans of it."""
     copied = F.col("copies").isNotNull() & (F.col("copies") > 1) & (F.col("size") >= LENGTH)
-    joined = rows.select("doc_id", "class", "n_bytes", "sha256").join(
-        classes.select("class", "copies", F.col("n_bytes").alias("size")), "class"
-    ).join(results, "class", "left")
-    return joined.select(
-        "doc_id", "n_bytes",
-        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(copied, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copied, EMPTY).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
-    )
+    whole, none = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end"))), F.array()
+    spans = F.when(copied, whole).otherwise(F.coalesce("spans", none.cast("array<struct<start: long, end: long>>")))
+    return rows.join(classes, "class").join(results, "class", "left").withColumns(
+        {"spans": spans, "kept_sha256": F.when(copied, EMPTY).otherwise(F.col("kept_sha256"))}
+    )
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, spans (start and end of repeated bytes, merged, in order) and kept_sha256 for every document."""
+    rows = stage(described(docs), "texts")
+    found = _spanned(rows.select("doc_id", "class", "n_bytes", "sha256"), *_repeats(rows, docs))
+    return found.select("doc_id", "n_bytes", "spans", F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
+
+
+def kept_texts(docs: DataFrame) -> DataFrame:
+    """doc_id and text for every document: the bytes outside its spans, which may begin or end inside a character."""
+
+    def named(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            yield batch.append_column("class", pa.array([class_of(t.as_py()) for t in batch.column("text")], pa.int64()))
+
+    def outside(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            left = [cut(t.as_py(), ((c["start"], c["end"]) for c in s.as_py()))[1] for t, s in zip(batch.column("text"), batch.column("spans"))]
+            yield batches({"doc_id": batch.column("doc_id"), "text": left}, _TEXTS)
+
+    texts = id_and_bytes(docs).mapInArrow(named, "doc_id long, text binary, class long")
+    spanned = _spanned(texts, *_repeats(stage(described(docs), "texts"), docs))
+    return spanned.select("doc_id", "text", "spans").mapInArrow(outside, "doc_id long, text binary")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document, from its spans."""
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return repeated_spans(docs).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )

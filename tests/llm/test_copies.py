@@ -132,6 +132,15 @@ def test_repeats_in_awkward_texts(docs, rows):
     assert repeats(docs) == plain_repeats(rows)
 
 
+def test_spans_and_kept_texts(docs, rows):
+    digests = [(r[0], r[4]) for r in plain_repeats(rows)]
+    kept = [(r.doc_id, hashlib.sha256(bytes(r.text)).hexdigest()) for r in repeated_bytes.kept_texts(docs).collect()]
+    assert sorted(kept, key=str) == sorted(digests, key=str)
+    spans = {r.doc_id: r.spans for r in repeated_bytes.repeated_spans(docs).collect()}
+    text = dict(rows)[8].encode()
+    assert len(spans[8]) == 1 and text[spans[8][0].start : spans[8][0].end] in dict(rows)[9].encode() and spans[11] == []
+
+
 def test_no_repeats_without_documents(frame):
     assert repeated_bytes.without_repeats(frame([])).count() == 0
 
