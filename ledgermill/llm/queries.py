@@ -92,8 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_shared_line_rules": line_rules.ORACLE,
-    "op7_toxicity": toxicity_scores,
-    "op8_personal_data": personal_data,
-    "op9_suffix_merge": repeated,
     "op10_benchmark_containment": contamination.ORACLE,
 }
