@@ -12,7 +12,7 @@ of neighbours with common prefixes of that length) and the same d bytes before i
 
 Documents with equal texts are one class: all of their bytes are repeated if there are two and one window fits, and one of them
 stands for the class everywhere else. Within a task, suffixes with equal surroundings are merged into one before they
-are sent. A merge holds about 400 bytes per distinct surrounding of the grams in its range, so a passage at very many places in
+are sent. A merge holds some 2.5 KB per distinct surrounding of the grams in its range, so a passage at very many places in
 ever other surroundings is what makes a task grow.
 
 Defined results: a null text is empty; texts under LENGTH bytes lose nothing; equal rows give a row each; null ids stay;
