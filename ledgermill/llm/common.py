@@ -103,3 +103,11 @@ def chunked(rows: Iterable, size: int) -> Iterator[list]:
             held = []
     if held:
         yield held
+
+
+def crc32_sql(value: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an integer in decimals; it has no function for it."""
+    return f"""xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST({value} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)))"""

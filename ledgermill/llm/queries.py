@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import byte_bpe, contamination, edit_counts, jaccard_join, line_rules, pii, repeated_bytes, sharding, tokens_out, toxicity
+from ledgermill.llm import (
+    byte_bpe,
+    contamination,
+    edit_counts,
+    jaccard_join,
+    line_repeats,
+    line_rules,
+    manifest,
+    pii,
+    prefix_trie,
+    repeated_bytes,
+    sharding,
+    tokens_out,
+    toxicity,
+)
 from ledgermill.llm.common import table
 from ledgermill.session import scratch_path
 
@@ -77,6 +91,21 @@ def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def lines_in_many_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_repeats.digests(line_repeats.without_common_lines(table(spark, sf_dir, "documents")))
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose crc32(doc_id) is divisible by 7 are checked as if n_chars had been raised by 1."""
+    tampered = F.crc32(F.col("doc_id").cast("long").cast("string")) % 7 == 0
+    raised = F.col("n_chars").cast("decimal(20,0)") + 1
+    return manifest.checked(table(spark, sf_dir, "documents"), tampered, n_chars=raised)
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files,
     "op2_count_vector_join": near_copies,
@@ -88,9 +117,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": personal_data,
     "op9_suffix_merge": repeated,
     "op10_benchmark_containment": benchmark_items,
+    "op11_line_repeats": lines_in_many_documents,
+    "op12_merkle_manifest": merkle_manifest,
+    "op13_prefix_trie": conversation_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_shared_line_rules": line_rules.ORACLE,
     "op10_benchmark_containment": contamination.ORACLE,
+    "op11_line_repeats": line_repeats.ORACLE,
+    "op12_merkle_manifest": manifest.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
