@@ -167,6 +167,18 @@ SELECT line.* EXCLUDE (line_k), hdr.* EXCLUDE (partner_k), partner.*, product_na
     s_name AS salesperson_name
 FROM line JOIN hdr ON order_id = line_k LEFT JOIN partner ON partner_id = partner_k {PRODUCT_JOINS}
     LEFT JOIN supplier ON s_suppkey = salesperson_id""",
+    "sql_fact_columns": f"""
+WITH hdr AS (SELECT {HEADER_KEY} AS order_id FROM orders)
+SELECT l_orderkey * 8 + l_linenumber AS line_id, l_quantity AS qty_ordered, l_extendedprice * (1 + l_tax) AS price_total
+FROM lineitem JOIN hdr ON order_id = l_orderkey""",
+    "sql_two_views": f"""
+WITH {PRODUCT_TABLES}, hdr AS (SELECT {HEADER_KEY} AS order_id, o_orderkey % 120 - 10 AS seller FROM orders),
+line AS (SELECT l_orderkey AS line_k, {PRODUCT_KEY} AS product_id, l_quantity FROM lineitem),
+ventas AS (SELECT product_category, seller, l_quantity FROM line JOIN hdr ON order_id = line_k {PRODUCT_JOINS}),
+sold AS (SELECT product_category, seller, sum(l_quantity) AS quantity FROM ventas GROUP BY ALL),
+leads AS (SELECT event_id % 120 - 10 AS owner, count(*) AS leads FROM events WHERE event_id % 2 = 0 GROUP BY ALL)
+SELECT product_category, sum(quantity) AS quantity, sum(leads)::BIGINT AS leads FROM sold JOIN leads ON owner = seller
+WHERE quantity > (SELECT avg(l_quantity) FROM ventas) GROUP BY product_category""",
     "bi_compras": f"""
 WITH {partner(', c_nationkey::BIGINT AS partner_country_id')}, {PRODUCT_TABLES},
 hdr AS (SELECT {ORDER_COLUMNS}, o_orderdate + INTERVAL 2 DAY AS date_approve, o_totalprice * 0.8 AS order_untaxed,
@@ -365,6 +377,14 @@ WITH {LOG}, kept AS (
         last_value(CASE WHEN is_event THEN own_level END IGNORE NULLS) OVER w AS level,
         last_value(CASE WHEN is_event THEN own_logger END IGNORE NULLS) OVER w AS logger
     FROM log_lines WINDOW w AS (PARTITION BY file ORDER BY event_id))
+SELECT file, line_no, logged_at, level, logger, CASE WHEN is_event THEN said ELSE trace END AS message FROM kept""",
+    "log_files": f"""
+WITH {LOG}, kept AS (
+    SELECT *, row_number() OVER w AS line_no,
+        last_value(CASE WHEN is_event THEN own_time END IGNORE NULLS) OVER w AS logged_at,
+        last_value(CASE WHEN is_event THEN own_level END IGNORE NULLS) OVER w AS level,
+        last_value(CASE WHEN is_event THEN own_logger END IGNORE NULLS) OVER w AS logger
+    FROM log_lines WINDOW w AS (PARTITION BY file ORDER BY event_id))
 SELECT file, line_no, logged_at, level, logger, CASE WHEN is_event THEN said ELSE trace END AS message FROM kept""",
     "log_severity": f"""
 WITH {LOG} SELECT event_id, CASE WHEN NOT is_event THEN NULL WHEN own_level = 'ERROR' THEN 'error'
@@ -435,6 +455,41 @@ UNION ALL SELECT 'res.users', 'error', 0, NULL, NULL, 0
 UNION ALL SELECT 'res.partner', 'skipped', 0, NULL, NULL, 0""",
     "full_refresh": loaded("false", STALE),
     "capped_loads": f"WITH {CLEAN} SELECT id, amount_total FROM clean",
+    "capped_versions": """
+SELECT o_orderkey AS id, 'v' || (2 - o_orderkey % 3) AS state, o_totalprice + 2 - o_orderkey % 3 AS amount_total,
+    date_trunc('second', o_orderdate) + INTERVAL 2 DAY AS write_date FROM orders""",
+    "field_dates": """
+SELECT loads, o_orderkey AS id, CASE WHEN o_orderkey % 7 >= 3 THEN 'A' ELSE o_orderstatus END AS state,
+    o_totalprice + CASE WHEN o_orderkey % 5 >= 1 THEN 1 ELSE 0 END AS amount_total,
+    date_trunc('second', o_orderdate) + to_days(CAST(greatest(o_orderkey % 7 - 3, o_orderkey % 5 - 1, 0) AS INTEGER)) AS write_date
+FROM orders CROSS JOIN (VALUES ('one'), ('two'), ('other way round'), ('stream')) t(loads)""",
+    "views_after_stream": f"""WITH {CLEAN}, {SECOND} SELECT 'first' AS moment, count(*) AS sessions,
+    count(*) FILTER (state = 'C') AS closed FROM clean
+UNION ALL SELECT moment, count(*), count(*) FILTER (state = 'C') FROM ({loaded("true")}) CROSS JOIN (VALUES ('second'), ('pruned')) t(moment)
+GROUP BY moment""",
+    "full_loads_of_reports": """
+SELECT replaced, o_orderkey AS id, o_orderstatus AS state, o_totalprice AS amount_total, date_trunc('second', o_orderdate) AS write_date
+FROM orders CROSS JOIN (VALUES (true), (false)) t(replaced)
+UNION ALL SELECT false, -1000000000000 - o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders""",
+    "field_catalogue": """
+WITH kinds AS (
+    SELECT 'active' AS field, 'BOOLEAN' AS kind FROM orders UNION SELECT 'id', 'BIGINT' FROM orders
+    UNION SELECT 'state', 'STRING' FROM orders UNION SELECT 'write_date', 'STRING' FROM orders
+    UNION SELECT 'unused', 'ARRAY<BIGINT>' FROM orders
+    UNION SELECT 'name', CASE WHEN o_orderkey % 5 = 0 THEN 'BOOLEAN' ELSE 'STRING' END FROM orders
+    UNION SELECT 'partner_id', CASE WHEN o_custkey % 4 = 0 THEN 'BOOLEAN' ELSE 'ARRAY<VARIANT>' END FROM orders
+    UNION SELECT 'date_order', CASE WHEN o_orderkey % 97 = 1 THEN 'BOOLEAN' ELSE 'STRING' END FROM orders
+    UNION SELECT 'amount_total', CASE o_orderkey % 7 WHEN 0 THEN 'BOOLEAN' WHEN 2 THEN 'DECIMAL(1,0)' ELSE 'BIGINT' END FROM orders),
+types(field, type) AS (VALUES ('active', 'boolean'), ('amount_total', 'double'), ('date_order', 'timestamp_ntz'), ('id', 'bigint'),
+    ('name', 'string'), ('never_sent', 'string'), ('partner_id', 'bigint'), ('state', 'string'), ('write_date', 'timestamp_ntz'))
+SELECT field, coalesce(type, '?') AS type, string_agg(kind, ', ' ORDER BY kind) AS seen
+FROM types FULL JOIN kinds USING (field) GROUP BY field, type""",
+    "stored_columns": """
+SELECT 'sale_order' AS pg_table, true AS there, ordinal, column_name, data_type,
+    (SELECT count(*) + count(*) FILTER (o_orderkey % 3 = 0) FROM orders) AS row_count
+FROM (VALUES (0, 'id', 'bigint'), (1, 'state', 'string'), (2, 'amount_total', 'double'), (3, 'write_date', 'timestamp_ntz'),
+    (4, 'origin', 'string')) t(ordinal, column_name, data_type)
+UNION ALL SELECT 'never_loaded', false, NULL, NULL, NULL, NULL""",
     "views_after_loads": f"""WITH {CLEAN}, {SECOND} SELECT 'load' AS moment, count(*) AS sessions,
     count(*) FILTER (state = 'C') AS closed FROM ({loaded("true")})
 UNION ALL SELECT 'rebuild', count(*), count(*) FILTER (o_orderstatus = 'C') FROM orders""",

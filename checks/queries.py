@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.bindings import (
@@ -44,13 +45,13 @@ from ledgermill.plans.runlog import (
     watermark_reference,
 )
 from ledgermill.plans.sync import Warehouse, rebuild_table, sync_table, sync_tables
-from ledgermill.plans.views import BUSINESS_VIEWS, SALES, STOCK
+from ledgermill.plans.views import BUSINESS_VIEWS, SALES, STOCK, sql_over_views
 from ledgermill.registry import enabled, load_registry, named, registry_counts
 from ledgermill.session import hadoop_path, local_frame, scratch_path
 from ledgermill.sources.landing import Landing, missing_sources
-from ledgermill.sources.logs import log_tail, parse_lines
+from ledgermill.sources.logs import log_tail, parse_lines, read_lines
 from ledgermill.specs import Join, TableSpec, ViewSpec
-from ledgermill.streaming.upsert_stream import stream_upsert
+from ledgermill.streaming.upsert_stream import stream_tables, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,6 +102,27 @@ def product_chain(spark, sf_dir):
     return build_view(STOCK, bound_tables(spark, sf_dir), columns=names)
 
 
+def _by_sql(spark, sf_dir, text: str) -> DataFrame:
+    return sql_over_views(spark, text, lambda session, name: bound_tables(session, sf_dir)(name))
+
+
+@query
+def sql_fact_columns(spark, sf_dir):
+    """Of the six joins of the view only the one that drops lines is left."""
+    return _by_sql(spark, sf_dir, "SELECT line_id, qty_ordered, price_total FROM bi_ventas")
+
+
+@query
+def sql_two_views(spark, sf_dir):
+    text = """
+        WITH sold AS (SELECT product_category, salesperson_id, sum(qty_ordered) AS quantity FROM bi_ventas GROUP BY ALL),
+        leads AS (SELECT user_id, count(*) AS leads FROM (SELECT * FROM bi_crm) WHERE type = 'lead' GROUP BY user_id)
+        SELECT product_category, sum(quantity) AS quantity, sum(leads) AS leads
+        FROM sold JOIN leads ON user_id = salesperson_id
+        WHERE quantity > (SELECT avg(qty_ordered) FROM bi_ventas) GROUP BY product_category"""
+    return _by_sql(spark, sf_dir, text)
+
+
 @query
 def dangling_keys(spark, sf_dir):
     """The key as the order has it beside the id that was found."""
@@ -299,6 +321,18 @@ def log_parse(spark, sf_dir):
     return parse_lines(log_events(spark, sf_dir))
 
 
+@query
+def log_files(spark, sf_dir):
+    """The same lines in files, every second one compressed, read in chunks of 1,000 lines."""
+    folder = scratch_path(spark, "logs")
+    lines = log_events(spark, sf_dir).select("file", "seq", F.col("line").alias("value"))
+    for number, kind in ((0, "none"), (1, "gzip")):
+        own = lines.where(F.col("file") % 2 == number).repartition("file").sortWithinPartitions("file", "seq")
+        own.select("file", "value").write.mode("append").option("compression", kind).partitionBy("file").text(folder)
+    parsed = parse_lines(read_lines(spark, folder), chunk_lines=1000)
+    return parsed.withColumn("file", F.regexp_extract("file", r"file=(\d+)", 1).cast("bigint"))
+
+
 @query
 def log_severity_(spark, sf_dir):
     return log_events(spark, sf_dir).select("event_id", log_severity(F.col("line")).alias("severity"))
@@ -546,8 +580,8 @@ def _stale_orders(spark, sf_dir) -> DataFrame:
     return _orders(spark, sf_dir).withColumn("id", F.lit(-1_000_000_000_000) - F.col("id"))
 
 
-def _logged(house: Warehouse, **options) -> None:
-    run = sync_table(house, ORDER, **options)
+def _logged(house: Warehouse, spec: TableSpec = ORDER, **options) -> None:
+    run = sync_table(house, spec, **options)
     if run.status != "success":
         raise RuntimeError(run.error_message)
     house.runlog.append([run])
@@ -590,6 +624,118 @@ def capped_loads(spark, sf_dir):
     return house.store.read(ORDER).select("id", F.col("amount_total"))
 
 
+@query
+def capped_versions(spark, sf_dir):
+    """Three versions of each order in three extracts, loaded in parts of a third of the records."""
+    root = scratch_path(spark, "house")
+    house = Warehouse(Landing(spark, f"{root}/landing"), TableStore(spark, f"{root}/tables"), RunLog(spark, f"{root}/tables"))
+    for version in range(3):
+        rows = _orders(spark, sf_dir).select(
+            "id", F.lit(f"v{version}").alias("state"), (F.col("amount_total") + version).alias("amount_total"),
+            _moved((F.col("id") + version) % 3),
+        )
+        _land(spark, rows.select(F.to_json(F.struct("*")).alias("value")), house.landing, STORED, version)
+    house.cap = house.batch_size = source(spark, sf_dir, "orders").count()
+    status = "partial"
+    while status == "partial":
+        run = sync_table(house, STORED)
+        house.runlog.append([run])
+        status = run.status
+    return house.store.read(STORED)
+
+
+def _moved(days) -> Column:
+    """The date of the order, some days later, as the source writes it."""
+    moved = F.col("write_date") + F.make_dt_interval(days.cast("int"))
+    return F.date_format(moved, "yyyy-MM-dd HH:mm:ss").alias("write_date")
+
+
+@query
+def field_dates(spark, sf_dir):
+    """Two partial records per order, some older than the stored row: in one load, in two, and in streams."""
+    orders = _orders(spark, sf_dir)
+    state = orders.select("id", F.lit("A").alias("state"), _moved(F.col("id") % 7 - 3))
+    amount = orders.select("id", (F.col("amount_total") + 1).alias("amount_total"), _moved(F.col("id") % 5 - 1))
+    lines = lambda rows: rows.select(F.to_json(F.struct("*")).alias("value"))
+    stored = lines(orders.withColumn("write_date", _moved(F.lit(0))))
+    loads = {
+        "one": [lines(state).unionByName(lines(amount))],
+        "two": [lines(state), lines(amount)],
+        "other way round": [lines(amount), lines(state)],
+        "stream": [lines(amount), lines(state)],
+    }
+    found = []
+    for name, extracts in loads.items():
+        root = scratch_path(spark, "house")
+        house = Warehouse(Landing(spark, f"{root}/landing"), TableStore(spark, f"{root}/tables"), RunLog(spark, f"{root}/tables"))
+        for number, extract in enumerate([stored, *extracts]):
+            _land(spark, extract, house.landing, STORED, number)
+            if name == "stream":
+                stream_upsert(house.landing, house.store, STORED, f"{root}/stream").awaitTermination()
+            else:
+                _logged(house, STORED)
+        found.append(house.store.read(STORED).withColumn("loads", F.lit(name)))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def views_after_stream(spark, sf_dir):
+    """A view read by SQL after each of two runs of the streams that keep its tables."""
+    session = next(s for s in load_registry() if s.name == "pos_session")
+    root = scratch_path(spark, "house")
+    landing = Landing(spark, f"{root}/landing")
+    house = Warehouse(landing, TableStore(spark, f"{root}/tables"), RunLog(spark, f"{root}/tables"), views_over=tuple(load_registry()))
+    count, seen = "SELECT '{}' AS moment, count(*) AS sessions, count_if(state = 'C') AS closed FROM bi_pos_sesiones", []
+    for moment, records in (("first", raw_records(spark, sf_dir)), ("second", None)):
+        if records is None:
+            _land_changes(house, spark, sf_dir, session)
+        else:
+            _land(spark, records, landing, session, 0)
+        for stream in stream_tables(house, [session], f"{root}/streams").values():
+            stream.awaitTermination()
+        seen += map(tuple, spark.sql(count.format(moment)).collect())
+    return local_frame(spark, seen, "moment string, sessions bigint, closed bigint").unionByName(
+        house.sql(count.format("pruned"))
+    )
+
+
+@query
+def full_loads_of_reports(spark, sf_dir):
+    """A table that is not incremental: read whole each time and upserted, so old rows stay; or replaced."""
+    spec, found = replace(STORED, name="report_pos_order", incremental=False), []
+    for replace_full in (False, True):
+        root = scratch_path(spark, "house")
+        landing, store = Landing(spark, f"{root}/landing"), TableStore(spark, f"{root}/tables")
+        house = Warehouse(landing, store, RunLog(spark, f"{root}/tables"), replace_full=replace_full)
+        upsert(store, spec, _stale_orders(spark, sf_dir))
+        rows = _orders(spark, sf_dir).withColumn("write_date", _moved(F.lit(0)))
+        _land(spark, rows.select(F.to_json(F.struct("*")).alias("value")), landing, spec, 0)
+        for _ in range(2):
+            _logged(house, spec)
+        found.append(store.read(spec).withColumn("replaced", F.lit(replace_full)))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def field_catalogue(spark, sf_dir):
+    """Declared and seen types of the landed orders; one field is declared and never sent, one sent and not declared."""
+    landing = Landing(spark, scratch_path(spark, "landing"))
+    _land(spark, raw_records(spark, sf_dir), landing, ORDER, 0)
+    return landing.field_catalogue(replace(ORDER, fields=(*ORDER_FIELDS, "never_sent")))
+
+
+@query
+def stored_columns(spark, sf_dir):
+    """Which tables there are, and their columns in order after a batch has added one."""
+    store = _store(spark)
+    upsert(store, STORED, _stored_orders(spark, sf_dir))
+    upsert(store, STORED, _changes(spark, sf_dir).withColumn("origin", F.lit("x")))
+    rows = store.read(STORED.name).agg(F.count("*")).scalar()
+    named = lambda name: [F.lit(name).alias("pg_table"), F.lit(store.exists(name)).alias("there")]
+    columns = store.columns(STORED.name).select(*named(STORED.name), "*", rows.alias("row_count"))
+    return columns.unionByName(spark.range(1).select(*named("never_loaded")), allowMissingColumns=True)
+
+
 @query
 def views_after_loads(spark, sf_dir):
     """One view, registered once, read by SQL after a second load and after a rebuild."""

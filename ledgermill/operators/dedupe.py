@@ -41,16 +41,9 @@ def dedupe_latest(df: DataFrame, arrival_wins: bool = False) -> DataFrame:
     return latest_per_key(df, ["id"], newest_first(df.columns, arrival_wins))
 
 
-def combine_latest(df: DataFrame, arrival_wins: bool = False) -> DataFrame:
-    """One row per ``id`` from records that carry different fields, which ``_has`` names.
-
-    A field has the value of the newest record that carries it, so a later record without it takes nothing away;
-    ``_has`` names what any of them carries. Records with the same fields are first limited to the newest.
-    """
-    newest = latest_per_key(df, ["id", "_has"], newest_first(df.columns, arrival_wins))
-    moments = [F.col(c) for c in (("_batch", "write_date") if arrival_wins else ("write_date", "_batch")) if c in df.columns]
-    order = F.struct(*moments, F.array_join("_has", ","))
-    fields = [c for c in df.columns if not c.startswith("_") and c not in ("id", *PLACE)]
-    values = [F.max_by(f, F.when(F.array_contains("_has", F.lit(f)), order)).alias(f) for f in fields]
-    has = F.array_distinct(F.flatten(F.collect_list("_has"))).alias("_has")
-    return newest.groupBy("id", *[c for c in PLACE if c in df.columns]).agg(*values, has)
+def recency(columns: Sequence[str], arrival_wins: bool = False) -> Column:
+    """``newest_first`` as one value: the row that comes first there has the largest, as nulls are the smallest."""
+    moments = [c for c in (("_batch", "write_date") if arrival_wins else ("write_date", "_batch")) if c in columns]
+    content = [c for c in columns if not c.startswith("_") and c not in KEYS]
+    named = [F.array_join("_has", ",")] if "_has" in columns else []
+    return F.struct(*moments, *named, *content) if moments or named or content else F.struct("id")

@@ -43,18 +43,25 @@ def recent_rows(df: DataFrame, rows: int = RECENT_ROWS, columns: int = RECENT_CO
 def record_cap(df: DataFrame, cap: int, batch_size: int = 500, width: int = 100_000) -> DataFrame:
     """The first records by id up to ``cap``, rounded up to whole batches; 0 keeps all.
 
-    Counts per id range find the range where the cap falls. The ranges below are kept by a filter and only that one
-    range is sorted, so a large cap does not pass through one task.
+    An id is kept with all its records or not at all, so a reader who goes on after the last id misses none. Counts per id
+    range find the range where the cap falls, and counts per id in that one range the last id to keep; the records
+    themselves are only filtered, so neither a large cap nor an id with very many records passes through one task.
     """
     if not cap:
         return df
     keep = -(-cap // batch_size) * batch_size
-    ranged = df.withColumn("_range", range_of("id", width))
-    counts = ranged.where("id is not null").groupBy("_range").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy("_range")) - F.col("n")  # one row per range
-    reached = counts.select("_range", before.alias("before")).where(F.col("before") < keep)
-    edge = reached.agg(F.max("_range").alias("range"), F.max_by("before", "_range").alias("before")).first()
-    if edge["range"] is None:
+    ranged = df.where("id is not null").select("id", range_of("id", width).alias("_range"))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("n"))
+    edge, before = _reached(counts, "_range", keep)
+    if edge is None:
         return df.limit(0)
-    last = ranged.where(F.col("_range") == edge["range"]).orderBy("id").limit(keep - edge["before"])
-    return ranged.where(F.col("_range") < edge["range"]).unionByName(last).drop("_range")
+    ids = ranged.where(F.col("_range") == edge).groupBy("id").agg(F.count("*").alias("n"))
+    last, _ = _reached(ids, "id", keep - before)
+    return df.where(F.col("id") <= last)
+
+
+def _reached(counts: DataFrame, key: str, keep: int) -> tuple[int | None, int | None]:
+    """The last key that begins before ``keep`` records in key order, and how many stand before it; a row per key."""
+    before = F.sum("n").over(Window.orderBy(key)) - F.col("n")
+    reached = counts.select(key, before.alias("before")).where(F.col("before") < keep)
+    return tuple(reached.agg(F.max(key), F.max_by("before", key)).first())

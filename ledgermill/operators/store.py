@@ -2,6 +2,7 @@
 
     <root>/<table>/v=<version>/id_bucket=<n>/*.parquet     the rows
     <root>/<table>/_about/*.json                           one line per change of schema or version
+    <root>/<table>/_merged-*/                              ranges on their way into place, left by a lost driver only
 
 Ids grow with time and recent records change most, so a range of ids keeps a batch of changes in few directories,
 where a hash would spread every batch over all of them.
@@ -71,6 +72,10 @@ class TableStore:
         schema = T.StructType(info.schema.fields + [T.StructField("id_bucket", T.LongType())])
         return self.spark.read.schema(schema).parquet(self.data_path(name, info))
 
+    def empty(self, info: TableInfo) -> DataFrame:
+        """No rows, in the columns and types of ``read_buckets``."""
+        return local_frame(self.spark, [], T.StructType(info.schema.fields + [T.StructField("id_bucket", T.LongType())]))
+
     def read(self, spec: TableSpec | str) -> DataFrame:
         """The table, with every column its spec declares; where it was never written, no rows of them."""
         name = spec if isinstance(spec, str) else spec.name
@@ -78,7 +83,7 @@ class TableStore:
         if info is not None and path_exists(self.spark, self.data_path(name, info)):
             if not isinstance(spec, str):
                 info = replace(info, schema=widened(info.schema, spec.schema()))
-            return self.read_buckets(name, info).drop("id_bucket")
+            return self.read_buckets(name, info).drop("id_bucket", "_dates")
         if isinstance(spec, str):
             raise ValueError(f"table {name} does not exist")
         return local_frame(self.spark, [], spec.schema())
@@ -100,7 +105,7 @@ class TableStore:
             held += table.where(F.col("id_bucket") == edge).count()
             if held >= rows:
                 break
-        return table.where(F.col("id_bucket") >= F.lit(edge)).drop("id_bucket")
+        return table.where(F.col("id_bucket") >= F.lit(edge)).drop("id_bucket", "_dates")
 
     def drop_old_versions(self, name: str) -> list[int]:
         """Delete the versions a rebuild has replaced: once no reader of them is left."""

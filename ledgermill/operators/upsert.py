@@ -5,26 +5,32 @@ replaced stay until the job commits, so lost executors only cost repeated tasks.
 and a reader during the commit may see some ranges before and some after it (``rebuild`` switches a whole table). A
 driver lost during the commit can leave a range out of place; the copy kept by default and ``restore`` are for that.
 
+Every field has a date of its own: the write_date of the record that set it. A field is refused by its date and not by the
+row's, so records that carry different fields end in the same row however they are split into loads. Dates that differ from
+the row's write_date are kept beside it, in the hidden column ``_dates`` of tables that ever took a partial record.
+
 A batch small enough to broadcast is merged into the stored rows where they are read, and they are not shuffled. Any
-other batch costs them one shuffle, by (id_bucket, id_slice), which serves both the merge and the write. A slice holds
-at most ``slice_width`` ids with one stored and one changed row each, so no task can grow with the data.
+other batch is shuffled once, together with the stored rows, by (id_bucket, id_slice): the newest record of an id is found, merged
+and written there. A slice holds at most ``slice_width`` ids; a sketch of the batch tells whether one id has more records
+than that, and such a batch is first limited to the newest of each id in the tasks that read it.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Collection
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.operators.dedupe import combine_latest, dedupe_latest
+from ledgermill.operators.dedupe import latest_per_key, newest_first, recency
 from ledgermill.operators.sizes import broadcast_limit, row_bytes
 from ledgermill.operators.store import TableInfo, TableStore, range_of, widened
-from ledgermill.session import Staged, path_exists
+from ledgermill.session import Staged, hadoop_path, path_exists
 from ledgermill.specs import TableSpec
 
 logger = logging.getLogger(__name__)
@@ -43,62 +49,123 @@ class UpsertResult:
     last_id: int | None = None
 
 
+DATES = "_dates"
+HIDDEN = ("id", "id_bucket", "id_slice", DATES)
+
+
+class _Merge:
+    """How the newest records of an id (``new``) and its stored row (``old``) become one row.
+
+    With ``_has`` each field has a newest record of its own; without, all fields in ``columns`` come from one record.
+    ``tracked`` keeps the dates of fields that differ from the row's.
+    """
+
+    def __init__(self, stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool):
+        self.names = [c for c in stored.columns if c not in HIDDEN]
+        self.news = [n for n in self.names if n in columns]
+        self.each = "_has" in changes.columns
+        self.dated = "write_date" in self.names
+        self.tracked = DATES in stored.columns
+        self.arrival_wins = arrival_wins
+        self.recency = recency([c for c in changes.columns if c in (*columns, "id", "_batch", "_has")], arrival_wins)
+        self.date_type = stored.schema["write_date"].dataType if self.dated else T.TimestampNTZType()
+        self.written = (F.col("write_date") if "write_date" in self.news else F.lit(None)).cast(self.date_type)
+
+    def newest(self, among: Column | None = None) -> list[Column]:
+        """Aggregates over the records of an id; ``among`` marks the records where other rows are there too."""
+        order = self.recency if among is None else F.when(among, self.recency)
+        if not self.each:
+            return [F.max_by(F.struct(*[F.col(n) for n in self.news], self.written.alias("_at")), order).alias("_new")]
+
+        def newest(name: str) -> Column:
+            return F.max_by(F.struct(F.col(name).alias("value"), self.written.alias("at")), F.when(F.array_contains("_has", F.lit(name)), order))
+
+        return [newest(n).alias(f"_new_{n}") for n in self.news]
+
+    def _new(self, name: str) -> tuple[Column, Column, Column]:
+        """Value, date and whether there is any."""
+        if self.each:
+            record = F.col(f"_new_{name}")
+            return record["value"], record["at"], record.isNotNull()
+        record = F.col("_new")
+        return record[name], record["_at"], record.isNotNull()
+
+    def _old_date(self, name: str, old) -> Column:
+        if not self.tracked:
+            return old("write_date")
+        known = F.coalesce(F.map_contains_key(old(DATES), F.lit(name)), F.lit(False))
+        return F.when(known, F.element_at(old(DATES), F.lit(name))).otherwise(old("write_date"))
+
+    def row(self, old=None) -> list[Column]:
+        """The columns of the merged row; ``old`` gives those of the stored row, which has nulls where there is none."""
+        values, dates = {}, {}
+        for name in self.names:
+            if name not in self.news:
+                values[name] = F.lit(None) if old is None else old(name)
+                if self.dated:
+                    dates[name] = F.lit(None) if old is None else self._old_date(name, old)
+                continue
+            value, date, carried = self._new(name)
+            if old is None:
+                values[name], dates[name] = value, date
+                continue
+            if self.dated and not self.arrival_wins:
+                carried &= ~F.coalesce(self._old_date(name, old) > date, F.lit(False))
+            values[name] = F.when(carried, value).otherwise(old(name))
+            if self.dated:
+                dates[name] = F.when(carried, date).otherwise(self._old_date(name, old))
+        made = [v.alias(n) for n, v in values.items()]
+        if not self.tracked:
+            return made
+        written = values["write_date"].cast(self.date_type)
+        typed = {n: d.cast(self.date_type) for n, d in dates.items() if n != "write_date"}
+        own = [F.when(~d.eqNullSafe(written), F.struct(F.lit(n).alias("key"), d.alias("value"))) for n, d in typed.items()]
+        entries = F.array_compact(F.array(*own)) if own else F.array()
+        return [*made, F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias(DATES)]
+
+
+def _typed(rows: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` in its types."""
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in like.schema.fields if f.name in rows.columns])
+
+
 def merge_in_place(
     stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool = False
 ) -> DataFrame:
     """The same as ``merge_rows`` for changes that fit a broadcast, which the caller has checked."""
-    names = [c for c in stored.columns if c not in ("id", "id_bucket", "id_slice")]
-    news = [n for n in names if n in columns]
-    marks = ["_has"] if "_has" in changes.columns else []
-    change = F.broadcast(changes.select(F.col("id").alias("_id"), *marks, *[F.col(n).alias(f"_new_{n}") for n in news]))
-    joined = stored.join(change, F.col("id") == F.col("_id"), "left")
-    applies = F.col("_id").isNotNull()
-    if not arrival_wins and "write_date" in news:
-        applies &= ~F.coalesce(F.col("write_date") > F.col("_new_write_date"), F.lit(False))
-
-    def value(name: str):
-        if name not in news:
-            return name
-        carried = applies & F.array_contains("_has", F.lit(name)) if marks else applies
-        return F.when(carried, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
-
-    updated = joined.select("id", *[value(n) for n in names], "id_bucket")
-    known = stored.select("id").join(F.broadcast(changes.select("id")), "id", "left_semi")
-    inserted = changes.join(known, "id", "left_anti").repartition("id_bucket").drop("id_slice", *marks)
-    return updated.unionByName(inserted, allowMissingColumns=True)
+    merge = _Merge(stored, changes, columns, arrival_wins)
+    newest = changes.groupBy("id", "id_bucket").agg(*merge.newest()).withColumnRenamed("id", "_id")
+    joined = stored.join(F.broadcast(newest.drop("id_bucket")), F.col("id") == F.col("_id"), "left")
+    updated = joined.select("id", *merge.row(F.col), "id_bucket")
+    known = stored.select("id").join(F.broadcast(changes.select("id").distinct()), "id", "left_semi")
+    fresh = newest.withColumnRenamed("_id", "id").join(known, "id", "left_anti").repartition("id_bucket")
+    return updated.unionByName(_typed(fresh.select("id", *merge.row(), "id_bucket"), updated), allowMissingColumns=True)
 
 
 def merge_rows(stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool = False) -> DataFrame:
-    """Stored rows and deduplicated changes to the rows that remain; both carry id_bucket and id_slice.
+    """Stored rows and records of a batch to the rows that remain; both carry id_bucket and id_slice.
 
-    Columns outside ``columns``, or outside a change's own ``_has``, keep their stored value. A change older than the stored row is refused, unless arrival
-    wins or either of the two has no write_date.
+    Columns outside ``columns``, or outside a record's own ``_has``, keep their stored value. Of several records of an id
+    the newest counts, field by field. A field older than the stored one is refused, unless arrival wins or either of the
+    two has no date.
     """
-    names = [c for c in stored.columns if c not in ("id", "id_bucket", "id_slice")]
+    merge = _Merge(stored, changes, columns, arrival_wins)
+    kept = [*merge.names, *([DATES] if merge.tracked else [])]
     both = (
-        stored.withColumn("_new", F.lit(False))
-        .unionByName(changes.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+        stored.withColumn("_fresh", F.lit(False))
+        .unionByName(changes.withColumn("_fresh", F.lit(True)), allowMissingColumns=True)
         .repartition("id_bucket", "id_slice")
     )
-    window = Window.partitionBy("id_bucket", "id_slice", "id").orderBy(F.desc("_new"))
-    met = both.select(
-        "*",
-        F.row_number().over(window).alias("_rank"),
-        F.lead("id").over(window).isNotNull().alias("_met"),
-        *[F.lead(n).over(window).alias(f"_old_{n}") for n in names],
-    ).where("_rank = 1")
-    updates = F.col("_new") & F.col("_met")
-    stale = F.lit(False)
-    if not arrival_wins and "write_date" in names and "write_date" in columns:
-        stale = updates & F.coalesce(F.col("_old_write_date") > F.col("write_date"), F.lit(False))
-
-    def value(name: str):
-        keep_old = stale if name in columns else updates
-        if name in columns and "_has" in changes.columns:
-            keep_old = stale | (updates & ~F.array_contains("_has", F.lit(name)))
-        return F.when(keep_old, F.col(f"_old_{name}")).otherwise(F.col(name)).alias(name)
-
-    return met.select("id", *[value(n) for n in names], "id_bucket")
+    held = F.first(F.when(~F.col("_fresh"), F.struct(*kept)), ignorenulls=True).alias("_old")
+    met = both.groupBy("id_bucket", "id_slice", "id").agg(*merge.newest(F.col("_fresh")), held)
+    return met.select("id", *merge.row(lambda n: F.col("_old")[n]), "id_bucket")
+
+
+def first_rows(changes: DataFrame, like: DataFrame, columns: Collection[str]) -> DataFrame:
+    """The rows of a table without stored rows; ``like`` has its columns and types."""
+    merge = _Merge(like, changes, columns, False)
+    placed = changes.repartition("id_bucket", "id_slice").groupBy("id_bucket", "id_slice", "id").agg(*merge.newest())
+    return _typed(placed.select("id", *merge.row(), "id_bucket"), like)
 
 
 def _placed(changes: DataFrame, bucket_width: int, slice_width: int) -> DataFrame:
@@ -114,25 +181,38 @@ def _as_kept(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.withColumns({name: F.col(name).try_cast(kind) for name, kind in other.items()})
 
 
-def _write(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id_bucket").parquet(path)
+def _write(rows: DataFrame | str, path: str) -> None:
+    """Replace ranges: by those of ``rows``, or by the folders of a copy, which are moved and not written again."""
+    if not isinstance(rows, str):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id_bucket").parquet(path)
+        return
+    spark = SparkSession.active()
+    fs, source = hadoop_path(spark, rows)
+    for status in fs.listStatus(source):
+        name = status.getPath().getName()
+        if name.startswith("id_bucket="):
+            target = hadoop_path(spark, f"{path}/{name}")[1]
+            fs.delete(target, True)
+            if not fs.rename(status.getPath(), target):
+                raise OSError(f"{name} could not be moved to {path}")
+    fs.delete(source, True)
 
 
 def _replace(rows: DataFrame, path: str, label: str, keep_copy: bool) -> None:
-    """Overwrite the ranges of ``rows``; with a copy of them kept in the scratch folder until all are in place."""
+    """Overwrite the ranges of ``rows``. They are written beside the table once and moved into place; a range that was not
+    moved is still in the copy. Without ``keep_copy`` Spark's own commit does the same, and leaves nothing to go on from."""
     if not keep_copy:
         _write(rows, path)
         return
-    with Staged(rows, f"merged-{label}", [F.count("id").alias("rows")]) as copy:
-        logger.info("%s: ranges being replaced are kept in %s", label, copy.path)
-        _write(copy.rows, path)
+    copy = f"{path.rpartition('/')[0]}/_merged-{uuid.uuid4().hex}"
+    rows.write.partitionBy("id_bucket").parquet(copy)
+    logger.info("%s: ranges being replaced are kept in %s", label, copy)
+    _write(copy, path)
 
 
 def restore(store: TableStore, name: str, copy_path: str) -> None:
-    """Put the ranges of a kept copy in place: what to run when the driver was lost during a commit."""
-    info = store.info(name)
-    schema = T.StructType(info.schema.fields + [T.StructField("id_bucket", T.LongType())])
-    _write(store.spark.read.schema(schema).parquet(copy_path), store.data_path(name, info))
+    """Put the rest of a copy in place: what to run when the driver was lost during a commit."""
+    _write(copy_path, store.data_path(name, store.info(name)))
 
 
 def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str) -> Staged:
@@ -165,13 +245,32 @@ def _result(facts: dict) -> UpsertResult:
     )
 
 
-def _winners(rows: DataFrame, facts: dict, arrival_wins: bool = False) -> tuple[DataFrame, Collection[str] | None]:
-    """One row per id, and the fields that all records carry; None where a row has its own in ``_has``, or all."""
-    rows = rows.where("id is not null")
+def _carried(rows: DataFrame, facts: dict) -> tuple[DataFrame, Collection[str] | None]:
+    """The records with an id, and the fields that all of them carry; None where a record has its own in ``_has``, or all."""
+    rows = rows.where("id is not null").drop("_bad")
     if "_has" in rows.columns and facts["has_low"] != facts["has_high"]:
-        return combine_latest(rows, arrival_wins), None
-    winners = dedupe_latest(rows.drop("_has"), arrival_wins).drop("_batch", "_bad")
-    return winners, facts["has_high"] if "_has" in rows.columns else None
+        return rows, None
+    return rows.drop("_has"), facts["has_high"] if "_has" in rows.columns else None
+
+
+def _limited(rows: DataFrame, slice_width: int, arrival_wins: bool = False) -> DataFrame:
+    """The rows, or where one id has more than a slice may hold, the newest per id and set of fields.
+
+    The sketch reads the ids alone. The limit acts in the tasks that read the rows, before their shuffle.
+    """
+    top = rows.agg(F.expr("approx_top_k(id, 1, 1000)").alias("top")).first()["top"]
+    if not top or top[0]["count"] <= slice_width:
+        return rows
+    keys = ["id", "_has"] if "_has" in rows.columns else ["id"]
+    return latest_per_key(rows, keys, newest_first(rows.columns, arrival_wins))
+
+
+def _with_dates(schema: T.StructType, columns: Collection[str] | None) -> T.StructType:
+    """The schema of a table that takes records without some of its fields, whose dates it has to know."""
+    names = [f.name for f in schema.fields if f.name not in HIDDEN]
+    if DATES in schema.names or "write_date" not in names or (columns is not None and set(names) <= set(columns)):
+        return schema
+    return T.StructType(schema.fields + [T.StructField(DATES, T.MapType(T.StringType(), schema["write_date"].dataType))])
 
 
 def upsert(
@@ -186,8 +285,8 @@ def upsert(
 
     ``changes`` has an ``id``, any columns of the table, and optionally ``_batch`` (arrival order), ``_bad`` (unreadable
     fields) and ``_has`` (the fields that each record carries; those it does not carry keep their stored value).
-    ``columns`` limits the update of the whole batch. ``keep_copy`` writes the merged ranges twice, so that a commit that
-    was cut short can be finished by ``restore``; without it such a commit can lose ranges.
+    ``columns`` limits the update of the whole batch. With ``keep_copy`` a commit that was cut short can be finished by
+    ``restore``; without it such a commit can lose ranges.
     """
     data = [c for c in changes.columns if not c.startswith("_")]
     columns = [c for c in data if columns is None or c in columns or c == "id"]
@@ -203,24 +302,24 @@ def upsert(
 
     with _stage(changes, new_info.bucket_width, new_info.slice_width, f"batch-{spec.name}") as staged:
         facts, rows = _result(staged.facts), staged.rows
+        rows, carried = _carried(rows, staged.facts)
+        columns = [c for c in columns if carried is None or c in carried or c == "id"]
+        if facts.records:
+            new_info = replace(new_info, schema=_with_dates(new_info.schema, None if "_has" in rows.columns else columns))
         if info is None or new_info != info:
             store.describe(spec.name, replace(new_info, change=new_info.change + 1))
         if not facts.records:
             return facts
-        winners, carried = _winners(rows, staged.facts, arrival_wins)
-        columns = [c for c in columns if carried is None or c in carried or c == "id"]
+        rows = _limited(rows, new_info.slice_width, arrival_wins)
         if info is None or not path_exists(store.spark, path):
-            empty = {f.name: F.lit(None).cast(f.dataType) for f in new_info.schema.fields if f.name not in winners.columns}
-            names = [f.name for f in new_info.schema.fields]
-            placed = winners.withColumns(empty).drop("_has").repartition("id_bucket", "id_slice").select(*names, "id_bucket")
-            _write(placed.sortWithinPartitions("id_bucket", "id"), path)
+            _write(first_rows(rows, store.empty(new_info), columns), path)
             return facts
         stored = store.read_buckets(spec.name, new_info).where(F.col("id_bucket").isin(list(facts.buckets)))
         if (staged.facts["bytes"] or 0) <= broadcast_limit(store.spark):
-            merged = merge_in_place(stored, winners, columns, arrival_wins)
+            merged = merge_in_place(stored, rows, columns, arrival_wins)
         else:
             stored = stored.withColumn("id_slice", range_of("id", new_info.slice_width))
-            merged = merge_rows(stored, winners, columns, arrival_wins)
+            merged = merge_rows(stored, rows, columns, arrival_wins)
         _replace(merged, path, spec.name, keep_copy)
     return facts
 
@@ -229,15 +328,16 @@ def rebuild(store: TableStore, spec: TableSpec, rows: DataFrame) -> UpsertResult
     """Replace the whole table: write a new version beside the old one, then switch to it. Nothing is dropped first."""
     info = store.info(spec.name)
     before = (info.change, info.version) if info else (0, -1)
-    schema = T.StructType([f for f in rows.schema.fields if not f.name.startswith("_")])
+    data = [c for c in rows.columns if not c.startswith("_")]
+    schema = T.StructType([f for f in rows.schema.fields if f.name in data])
     fresh = TableInfo(before[0] + 1, before[1] + 1, widened(spec.schema(), schema), spec.bucket_width, spec.slice_width)
     rows = _as_kept(rows, fresh.schema)
     with _stage(rows, fresh.bucket_width, fresh.slice_width, f"rebuild-{spec.name}") as staged:
         facts = _result(staged.facts)
-        winners = _winners(staged.rows, staged.facts)[0].drop("_has")
-        missing = [f for f in fresh.schema.fields if f.name not in winners.columns]
-        winners = winners.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
-        placed = winners.repartition("id_bucket", "id_slice").drop("id_slice").sortWithinPartitions("id_bucket", "id")
-        _write(placed, store.data_path(spec.name, fresh))
+        rows, carried = _carried(staged.rows, staged.facts)
+        columns = [c for c in data if carried is None or c in carried or c == "id"]
+        fresh = replace(fresh, schema=_with_dates(fresh.schema, None if "_has" in rows.columns else columns))
+        path = store.data_path(spec.name, fresh)
+        _write(first_rows(_limited(rows, fresh.slice_width), store.empty(fresh), columns), path)
     store.describe(spec.name, fresh)
     return facts

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Iterable
 from dataclasses import astuple, dataclass, replace
 from datetime import datetime
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.operators.dedupe import latest_per_key
-from ledgermill.session import local_frame, path_exists
+from ledgermill.session import hadoop_path, local_frame, path_exists
 
 RUN_SCHEMA = (
     "run_id string, model_name string, pg_table string, started_at timestamp_ntz, last_sync timestamp_ntz, "
@@ -85,22 +86,66 @@ def run_summary(runs: DataFrame) -> DataFrame:
 
 
 class RunLog:
-    def __init__(self, spark: SparkSession, root: str):
+    """The rows of all runs: Parquet in one folder per generation, of which the highest counts.
+
+        <root>/etl_sync_log/gen=<n>/*.parquet     all rows of earlier generations in one file, and a file per later append
+        <root>/etl_sync_log/*.parquet             generation 0
+
+    An append that makes a folder hold more than ``files`` files is followed by a compaction: all rows go to a new folder,
+    which is given its name when it is complete; then the old ones are removed. One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, files: int = 100):
         self.spark = spark
         self.path = f"{root.rstrip('/')}/etl_sync_log"
+        self.files = files
         self.one_at_a_time = threading.Lock()  # appends share a folder for their temporary files
 
+    def _generations(self) -> list[int]:
+        if not path_exists(self.spark, self.path):
+            return []
+        fs, path = hadoop_path(self.spark, self.path)
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        return sorted(int(n.removeprefix("gen=")) for n in names if n.startswith("gen="))
+
+    def _folder(self, generation: int) -> str:
+        return f"{self.path}/gen={generation}" if generation else self.path
+
+    def _files(self, folder: str) -> list:
+        fs, path = hadoop_path(self.spark, folder)
+        return [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().endswith(".parquet")]
+
     def append(self, runs: Iterable[Run]) -> None:
         rows = [astuple(r) for r in runs]
         if not rows:
             return
         with self.one_at_a_time:
-            local_frame(self.spark, rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            generation = max(self._generations(), default=0)
+            folder = self._folder(generation)
+            local_frame(self.spark, rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+            if len(self._files(folder)) > self.files:
+                self._compact(generation)
+
+    def _compact(self, generation: int) -> None:
+        fresh = f"{self.path}/_gen-{uuid.uuid4().hex}"
+        self.runs().coalesce(1).write.parquet(fresh)
+        fs, source = hadoop_path(self.spark, fresh)
+        fs.rename(source, hadoop_path(self.spark, self._folder(generation + 1))[1])
+        for old in self._files(self.path):
+            fs.delete(old, False)
+        for old in self._generations()[:-1]:
+            fs.delete(hadoop_path(self.spark, self._folder(old))[1], True)
 
     def runs(self) -> DataFrame:
-        if path_exists(self.spark, self.path):
-            return self.spark.read.schema(RUN_SCHEMA).parquet(self.path)
-        return local_frame(self.spark, [], RUN_SCHEMA)
+        return self.seen_by(self.spark)
+
+    def seen_by(self, spark: SparkSession) -> DataFrame:
+        """The rows as a DataFrame of another session."""
+        generation = max(self._generations(), default=0)
+        folder = self._folder(generation)
+        if path_exists(self.spark, folder):
+            return spark.read.schema(RUN_SCHEMA).parquet(*([folder] if generation else [f"{folder}/*.parquet"]))
+        return local_frame(spark, [], RUN_SCHEMA)
 
     def progress(self, reference_watermark: bool = False) -> dict[str, Progress]:
         """Every model's progress; one row per model reaches the driver."""

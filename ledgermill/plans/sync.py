@@ -18,7 +18,7 @@ from ledgermill.operators.paging import record_cap
 from ledgermill.operators.store import TableStore
 from ledgermill.operators.upsert import UpsertResult, rebuild, upsert
 from ledgermill.plans.runlog import Progress, Run, RunLog
-from ledgermill.plans.views import register_views
+from ledgermill.plans.views import register_views, sql_over_views
 from ledgermill.registry import select_specs
 from ledgermill.sources.landing import Landing
 from ledgermill.specs import TableSpec
@@ -63,6 +63,13 @@ class Warehouse:
             tables = {s.name: s for s in self.views_over}
             register_views(lambda name: self.store.read(tables[name]), self.runlog.runs())
 
+    def sql(self, text: str) -> DataFrame:
+        """A statement over the views of ``views_over``, as the tables are now, which reads only the joins it needs."""
+        tables = {s.name: s for s in self.views_over}
+        return sql_over_views(
+            self.store.spark, text, lambda spark, name: TableStore(spark, self.store.root).read(tables[name]), self.runlog.seen_by
+        )
+
 
 def changed_rows(house: Warehouse, spec: TableSpec, start: Progress, numbered: bool) -> DataFrame:
     """The typed records a load has to apply.

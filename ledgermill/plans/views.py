@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermill.functions.labels import move_type_label, payment_type_label
 from ledgermill.plans.builder import build_view
@@ -294,7 +297,7 @@ def register_views(table: Callable[[str], DataFrame], runs: DataFrame | None = N
     """Create or replace the temporary views, so that they can be queried with ``spark.sql``.
 
     With the rows of the run log the state of the loads, ``bi_sync_status``, is the eleventh. SQL sees every column of
-    a view, so unused joins stay in its plans; ``build_view(columns=...)`` drops them.
+    a view, so unused joins stay in its plans; ``build_view(columns=...)`` and ``sql_over_views`` drop them.
     """
     for name, spec in BUSINESS_VIEWS.items():
         build_view(spec, table).createOrReplaceTempView(name)
@@ -304,6 +307,62 @@ def register_views(table: Callable[[str], DataFrame], runs: DataFrame | None = N
     return [*BUSINESS_VIEWS, "bi_sync_status"]
 
 
+def _plans(plan) -> Iterator:
+    """The nodes of an optimized plan, those of its subqueries too."""
+    yield plan
+    for more in (plan.children(), plan.subqueries()):
+        for i in range(more.size()):
+            yield from _plans(more.apply(i))
+
+
+def _ids(attributes) -> set[int]:
+    return {attributes.apply(i).exprId().id() for i in range(attributes.size())}
+
+
+def used_columns(statement: DataFrame, views: dict[str, T.StructType]) -> dict[str, set[str]]:
+    """The columns that a statement needs of each view it names. The views are leaves of its plan with just these columns.
+
+    The optimizer has taken out what the result does not depend on; what is left is read by a node or is put out.
+    """
+    plan = statement._jdf.queryExecution().optimizedPlan()
+    nodes = list(_plans(plan))
+    read = _ids(plan.output()).union(*[_ids(n.references().toSeq()) for n in nodes])
+    named = defaultdict(list)
+    for name, schema in views.items():
+        named[tuple(schema.names)].append(name)
+    used: dict[str, set[str]] = defaultdict(set)
+    for leaf in (n for n in nodes if n.children().isEmpty()):
+        output = leaf.output()
+        columns = [output.apply(i) for i in range(output.size())]
+        for view in named.get(tuple(c.name() for c in columns), ()):
+            used[view] |= {c.name() for c in columns if c.exprId().id() in read}
+    return used
+
+
+def sql_over_views(
+    spark: SparkSession, text: str, table: Callable[[SparkSession, str], DataFrame], runs: Callable[[SparkSession], DataFrame] | None = None
+) -> DataFrame:
+    """A SQL statement over the views, with only those joins in its plan that its columns need.
+
+    The statement is first optimized over leaves that stand for the views, which shows the columns it uses; then it is bound
+    to views with these columns, where the others are NULL. Both happen in a copy of the session, so that the views
+    registered in ``spark`` stay as they are; its other views and settings hold there too. ``table`` and ``runs`` read
+    the tables and the run log in the session they are given.
+    """
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    words = set(re.findall(r"\w+", text.lower()))
+    schemas = {n: build_view(spec, lambda t: table(own, t)).schema for n, spec in BUSINESS_VIEWS.items() if n in words}
+    for name, schema in schemas.items():
+        own.createDataFrame(own.sparkContext.emptyRDD(), schema).createOrReplaceTempView(name)
+    if runs is not None:
+        sync_status(sync_state_latest(runs(own))).createOrReplaceTempView("bi_sync_status")
+    for name, used in used_columns(own.sql(text), schemas).items():
+        kept = build_view(BUSINESS_VIEWS[name], lambda n: table(own, n), columns=[c for c in schemas[name].names if c in used])
+        columns = [F.col(f.name) if f.name in used else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas[name]]
+        kept.select(*columns).createOrReplaceTempView(name)
+    return own.sql(text)
+
+
 def write_view(view: DataFrame, path: str, month_of: str | None = None) -> None:
     """Write a view for readers that open files, if asked by month of one of its columns.
 

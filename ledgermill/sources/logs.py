@@ -1,8 +1,8 @@
 """Load logs: text files with one event per line, where a traceback spans the lines after its event.
 
-Lines are read in splits, so one large file is as parallel as many small ones. What a line inherits from the lines
-before it is found in two steps: inside each split (its size is bounded by spark.sql.files.maxPartitionBytes), and
-then from the last event of the earlier splits, of which there is one row each.
+Lines are read in splits, so one large file is as parallel as many small ones. A compressed file cannot be split and is read by
+one task, but goes on from there in chunks of lines. What a line inherits from the lines before it is found in two steps:
+inside each chunk of a split, and then from the last event of the earlier chunks, of which there is one row each.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # The line format "time [LEVEL] logger: message".
 EVENT = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),(\d{3}) \[(\w+)\] ([^:\s]+): (.*)$"
 TAIL = 500
+CHUNK = 100_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -26,7 +27,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame, chunk_lines: int = CHUNK) -> DataFrame:
     """``file, line_no, logged_at, level, logger, message``; a line that is no event takes those of the event above."""
     part = lambda n: F.regexp_extract("line", EVENT, n)
     is_event = part(1) != ""
@@ -39,17 +40,19 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         "file",
         "block",
         "seq",
+        F.call_function("div", F.col("seq"), F.lit(chunk_lines)).alias("chunk"),
         F.when(is_event, event).alias("event"),
         F.when(is_event, part(5)).otherwise(F.col("line")).alias("message"),
     )
-    in_block = Window.partitionBy("file", "block").orderBy("seq")
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("file", "block", "chunk").orderBy("seq")
+    earlier = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
-        marked.groupBy("file", "block")
+        marked.groupBy("file", "block", "chunk")
         .agg(F.count("*").alias("n"), F.max_by("event", F.when(F.col("event").isNotNull(), F.col("seq"))).alias("ended"))
         .select(
             "file",
             "block",
+            "chunk",
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
             F.last("ended", ignorenulls=True).over(earlier).alias("carried"),
         )
@@ -60,7 +63,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         F.last("event", ignorenulls=True).over(in_block).alias("latest"),
     )
     event = F.coalesce("latest", "carried")
-    return numbered.join(blocks, ["file", "block"]).select(
+    return numbered.join(blocks, ["file", "block", "chunk"]).select(
         "file",
         (F.col("before") + F.col("n")).alias("line_no"),
         event["logged_at"].alias("logged_at"),

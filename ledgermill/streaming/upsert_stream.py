@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
@@ -29,6 +29,7 @@ def stream_upsert(
     arrival_wins: bool = False,
     runlog: RunLog | None = None,
     archive: str | None = None,
+    refresh: Callable[[], object] | None = None,
 ) -> StreamingQuery:
     """Keep a table current from its landing folder.
 
@@ -37,6 +38,7 @@ def stream_upsert(
     still taken, and the upsert refuses it only where the stored row is newer; fields a record lacks keep their value.
     A restart repeats the batch that was in flight, which the upsert makes harmless. Each batch has a row in ``runlog``.
     With ``archive`` files that were taken are moved there, so that the folder does not have to be listed for ever.
+    ``refresh`` is called after each batch, when the files of the table have changed (``Warehouse.refresh_views``).
     """
     spec = landing.resolve(spec)
     reader = landing.spark.readStream.option("recursiveFileLookup", "true")
@@ -62,6 +64,8 @@ def stream_upsert(
             log(status="error", error_message=str(problem))
             raise
         log(records_synced=done.records, rejected=done.rejected, bad_values=sum(done.bad_values.values()))
+        if refresh:
+            refresh()
 
     writer = records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
@@ -71,7 +75,11 @@ def stream_upsert(
 def stream_tables(
     house: Warehouse, specs: Iterable[TableSpec], checkpoints: str, every: str | None = None, **options
 ) -> dict[str, StreamingQuery]:
-    """A stream for each enabled table that has a landing folder; one that fails leaves the others running."""
+    """A stream for each enabled table that has a landing folder; one that fails leaves the others running.
+
+    The views of the warehouse are registered anew after every batch of any of them.
+    """
+    options = {"refresh": house.refresh_views} | options
     landed = [s for s in select_specs(specs) if house.landing.exists(s)]
     return {
         s.name: stream_upsert(house.landing, house.store, s, f"{checkpoints}/{s.name}", every, runlog=house.runlog, **options)

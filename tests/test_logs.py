@@ -1,3 +1,4 @@
+import gzip
 import os
 
 from ledgermill.session import local_frame
@@ -58,3 +59,21 @@ def test_the_tail_of_rotated_files_is_that_of_the_newest(spark, tmp_path):
 def test_a_file_without_events(spark):
     lines = local_frame(spark, [("f", 0, 0, "x"), ("f", 0, 1, "y")], "file string, block bigint, seq bigint, line string")
     assert {(r.line_no, r.message, r.level) for r in parse_lines(lines).collect()} == {(1, "x", None), (2, "y", None)}
+
+
+def test_a_compressed_file_is_parsed_in_chunks(spark, tmp_path):
+    lines = ["  orphan"] + [
+        f"2024-01-02 03:04:05,{n:03d} [INFO] etl: event {n}" if n % 40 == 0 else f"  trace {n}" for n in range(1, 500)
+    ]
+    with gzip.open(tmp_path / "sync.log.gz", "wt", encoding="utf-8") as file:
+        file.write("\n".join(lines) + "\n")
+    read = read_lines(spark, str(tmp_path))
+    assert read.select("block").distinct().count() == 1
+    whole, cut = (parse_lines(read, n).orderBy("line_no").collect() for n in (1000, 7))
+    assert whole == cut and [r.line_no for r in cut] == list(range(1, 501))
+    carried = None
+    for row, line in zip(cut, lines):
+        carried = int(line.split(",")[1][:3]) * 1000 if "event" in line else carried
+        assert (row.logged_at and row.logged_at.microsecond) == carried
+    plan = parse_lines(read)._jdf.queryExecution().optimizedPlan().toString()
+    assert "chunk" in plan.split("windowspecdefinition(")[1]

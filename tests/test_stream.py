@@ -5,6 +5,7 @@ from pyspark.errors import StreamingQueryException
 from ledgermill.operators.store import TableStore
 from ledgermill.plans.sync import Warehouse, sync_table
 from ledgermill.plans.runlog import RunLog
+from ledgermill.registry import load_registry
 from ledgermill.sources.landing import Landing
 from ledgermill.specs import TableSpec
 from ledgermill.streaming.upsert_stream import stream_tables, stream_upsert
@@ -65,3 +66,16 @@ def test_a_restart_from_nothing_repeats_harmlessly(spark, tmp_path):
     assert rows(store) == once and once[9][0] == "v2"
     drain(landing, store, tmp_path / "two")
     assert rows(store) == once
+
+
+def test_views_follow_a_stream(spark, tmp_path):
+    specs = load_registry()
+    tables = str(tmp_path / "tables")
+    house = Warehouse(Landing(spark, str(tmp_path / "landing")), TableStore(spark, tables), RunLog(spark, tables), views_over=tuple(specs))
+    session = [s for s in specs if s.name == "pos_session"]
+    for n, name in enumerate("abc"):
+        land(tmp_path / "landing", "pos_session", [{"id": 1, "name": name, "write_date": f"2024-01-0{n + 1} 00:00:00"}], n)
+        for stream in stream_tables(house, session, str(tmp_path / "checkpoints")).values():
+            stream.awaitTermination()
+        assert [r.name for r in spark.sql("SELECT name FROM bi_pos_sesiones").collect()] == [name]
+        assert [r.name for r in house.sql("SELECT name FROM bi_pos_sesiones").collect()] == [name]

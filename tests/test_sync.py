@@ -5,7 +5,7 @@ import pytest
 from checks.full_load import records
 from ledgermill.operators.store import TableStore
 from ledgermill.plans import sync as sync_module
-from ledgermill.plans.runlog import Progress, Run, RunLog, run_summary, sync_state_latest, watermark_reference
+from ledgermill.plans.runlog import RUN_SCHEMA, Progress, Run, RunLog, run_summary, sync_state_latest, watermark_reference
 from ledgermill.plans.sync import Warehouse, next_mark, rebuild_table, sync_table, sync_tables
 from ledgermill.registry import load_registry
 from ledgermill.sources.landing import Landing
@@ -287,3 +287,35 @@ def test_state_is_the_latest_run_of_each_model(spark, tmp_path):
     assert [r.status for r in sync_state_latest(log.runs()).collect()] == ["skipped"]
     assert watermark_reference(log.runs()).count() == 0
     assert log.progress() == {"m": Progress(moment, None)}
+
+
+def test_capped_loads_keep_the_versions_of_an_id_together(house, landing):
+    for day in (1, 2, 3):
+        land(landing, "sale_order", [order(i, f"day{day}", day) for i in (1, 2)], day)
+    house.cap = house.batch_size = 1
+    runs = [run(house) for _ in range(3)]
+    assert [(r.status, r.records_synced, r.last_id) for r in runs] == [("partial", 3, 1), ("partial", 3, 2), ("success", 0, None)]
+    assert names(house) == {1: "day3", 2: "day3"}
+    assert run(house).records_synced == 0
+
+
+def test_fields_of_one_extract_are_refused_by_their_own_dates(house, landing):
+    land(landing, "sale_order", [order(1, "stored5", 5)], 0)
+    run(house)
+    land(landing, "sale_order", [{"id": 1, "name": "old3", "write_date": AT(3)}, {"id": 1, "amount_total": 9.0, "write_date": AT(10)}], 1)
+    run(house)
+    row = house.store.read(SPEC).first()
+    assert (row.name, row.amount_total, row.write_date) == ("stored5", 9.0, datetime(2024, 1, 10))
+
+
+def test_the_run_log_stays_small(spark, tmp_path):
+    """Many appends leave a bounded number of files, and rows written before a compaction are all there."""
+    log, moment = RunLog(spark, str(tmp_path), files=6), datetime(2024, 1, 1)
+    made = [Run(str(k), f"m{k % 3}", "t", moment, moment + timedelta(hours=k), mark=moment + timedelta(hours=k)) for k in range(40)]
+    for k, one in enumerate(made):
+        log.append([one])
+        assert len(list((tmp_path / "etl_sync_log").rglob("part-*.parquet"))) <= 7
+    assert sorted(int(r.run_id) for r in log.runs().collect()) == list(range(40))
+    assert log.progress() == {f"m{k % 3}": Progress(made[k].mark, None) for k in (37, 38, 39)}
+    assert log.runs().columns == [f.split()[0] for f in RUN_SCHEMA.split(", ")]
+    assert {r.model_name for r in sync_state_latest(RunLog(spark, str(tmp_path)).runs()).collect()} == {"m0", "m1", "m2"}

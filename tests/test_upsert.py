@@ -242,3 +242,92 @@ def test_plans(spark, conf):
     placed = merge_in_place(put(rows), put(rows), rows.columns)._jdf.queryExecution().executedPlan().toString()
     stored_side = placed.split("Exchange hashpartitioning")[0]
     assert "BroadcastHashJoin" in stored_side and "SortMergeJoin" not in stored_side
+
+
+def partial(spark, *rows):
+    """Records that carry some fields each: (id, day, {field: value}, batch)."""
+    full = [(i, r.get("name"), r.get("amount_total"), DAY(d), b, sorted(["id", "write_date", *r])) for i, d, r, b in rows]
+    return local_frame(spark, full, SCHEMA + ", _has array<string>")
+
+
+def test_a_field_is_refused_by_its_own_date(spark, store, both_ways):
+    upsert(store, SPEC, batch(spark, (1, "stored5", 1.0, 5, 0)))
+    upsert(store, SPEC, partial(spark, (1, 3, {"name": "old3"}, 1), (1, 10, {"amount_total": 9.0}, 1)))
+    assert table(store) == {1: ("stored5", 9.0, DAY(10))}
+    upsert(store, SPEC, partial(spark, (1, 7, {"name": "new7"}, 2), (1, 6, {"amount_total": 6.0}, 2), (2, 1, {"name": "b"}, 2)))
+    assert table(store) == {1: ("new7", 9.0, DAY(10)), 2: ("b", None, DAY(1))}
+    upsert(store, SPEC, partial(spark, (2, 0, {"amount_total": 2.0}, 3)))
+    assert table(store)[2] == ("b", 2.0, DAY(1)), "a field that no record has set takes any"
+    assert store.read(SPEC).columns == list(SPEC.fields) == store.tail(SPEC, 5).columns
+    assert [r.column_name for r in store.columns(SPEC).collect()] == list(SPEC.fields)
+    rebuild(store, SPEC, partial(spark, (1, 3, {"name": "x"}, 0), (1, 2, {"amount_total": 1.0}, 0)))
+    upsert(store, SPEC, partial(spark, (1, 1, {"amount_total": 5.0}, 1), (1, 2, {"name": "y"}, 1)))
+    assert table(store) == {1: ("x", 1.0, DAY(3))}
+
+
+def test_whole_records_keep_no_dates(spark, store, both_ways):
+    for day in range(2):
+        upsert(store, SPEC, batch(spark, (1, "a", 1.0, day, day)))
+        assert "_dates" not in store.info("t").schema.names
+
+
+RECORD = st.tuples(
+    st.integers(0, 3), st.integers(0, 5),
+    st.fixed_dictionaries({}, optional={"name": st.sampled_from("abc"), "amount_total": st.sampled_from([1.0, 2.0, None])}),
+)
+
+
+def newest_fields(records):
+    """Per id and field the value of the newest record that carries it, the last of equals."""
+    found, dates = {}, {}
+    for i, day, fields in records:
+        for name, value in {**fields, "write_date": DAY(day)}.items():
+            if day >= dates.get((i, name), day):
+                dates[i, name] = day
+                found.setdefault(i, {})[name] = value
+    return {i: (r.get("name"), r.get("amount_total"), r["write_date"]) for i, r in found.items()}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(records=st.lists(RECORD, min_size=1, max_size=14), cuts=st.lists(st.integers(1, 13), min_size=1, max_size=2, unique=True))
+def test_partial_records_end_alike_however_they_are_split(spark, conf, tmp_path_factory, records, cuts):
+    numbered = [(*r, n) for n, r in enumerate(records)]
+    parts = [numbered[a:b] for a, b in zip([0, *sorted(cuts)], [*sorted(cuts), len(records)])]
+    expected = newest_fields(records)
+    for limit, loads in (("10mb", [numbered]), ("10mb", parts), ("-1", parts)):
+        conf(autoBroadcastJoinThreshold=limit)
+        own = TableStore(spark, str(tmp_path_factory.mktemp("split")))
+        for load in filter(None, loads):
+            upsert(own, SPEC, partial(spark, *load))
+        assert table(own) == expected
+
+
+def test_an_id_with_very_many_records_is_limited_before_the_shuffle(spark, store, conf, monkeypatch):
+    conf(autoBroadcastJoinThreshold="-1")
+    rows = [(1, f"v{k}", float(k), k % 7, k) for k in range(60)] + [(k, "x", 1.0, 0, 0) for k in range(2, 9)]
+    seen, real = [], upsert_module.latest_per_key
+    monkeypatch.setattr(upsert_module, "latest_per_key", lambda *a: seen.append(1) or real(*a))
+    for _ in range(2):
+        upsert(store, SPEC, batch(spark, *rows))
+    assert len(seen) == 2 and table(store)[1] == ("v55", 55.0, DAY(6)) and len(table(store)) == 8
+    upsert(store, SPEC, batch(spark, *rows[54:]))
+    assert len(seen) == 3, "six records of one id are more than a slice of five ids may hold"
+
+
+def test_a_load_shuffles_its_batch_once(spark, store, conf, monkeypatch):
+    """The plan of the real pipeline, from the staged batch to what is written."""
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    plans, real = [], upsert_module._replace
+    monkeypatch.setattr(upsert_module, "_replace", lambda rows, *a: plans.append(rows) or real(rows, *a))
+    first, write = [], upsert_module._write
+    monkeypatch.setattr(upsert_module, "_write", lambda rows, path: first.append(rows) or write(rows, path))
+    for load in range(2):
+        upsert(store, SPEC, batch(spark, *[(i, "a", 1.0, load, load) for i in range(30)]))
+    upsert(store, SPEC, partial(spark, *[(i, 2, {"name": "b"} if i % 2 else {"amount_total": 2.0}, 2) for i in range(30)]))
+    rebuild(store, SPEC, batch(spark, *[(i, "a", 1.0, 0, 0) for i in range(30)]))
+    written = [p for p in (*plans, *first) if not isinstance(p, str)]
+    assert len(plans) == 2 and len(written) == 4
+    for rows in written:
+        text = rows._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 1 and "Exchange" not in text.replace("Exchange hashpartitioning", "")
+    assert len(first) == 4 and [isinstance(p, str) for p in first] == [False, True, True, False], "merged ranges are moved"

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from checks.bindings import bound_tables, sync_runs
 from checks.queries import QUERIES
 from ledgermill.plans.builder import build_view, needed_joins
-from ledgermill.plans.views import BUSINESS_VIEWS, POS_SALES, SALES, register_views, write_view
+from ledgermill.operators.counts import table_counts
+from ledgermill.plans.views import BUSINESS_VIEWS, POS_SALES, SALES, register_views, sql_over_views, write_view
 from ledgermill.specs import Join, ViewSpec
 
 SF = "/root/testdata/sf0.001"
@@ -133,3 +134,31 @@ def test_queries_stay_on_the_jvm(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for node in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text, name
+
+
+def test_sql_reads_only_the_joins_its_columns_need(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    over = lambda text: sql_over_views(spark, text, lambda session, name: bound_tables(session, SF)(name))
+    registered = {t.name for t in spark.catalog.listTables()}
+    full = build_view(SALES, bound_tables(spark, SF))
+    three = over("SELECT line_id, qty_ordered, price_total FROM bi_ventas")
+    assert joins(three) == 1
+    assert sorted(three.collect()) == sorted(full.select("line_id", "qty_ordered", "price_total").collect())
+    assert joins(over("SELECT count(*) FROM BI_VENTAS")) == 1
+    by_partner = over("SELECT v.partner_name, sum(qty_ordered) AS n FROM (SELECT * FROM bi_ventas) v WHERE is_company GROUP BY 1")
+    assert joins(by_partner) == 2
+    wanted = full.where("is_company").groupBy("partner_name").agg(F.sum("qty_ordered").alias("n"))
+    assert sorted(map(str, by_partner.collect())) == sorted(map(str, wanted.collect()))
+    self_join = over("SELECT a.line_id FROM bi_ventas a JOIN bi_ventas b ON a.line_id = b.line_id WHERE b.product_name LIKE 'p%'")
+    assert joins(self_join) >= 1 + 2 and self_join.count() == full.where("product_name LIKE 'p%'").count()
+    scalar = over("SELECT (SELECT max(salesperson_name) FROM bi_ventas) AS best, (SELECT count(*) FROM bi_crm) AS leads")
+    assert scalar.first().best == full.agg(F.max("salesperson_name")).first()[0]
+    everything = over("SELECT * FROM bi_ventas")
+    assert joins(everything) == joins(full) and everything.columns == full.columns
+    assert {t.name for t in spark.catalog.listTables()} == registered, "nothing is registered in the caller's session"
+
+
+def test_counts_read_no_columns(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    plan = table_counts(spark, {"orders": orders})._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan, "row counts come from the files' footers"
