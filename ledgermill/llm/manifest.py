@@ -57,17 +57,17 @@ def digest_rows(docs: DataFrame, tampered: Column | None = None, **changed: Colu
     return leaves.withColumn("suspect", F.coalesce("suspect", "leaf"))
 
 
-def _block() -> Column:
-    return F.shiftright("pos", LEVELS)
+def by_block(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with their block, dealt by it: windows over blocks would else be content with rows dealt by group alone."""
+    return nodes.withColumn("block", F.shiftright("pos", LEVELS)).repartition("group", "block")
 
 
 def in_blocks(nodes: DataFrame) -> DataFrame:
-    """``nodes`` (group, pos, n, node, any others) with block, top (the digest of the block) and path (siblings below it).
+    """``nodes`` (group, pos, n, node, block, any others) with top (the digest of the block) and path (siblings below it).
 
     ``n`` is the number of nodes of the group; a group with a single node has an empty path and is its own top.
     """
     rows = nodes.withColumns({
-        "block": _block(),
         "_at": F.col("pos").bitwiseAND((1 << LEVELS) - 1),
         "_depth": F.when(F.col("n") > 1, F.length(F.bin(F.col("n") - 1))).otherwise(0),
         "_node": F.col("node"),
@@ -92,7 +92,7 @@ def in_blocks(nodes: DataFrame) -> DataFrame:
             "_node": F.when(F.col("_depth") > level, F.col("_run")["parent"]).otherwise(F.col("_node")),
         })
     own = F.slice(F.array(*[F.col(f"_sibling{k}") for k in range(LEVELS)]), 1, F.least("_depth", F.lit(LEVELS)))
-    return rows.select(*nodes.columns, "block", "_at", F.col("_node").alias("top"), own.alias("path"))
+    return rows.select(*nodes.columns, "_at", F.col("_node").alias("top"), own.alias("path"))
 
 
 def climb(nodes: DataFrame) -> DataFrame:
@@ -100,13 +100,13 @@ def climb(nodes: DataFrame) -> DataFrame:
     if (nodes.agg(F.max("n")).first()[0] or 0) <= 1:
         return nodes.select("group", "pos", F.array().cast(_PATH).alias("path"), F.col("node").alias("root"))
     above = climb(block_digests(nodes)).select("group", F.col("pos").alias("block"), F.col("path").alias("_above"), "root")
-    inside = in_blocks(nodes.withColumn("block", _block()).join(above, ["group", "block"]))
+    inside = in_blocks(by_block(nodes).join(above, ["group", "block"]))
     return inside.select("group", "pos", F.concat("path", "_above").alias("path"), "root")
 
 
 def block_digests(nodes: DataFrame) -> DataFrame:
     """The tops of the blocks as nodes of the next tree."""
-    tops = in_blocks(nodes).where("_at = 0")
+    tops = in_blocks(by_block(nodes)).where("_at = 0")
     more = F.shiftright(F.col("n") + ((1 << LEVELS) - 1), LEVELS)
     return stage(tops.select("group", F.col("block").alias("pos"), more.alias("n"), F.col("top").alias("node")), "blocks")
 
@@ -114,7 +114,7 @@ def block_digests(nodes: DataFrame) -> DataFrame:
 def manifest(leaves: DataFrame) -> DataFrame:
     """doc_id, leaf, suspect, subroot, root and path (the siblings from the leaf to the root) of the rows of ``digest_rows``."""
     placed = stage(positions(leaves, "group", ["doc_id", "leaf", "read_as"]), "leaves")
-    counts = placed.groupBy("group").agg(F.count("*").alias("n"))
+    counts = stage(placed.groupBy("group").agg(F.count("*").alias("n")), "group-sizes")
     nodes = placed.join(counts, "group").withColumn("node", F.col("leaf"))
     blocks = stage(climb(block_digests(nodes.select("group", "pos", "n", "node"))), "block-paths")
     subroots = blocks.where("pos = 0").select(F.lit("").alias("group"), F.col("group").alias("name"), F.col("root").alias("node"))
@@ -125,7 +125,7 @@ def manifest(leaves: DataFrame) -> DataFrame:
     tops = blocks.join(roots, "group").select(
         "group", F.col("pos").alias("block"), F.concat("path", "over").alias("above"), F.col("root").alias("subroot"), F.col("whole").alias("root")
     )
-    inside = in_blocks(nodes.withColumn("block", _block()).join(tops, ["group", "block"]))
+    inside = in_blocks(by_block(nodes).join(tops, ["group", "block"]))
     return inside.select("doc_id", "leaf", "suspect", "subroot", "root", F.concat("path", "above").alias("path"))
 
 
