@@ -40,10 +40,3 @@ def dedupe_latest(df: DataFrame, arrival_wins: bool = False) -> DataFrame:
     """Last write wins: one row per ``id``."""
     return latest_per_key(df, ["id"], newest_first(df.columns, arrival_wins))
 
-
-def recency(columns: Sequence[str], arrival_wins: bool = False) -> Column:
-    """``newest_first`` as one value: the row that comes first there has the largest, as nulls are the smallest."""
-    moments = [c for c in (("_batch", "write_date") if arrival_wins else ("write_date", "_batch")) if c in columns]
-    content = [c for c in columns if not c.startswith("_") and c not in KEYS]
-    named = [F.array_join("_has", ",")] if "_has" in columns else []
-    return F.struct(*moments, *named, *content) if moments or named or content else F.struct("id")

@@ -22,12 +22,13 @@ import uuid
 from collections.abc import Collection
 from dataclasses import dataclass, replace
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.operators.dedupe import latest_per_key, newest_first, recency
+from ledgermill.operators.dedupe import latest_per_key, newest_first
 from ledgermill.operators.sizes import broadcast_limit, row_bytes
 from ledgermill.operators.store import TableInfo, TableStore, range_of, widened
 from ledgermill.session import Staged, hadoop_path, path_exists
@@ -67,20 +68,26 @@ class _Merge:
         self.dated = "write_date" in self.names
         self.tracked = DATES in stored.columns
         self.arrival_wins = arrival_wins
-        self.recency = recency([c for c in changes.columns if c in (*columns, "id", "_batch", "_has")], arrival_wins)
+        self.order = newest_first([c for c in changes.columns if c in (*columns, "_batch")], arrival_wins)
         self.date_type = stored.schema["write_date"].dataType if self.dated else T.TimestampNTZType()
         self.written = (F.col("write_date") if "write_date" in self.news else F.lit(None)).cast(self.date_type)
 
-    def newest(self, among: Column | None = None) -> list[Column]:
-        """Aggregates over the records of an id; ``among`` marks the records where other rows are there too."""
-        order = self.recency if among is None else F.when(among, self.recency)
-        if not self.each:
-            return [F.max_by(F.struct(*[F.col(n) for n in self.news], self.written.alias("_at")), order).alias("_new")]
-
-        def newest(name: str) -> Column:
-            return F.max_by(F.struct(F.col(name).alias("value"), self.written.alias("at")), F.when(F.array_contains("_has", F.lit(name)), order))
-
-        return [newest(n).alias(f"_new_{n}") for n in self.news]
+    def newest(self, rows: DataFrame, keys: Collection[str], kept: Collection[str] = ()) -> DataFrame:
+        """One row per id with its newest records; with ``kept``, rows that are not ``_fresh`` are stored ones of these columns."""
+        fresh = F.col("_fresh") if kept else F.lit(True)
+        order = Window.partitionBy(*keys).orderBy(*([F.desc("_fresh")] if kept else []), *self.order)
+        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        found = {}
+        if self.each:
+            for n in self.news:
+                carried = F.when(fresh & F.array_contains("_has", F.lit(n)), F.struct(F.col(n).alias("value"), self.written.alias("at")))
+                found[f"_new_{n}"] = F.first(carried, ignorenulls=True).over(whole)
+        else:
+            found["_new"] = F.when(fresh, F.struct(*self.news, self.written.alias("_at")))
+        if kept:
+            found["_old"] = F.first(F.when(~fresh, F.struct(*kept)), ignorenulls=True).over(whole)
+        ranked = rows.select(*keys, F.row_number().over(order).alias("_rank"), *[c.alias(n) for n, c in found.items()])
+        return ranked.where("_rank = 1").drop("_rank")
 
     def _new(self, name: str) -> tuple[Column, Column, Column]:
         """Value, date and whether there is any."""
@@ -91,37 +98,45 @@ class _Merge:
         return record[name], record["_at"], record.isNotNull()
 
     def _old_date(self, name: str, old) -> Column:
-        if not self.tracked:
+        if not self.tracked or name == "write_date":
             return old("write_date")
         known = F.coalesce(F.map_contains_key(old(DATES), F.lit(name)), F.lit(False))
-        return F.when(known, F.element_at(old(DATES), F.lit(name))).otherwise(old("write_date"))
+        own = F.when(known, F.element_at(old(DATES), F.lit(name))).otherwise(old("write_date"))
+        return F.when(old(DATES).isNull(), old("write_date")).otherwise(own)
+
+    def rows(self, met: DataFrame, old=None) -> DataFrame:
+        """The merged rows; ``old`` gives the columns of the stored row, which has nulls where there is none.
 
-    def row(self, old=None) -> list[Column]:
-        """The columns of the merged row; ``old`` gives those of the stored row, which has nulls where there is none."""
-        values, dates = {}, {}
+        In steps, each of which Spark computes once per row: dates that were, what is taken, values and dates, their map.
+        """
+        none = lambda name: F.lit(None)
+        if old is None or not self.dated:
+            was = {n: F.lit(None).cast(self.date_type) for n in self.names}
+        else:
+            met = met.withColumns({f"_was_{n}": self._old_date(n, old) for n in self.names})
+            was = {n: F.col(f"_was_{n}") for n in self.names}
+        takes, values, dates = {}, {}, {}
+        for name in self.news:
+            _, date, carried = self._new(name)
+            stale = self.dated and not self.arrival_wins and old is not None
+            takes[name] = carried & ~F.coalesce(was[name] > date, F.lit(False)) if stale else carried
+        met = met.withColumns({f"_takes_{n}": t for n, t in takes.items()})
         for name in self.names:
-            if name not in self.news:
-                values[name] = F.lit(None) if old is None else old(name)
-                if self.dated:
-                    dates[name] = F.lit(None) if old is None else self._old_date(name, old)
-                continue
-            value, date, carried = self._new(name)
-            if old is None:
-                values[name], dates[name] = value, date
-                continue
-            if self.dated and not self.arrival_wins:
-                carried &= ~F.coalesce(self._old_date(name, old) > date, F.lit(False))
-            values[name] = F.when(carried, value).otherwise(old(name))
-            if self.dated:
-                dates[name] = F.when(carried, date).otherwise(self._old_date(name, old))
-        made = [v.alias(n) for n, v in values.items()]
+            values[name], dates[name] = (old or none)(name), was[name]
+            if name in takes:
+                value, date, _ = self._new(name)
+                values[name] = F.when(F.col(f"_takes_{name}"), value).otherwise(values[name])
+                dates[name] = F.when(F.col(f"_takes_{name}"), date).otherwise(dates[name])
+        made = [values[n].alias(n) for n in self.names]
         if not self.tracked:
-            return made
-        written = values["write_date"].cast(self.date_type)
-        typed = {n: d.cast(self.date_type) for n, d in dates.items() if n != "write_date"}
-        own = [F.when(~d.eqNullSafe(written), F.struct(F.lit(n).alias("key"), d.alias("value"))) for n, d in typed.items()]
-        entries = F.array_compact(F.array(*own)) if own else F.array()
-        return [*made, F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias(DATES)]
+            return met.select("id", *made, "id_bucket")
+        fields = [n for n in self.names if n != "write_date"]
+        met = met.select("id", *made, "id_bucket", *[dates[n].cast(self.date_type).alias(f"_at_{n}") for n in fields])
+        other = {n: ~F.col(f"_at_{n}").eqNullSafe(F.col("write_date").cast(self.date_type)) for n in fields}
+        entries = [F.when(d, F.struct(F.lit(n).alias("key"), F.col(f"_at_{n}").alias("value"))) for n, d in other.items()]
+        known = F.when(reduce(Column.__or__, other.values(), F.lit(False)), F.map_from_entries(F.array_compact(F.array(*entries))))
+        kind = T.MapType(T.StringType(), self.date_type)
+        return met.select("id", *self.names, (known if fields else F.lit(None)).cast(kind).alias(DATES), "id_bucket")
 
 
 def _typed(rows: DataFrame, like: DataFrame) -> DataFrame:
@@ -134,12 +149,12 @@ def merge_in_place(
 ) -> DataFrame:
     """The same as ``merge_rows`` for changes that fit a broadcast, which the caller has checked."""
     merge = _Merge(stored, changes, columns, arrival_wins)
-    newest = changes.groupBy("id", "id_bucket").agg(*merge.newest()).withColumnRenamed("id", "_id")
+    newest = merge.newest(changes, ["id", "id_bucket"]).withColumnRenamed("id", "_id")
     joined = stored.join(F.broadcast(newest.drop("id_bucket")), F.col("id") == F.col("_id"), "left")
-    updated = joined.select("id", *merge.row(F.col), "id_bucket")
+    updated = merge.rows(joined, F.col)
     known = stored.select("id").join(F.broadcast(changes.select("id").distinct()), "id", "left_semi")
     fresh = newest.withColumnRenamed("_id", "id").join(known, "id", "left_anti").repartition("id_bucket")
-    return updated.unionByName(_typed(fresh.select("id", *merge.row(), "id_bucket"), updated), allowMissingColumns=True)
+    return updated.unionByName(_typed(merge.rows(fresh), updated), allowMissingColumns=True)
 
 
 def merge_rows(stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool = False) -> DataFrame:
@@ -156,16 +171,15 @@ def merge_rows(stored: DataFrame, changes: DataFrame, columns: Collection[str],
         .unionByName(changes.withColumn("_fresh", F.lit(True)), allowMissingColumns=True)
         .repartition("id_bucket", "id_slice")
     )
-    held = F.first(F.when(~F.col("_fresh"), F.struct(*kept)), ignorenulls=True).alias("_old")
-    met = both.groupBy("id_bucket", "id_slice", "id").agg(*merge.newest(F.col("_fresh")), held)
-    return met.select("id", *merge.row(lambda n: F.col("_old")[n]), "id_bucket")
+    met = merge.newest(both, ["id_bucket", "id_slice", "id"], kept)
+    return merge.rows(met, lambda n: F.col("_old")[n])
 
 
 def first_rows(changes: DataFrame, like: DataFrame, columns: Collection[str]) -> DataFrame:
     """The rows of a table without stored rows; ``like`` has its columns and types."""
     merge = _Merge(like, changes, columns, False)
-    placed = changes.repartition("id_bucket", "id_slice").groupBy("id_bucket", "id_slice", "id").agg(*merge.newest())
-    return _typed(placed.select("id", *merge.row(), "id_bucket"), like)
+    placed = merge.newest(changes.repartition("id_bucket", "id_slice"), ["id_bucket", "id_slice", "id"])
+    return _typed(merge.rows(placed), like)
 
 
 def _placed(changes: DataFrame, bucket_width: int, slice_width: int) -> DataFrame:

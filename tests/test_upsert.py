@@ -288,7 +288,7 @@ def newest_fields(records):
     return {i: (r.get("name"), r.get("amount_total"), r["write_date"]) for i, r in found.items()}
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(records=st.lists(RECORD, min_size=1, max_size=14), cuts=st.lists(st.integers(1, 13), min_size=1, max_size=2, unique=True))
 def test_partial_records_end_alike_however_they_are_split(spark, conf, tmp_path_factory, records, cuts):
     numbered = [(*r, n) for n, r in enumerate(records)]
