@@ -30,6 +30,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Let Arrow batches end at a few MB, unless the session has a size of its own: what Spark holds outside its heap for
+    them follows their size, in each task that has ever run Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
+
+
 def batches(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

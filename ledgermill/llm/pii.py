@@ -355,12 +355,14 @@ def _drawn(windows: list[tuple[str, list[Span]]], pairs: list[tuple[str, list[Sp
 def train(docs: DataFrame, max_rows: int = 400, max_bytes: int = 100_000, max_windows: int = 2000) -> Tagger | None:
     """Fit on the spans the patterns find in ``max_rows`` texts with a digit or @, of at most ``max_bytes`` each.
 
-    Where their windows are more than ``max_windows``, those around spans and those of values side by side are drawn evenly.
+    Rows are drawn by hash and id alone; only the texts of those drawn, each once, come to the driver. Where their windows are more than ``max_windows``, those around spans and those of values side by side are drawn evenly.
     """
     rows = id_and_bytes(docs).where(F.octet_length("text") <= max_bytes)
     rows = rows.where(F.col("text").cast("string").rlike("[0-9]{3}|@")).withColumn("draw", F.xxhash64("text"))
-    chosen = rows.orderBy("draw", "doc_id").limit(max_rows).select("text").toPandas()["text"]
-    labelled = [(t, base_spans(t)) for t in dict.fromkeys(decoded(bytes(v)) for v in chosen)]
+    drawn = sorted({r.draw for r in rows.select("draw", "doc_id").orderBy("draw", "doc_id").limit(max_rows).collect()})
+    edge = drawn[-1] if drawn else None  # every row up to it is drawn, or is a copy of one that is
+    chosen = rows.where(F.col("draw") <= F.lit(edge)).groupBy("draw").agg(F.first("text").alias("text")).orderBy("draw")
+    labelled = [(t, base_spans(t)) for t in dict.fromkeys(decoded(bytes(r.text)) for r in chosen.collect())]
     labelled = [(t, s) for t, s in labelled if s]
     windows = _drawn(_windows_around(labelled), _windows_side_by_side(labelled), max_windows)
     return Tagger().fit(windows) if len(windows) >= 8 else None
