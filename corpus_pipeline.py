@@ -4,6 +4,7 @@ Toxic documents go; of each group of near copies the document with the smallest
 benchmark item go; personal data is replaced by its kind; what is left is encoded, and decoded again as a check. Null and
 empty texts are clean, their own group, and have no tokens; rows without an id are never dropped as copies; an empty table
 gives an empty result; columns beside doc_id and text pass through the first four stages, and n_chars follows the text.
+Each stage sets the size of the session's Arrow batches where it is unset (``common.small_batches``).
 """
 
 from __future__ import annotations
@@ -13,23 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm import byte_bpe, contamination, jaccard_join, pii, toxicity
-from ledgermill.llm.common import stage, table
+from ledgermill.llm.common import small_batches, stage, table
 from ledgermill.llm.queries import BYTE_RANKS
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard_join.one_of_each(docs, width=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return contamination.without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     masked = pii.masked(docs, pii.train(docs))
     if "n_chars" not in docs.columns:
         return masked
@@ -37,6 +42,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return byte_bpe.round_trip(docs, BYTE_RANKS, public_tokenizers.PATTERN, with_ids=True)
 
 
