@@ -496,3 +496,8 @@ UNION ALL SELECT 'rebuild', count(*), count(*) FILTER (o_orderstatus = 'C') FROM
     "rebuild": f"WITH {CLEAN} SELECT id, name, state, amount_total, write_date FROM clean",
     "stream_upsert": loaded("true"),
 }
+
+ORACLE_SQL["bi_ventas_colocated"] = ORACLE_SQL["bi_ventas"]
+ORACLE_SQL["bi_pos_ventas_skewed"] = ORACLE_SQL["bi_pos_ventas"].replace(
+    PARTNER_KEY, "CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 5 ELSE o_custkey END"
+)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from checks.bindings import (
     AS_OF,
+    HEADER,
     bound_tables,
     log_events,
     raw_records,
@@ -30,13 +31,14 @@ from ledgermill.functions.formats import (
 )
 from ledgermill.functions.labels import area_label, log_severity, mode_label, status_label
 from ledgermill.functions.predicates import contains_text, domain_filter, since
+from ledgermill.operators.colocate import write_buckets
 from ledgermill.operators.counts import source_count, table_counts, total_records
 from ledgermill.operators.dedupe import dedupe_latest
 from ledgermill.operators.paging import recent_rows, record_cap, scan_page
 from ledgermill.operators.store import TableStore
 from ledgermill.operators.upsert import upsert
 from ledgermill.plans import monitor
-from ledgermill.plans.builder import build_view
+from ledgermill.plans.builder import build_view, heavy_keys
 from ledgermill.plans.runlog import (
     RunLog,
     run_summary,
@@ -45,7 +47,7 @@ from ledgermill.plans.runlog import (
     watermark_reference,
 )
 from ledgermill.plans.sync import Warehouse, rebuild_table, sync_table, sync_tables
-from ledgermill.plans.views import BUSINESS_VIEWS, SALES, STOCK, sql_over_views
+from ledgermill.plans.views import BUSINESS_VIEWS, POS_SALES, SALES, STOCK, sql_over_views
 from ledgermill.registry import enabled, load_registry, named, registry_counts
 from ledgermill.session import hadoop_path, local_frame, scratch_path
 from ledgermill.sources.landing import Landing, missing_sources
@@ -102,6 +104,31 @@ def product_chain(spark, sf_dir):
     return build_view(STOCK, bound_tables(spark, sf_dir), columns=names)
 
 
+@query
+def bi_ventas_colocated(spark, sf_dir):
+    """Lines and headers from copies bucketed by the header's id: their join shuffles neither."""
+    table, copies = bound_tables(spark, sf_dir), {}
+    for name, key in (("sale_order", "id"), ("sale_order_line", "order_id")):
+        path = scratch_path(spark, "copy")
+        copies[name] = write_buckets(table(name), f"{name}_{path.rpartition('-')[2]}", path, key, 8)
+    return build_view(SALES, lambda name: copies[name] if name in copies else table(name))
+
+
+@query
+def bi_pos_ventas_skewed(spark, sf_dir):
+    """A third of the orders have no partner and a third the same one; a sketch finds it."""
+    tables = bound_tables(spark, sf_dir)
+    partner = F.expr("CASE id_ % 3 WHEN 0 THEN NULL WHEN 1 THEN 5 ELSE custkey END")
+    orders = source(spark, sf_dir, "orders").selectExpr("o_orderkey AS id_", "o_custkey AS custkey", f"{HEADER['id']} AS id")
+    orders = orders.select("id", partner.alias("partner_id"))
+
+    def table(name: str) -> DataFrame:
+        found = tables(name)
+        return found.drop("partner_id").join(orders, "id") if name == "pos_order" else found
+
+    return build_view(POS_SALES, table, heavy=heavy_keys(POS_SALES, table, share=0.3))
+
+
 def _by_sql(spark, sf_dir, text: str) -> DataFrame:
     return sql_over_views(spark, text, lambda session, name: bound_tables(session, sf_dir)(name))
 

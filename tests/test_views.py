@@ -1,13 +1,18 @@
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks.bindings import bound_tables, sync_runs
 from checks.queries import QUERIES
-from ledgermill.plans.builder import build_view, needed_joins
+from ledgermill.plans.builder import build_view, heavy_keys, needed_joins
+from ledgermill.operators.colocate import colocated, drop_copies, known_buckets
 from ledgermill.operators.counts import table_counts
+from ledgermill.operators.store import TableStore
+from ledgermill.operators.upsert import upsert
 from ledgermill.plans.views import BUSINESS_VIEWS, POS_SALES, SALES, register_views, sql_over_views, write_view
+from ledgermill.registry import load_registry
 from ledgermill.specs import Join, ViewSpec
 
 SF = "/root/testdata/sf0.001"
@@ -162,3 +167,47 @@ def test_counts_read_no_columns(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     plan = table_counts(spark, {"orders": orders})._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan, "row counts come from the files' footers"
+
+
+def test_a_header_join_of_bucketed_copies_shuffles_no_lines(spark, conf, tmp_path):
+    conf(autoBroadcastJoinThreshold=NONE, adaptive__enabled="false")
+    store, specs = TableStore(spark, str(tmp_path)), {}
+    for name in ("sale_order", "sale_order_line"):
+        specs[name] = replace(next(s for s in load_registry() if s.name == name), bucket_width=10_000, slice_width=10_000)
+        upsert(store, specs[name], bound_tables(spark, SF)(name))
+    copies = {n: colocated(store, specs[n], k, 4) for n, k in (("sale_order", "id"), ("sale_order_line", "order_id"))}
+    facts = ["line_id", "qty_ordered", "order_total"]
+    view = build_view(SALES, copies.get, columns=facts)
+    assert "Exchange" not in plan(view) and joins(view) == 1
+    stored = build_view(SALES, lambda n: store.read(specs[n]), columns=facts)
+    assert plan(stored).count("Exchange hashpartitioning") == 2 and same_rows(view, stored)
+    tables = bound_tables(spark, SF)
+    whole = plan(build_view(SALES, lambda n: copies.get(n, tables(n)))).split("\n")
+    scans = [k for k, text in enumerate(whole) if "Bucketed: true" in text and "order_id" in text]
+    assert len(scans) == 1 and "Exchange" not in "".join(whole[scans[0] - 4 : scans[0]])
+    path = copies["sale_order"].inputFiles()[0].rpartition("/")[0]
+    again = known_buckets(spark, copies["sale_order"], f"known_{tmp_path.name}", path, "id", 4)
+    assert "Exchange" not in plan(build_view(SALES, {**copies, "sale_order": again}.get, columns=facts))
+    colocated(store, specs["sale_order"], "id", 4)
+    assert [drop_copies(store, specs["sale_order"], k) for k in ("id", "id", "name")] == [1, 0, 0]
+    assert store.read(specs["sale_order"]).count() == tables("sale_order").count(), "copies are not part of the table"
+
+
+def test_hot_and_missing_keys_are_dealt_over_tasks(spark, conf, tmp_path):
+    conf(autoBroadcastJoinThreshold=NONE, adaptive__enabled="false", shuffle__partitions="32")
+    lines = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 == 1, 7).when(F.col("id") % 3 == 2, F.col("id") % 500).cast("bigint").alias("product_id")
+    )
+    lines.write.parquet(str(tmp_path / "lines"))
+    products = spark.range(400).select("id", F.concat(F.lit("p"), "id").alias("name"))
+    spec = ViewSpec("hot", "lines", "line", (Join("products", "item", "line.product_id"),), {"id": "line.id", "product": "item.name"})
+    tables = {"lines": spark.read.parquet(str(tmp_path / "lines")), "products": products}
+    heavy = heavy_keys(spec, tables.get)
+    assert heavy == {"item": [7]}
+    assert heavy_keys(spec, {**tables, "lines": tables["lines"].where("product_id != 7")}.get) == {}
+    assert heavy_keys(spec, {**tables, "lines": tables["lines"].limit(0)}.get) == {}
+    sizes = lambda df: [n for (n,) in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    plain, dealt = build_view(spec, tables.get), build_view(spec, tables.get, heavy=heavy)
+    assert same_rows(plain, dealt) and dealt.count() == 30_000
+    assert max(sizes(plain)) >= 10_000 > 4_000 > max(sizes(dealt))
+    assert same_rows(build_view(spec, tables.get, heavy={"item": []}), plain), "without heavy keys only rows without one are dealt"
