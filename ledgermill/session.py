@@ -48,7 +48,30 @@ def _local_scratch() -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the scratch folder; ``clear_scratch`` removes what is there, at the latest when the driver ends."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(_clear_at_exit)
+    _MADE.append(path)
+    return path
+
+
+_MADE: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch files of this driver: once no DataFrame that reads them is needed any more."""
+    gone = 0
+    while _MADE:
+        fs, path = hadoop_path(spark, _MADE.pop())
+        gone += fs.delete(path, True)
+    return gone
+
+
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        clear_scratch(spark)
 
 
 def hadoop_path(spark: SparkSession, path: str):
