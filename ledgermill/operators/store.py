@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, replace
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,7 +92,8 @@ class TableStore:
     def tail(self, spec: TableSpec | str, rows: int) -> DataFrame:
         """The last ranges of ids that hold ``rows`` rows between them, for readers of the newest records.
 
-        Ranges are counted from the last one backwards; as a rule the first is enough, and the others are never read.
+        The last range is counted, then the last eight together and so on; as a rule the first is enough, and the others are
+        never read.
         """
         name = spec if isinstance(spec, str) else spec.name
         info = self.info(name)
@@ -100,11 +102,13 @@ class TableStore:
         fs, path = hadoop_path(self.spark, self.data_path(name, info))
         found = [s.getPath().getName() for s in fs.listStatus(path)]
         ranges = sorted((int(n.split("=")[1]) for n in found if n.startswith("id_bucket=")), reverse=True)
-        table, held, edge = self.read_buckets(name, info), 0, None
-        for edge in ranges:
-            held += table.where(F.col("id_bucket") == edge).count()
-            if held >= rows:
-                break
+        table, edge, step = self.read_buckets(name, info), None, 1
+        while ranges and edge is None:
+            counts = table.where(F.col("id_bucket") >= ranges[:step][-1]).groupBy("id_bucket").count().collect()
+            held = {r["id_bucket"]: r["count"] for r in counts}
+            reached = accumulate(held.get(k, 0) for k in ranges[:step])
+            edge = next((k for k, n in zip(ranges, reached) if n >= rows), ranges[-1] if step >= len(ranges) else None)
+            step *= 8
         return table.where(F.col("id_bucket") >= F.lit(edge)).drop("id_bucket", "_dates")
 
     def drop_old_versions(self, name: str) -> list[int]:

@@ -272,7 +272,7 @@ def _limited(rows: DataFrame, slice_width: int, arrival_wins: bool = False) -> D
 
     The sketch reads the ids alone. The limit acts in the tasks that read the rows, before their shuffle.
     """
-    top = rows.agg(F.expr("approx_top_k(id, 1, 1000)").alias("top")).first()["top"]
+    top = rows.agg(F.expr("approx_top_k(id, 1, 10000)").alias("top")).first()["top"]
     if not top or top[0]["count"] <= slice_width:
         return rows
     keys = ["id", "_has"] if "_has" in rows.columns else ["id"]
