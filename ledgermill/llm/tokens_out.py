@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import gc
 import os
 import string
 import struct
@@ -60,10 +61,10 @@ class Encoder:
     No normaliser reaches across white space, so pieces between ASCII white space are encoded once and remembered; unseen
     pieces are encoded together, with a space between them, and told apart by the offsets. ASCII signs that end a piece
     after a letter are a piece of their own. Texts with a special token in them keep their capitals until then. Of what is
-    remembered the older half goes when it is full, but for pieces that were met again since.
+    remembered the older half goes when it is full, but for pieces that were met again since; a piece takes some 200 bytes.
     """
 
-    def __init__(self, path: str, limit: int = 600_000, together: int = 4000):
+    def __init__(self, path: str, limit: int = 1_200_000, together: int = 4000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -81,14 +82,14 @@ class Encoder:
         return (word, piece[len(word) :]) if decoded(word)[-1].isalpha() else None
 
     def _learn(self, pieces: set[bytes]) -> None:
-        missing = {p for p in pieces if p not in self.known}
+        missing = pieces.difference(self.known)
         if missing and len(self.known) + len(missing) > self.limit // 2:
             self.older, self.known, missing = self.known, {}, pieces
-        met = {p for p in missing if p in self.older}
-        self.known.update((p, self.older[p]) for p in met)
-        parts = {p: found for p in missing - met if (found := self._split(p))}
-        plain = (missing - met - parts.keys()).union(*parts.values())
-        for held in chunked(sorted(p for p in plain if p not in self.known), self.together):
+        fresh = missing.difference(self.older)
+        self.known.update((p, self.older[p]) for p in missing - fresh)
+        parts = {p: found for p in fresh if p[-1] in SIGNS and (found := self._split(p))}
+        plain = fresh.difference(parts).union(*parts.values()).difference(self.known)
+        for held in chunked(plain, self.together):
             shown = [decoded(p) for p in held]
             found = self.tokenizer.encode(" ".join(shown), add_special_tokens=False)
             starts = np.cumsum([0, *(len(p) + 1 for p in shown)])
@@ -100,9 +101,15 @@ class Encoder:
             self.known[p] = self.known[word] + self.known[signs]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        pieces = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self._learn(set().union(*pieces))
-        return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+        collects = gc.isenabled()
+        gc.disable()  # millions of objects without cycles are made here, and looked through in vain
+        try:
+            pieces = [(t if b"<|" in t else t.lower()).split() for t in texts]
+            self._learn(set().union(*pieces))
+            return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+        finally:
+            if collects:
+                gc.enable()
 
 
 @functools.cache
