@@ -10,10 +10,15 @@ put out, so two heads are compared only from there on, and the merge gives the c
 A window that starts d bytes before its anchor is repeated if another anchor has the same LENGTH - d bytes after it (a run
 of neighbours with common prefixes of that length) and the same d bytes before it (a 64-bit hash that grows with d).
 
-Documents with equal texts are one class: all of their bytes are repeated if there are two and one window fits, and one of them
-stands for the class everywhere else. Within a task, suffixes with equal surroundings are merged into one before they
-are sent. A merge holds some 2.5 KB per distinct surrounding of the grams in its range, so a passage at very many places in
-ever other surroundings is what makes a task grow.
+Documents with equal texts are one class (128 bits): all of their bytes are repeated if there are two and one window fits, and
+one of them stands for the class everywhere else. Within a task, suffixes with equal surroundings are merged into one before
+they are sent. A merge holds some 2.5 KB per distinct surrounding, so no gram with over ``heavy`` places goes to it as it is
+(or a millionth of all places, if that is more: then there are at most a million such grams, and they can be broadcast).
+The places of a heavy gram are folded by their surroundings, which are counted by 128-bit hashes and combined before the
+shuffle: equal ones are repeated all along, and one of them stays. If ``heavy`` or fewer stay, they are merged like others. Else the
+d are split into ranges of 64, then 8, then 1. Two places can share a window of a range only if they share the bytes that all
+windows of the range cover; they share all of its windows if they share the bytes that any covers. So in each range places
+without a partner in the former go, those equal in the latter are folded, and what stays goes on to the smaller ranges.
 
 Defined results: a null text is empty; texts under LENGTH bytes lose nothing; equal rows give a row each; null ids stay;
 an empty table gives no rows; other columns are ignored.
@@ -24,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,19 +42,23 @@ LENGTH, GRAM = 400, 32
 WINDOW = LENGTH - GRAM + 1
 SEGMENT = 1 << 18
 RUN_BYTES = 16 << 20
+HEAVY, MOST_HEAVY = 20_000, 1_000_000
+RANGES = (64, 8, 1)
 NO_ID = -(1 << 63)
 EMPTY = hashlib.sha256(b"").hexdigest()
 _PLACE = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.cumprod(np.full(SEGMENT + LENGTH, _BASE, np.uint64))
 _INVERSE = np.cumprod(np.full(SEGMENT + LENGTH, pow(_BASE, -1, 1 << 64), np.uint64))
-_ROWS = pa.schema([("doc_id", pa.int64()), ("class", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string()),
+_ROWS = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("n_bytes", pa.int64()), ("sha256", pa.string()),
                    ("grams", pa.list_(pa.int64())), ("places", pa.list_(pa.int64()))])
 _RUNS = pa.schema([("part", pa.int32()), ("run", pa.binary())])
 _TEXTS = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
-_CUT = pa.schema([("class", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+_CUT = pa.schema([("class", pa.binary()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                   ("kept_sha256", pa.string())])
-_SPANS = pa.schema([("class", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+_SPANS = pa.schema([("class", pa.binary()), ("start", pa.int64()), ("end", pa.int64())])
+_SIDES = pa.schema([("class", pa.binary()), ("place", pa.int64()), ("low", pa.int32()), ("first", pa.int32()), ("last", pa.int32()),
+                    ("shared", pa.binary()), ("whole", pa.binary())])
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -82,8 +92,8 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return places, np.concatenate(hashes)[first]
 
 
-def class_of(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+def class_of(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16).digest()
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -105,7 +115,7 @@ def described(docs: DataFrame) -> DataFrame:
             yield batches(columns, _ROWS)
 
     return id_and_bytes(docs).mapInArrow(
-        run, "doc_id long, class long, n_bytes long, sha256 string, grams array<long>, places array<long>"
+        run, "doc_id long, class binary, n_bytes long, sha256 string, grams array<long>, places array<long>"
     )
 
 
@@ -115,7 +125,7 @@ def common_prefix(a: bytes, b: bytes, start: int) -> int:
     return n if not differ else n - 1 - (differ.bit_length() - 1) // 8
 
 
-Entry = tuple[bytes, bytes, list[tuple[int, int]]]
+Entry = tuple[bytes, bytes, list[tuple[bytes, int]]]
 
 
 def front_coded(entries: list[Entry]) -> bytes:
@@ -126,7 +136,8 @@ def front_coded(entries: list[Entry]) -> bytes:
         rests.append(after[common[-1] :])
         last = after
     before, members = [e[1] for e in entries], [m for e in entries for m in e[2]]
-    numbers = np.array(members, "<i8").T.tobytes() + np.array([len(e[2]) for e in entries], "<i8").tobytes()
+    numbers = np.array([p for _, p in members] + [len(e[2]) for e in entries], "<i8").tobytes()
+    numbers = b"".join(c for c, _ in members) + numbers
     sizes = np.array([common, [len(r) for r in rests], [len(x) for x in before]], "<u2").tobytes()
     counts = np.array([len(entries), len(members)], "<i8").tobytes()
     return zlib.compress(counts + numbers + sizes + b"".join(rests) + b"".join(before), 1)
@@ -138,8 +149,8 @@ class Run:
     def __init__(self, packed: bytes):
         data = zlib.decompress(packed)
         n, m = np.frombuffer(data, "<i8", 2).tolist()
-        self.classes, self.places = np.frombuffer(data, "<i8", 2 * m, 16).reshape(2, m)
-        at = 16 + 16 * m
+        self.classes, self.places = np.frombuffer(data, "V16", m, 16), np.frombuffer(data, "<i8", m, 16 + 16 * m)
+        at = 16 + 24 * m
         self.members = np.concatenate([[0], np.cumsum(np.frombuffer(data, "<i8", n, at))])
         common, rest, before = np.frombuffer(data, "<u2", 3 * n, at + 8 * n).reshape(3, n).astype(np.int64)
         cuts = at + 14 * n + np.concatenate([[0], np.cumsum(rest)])
@@ -216,7 +227,7 @@ def merged(runs: list[Run]) -> Iterator[tuple[int, int, int, int]]:
             node //= 2
 
 
-def repeated_windows(runs: list[Run]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def repeated_windows(runs: list[Run]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
     """classes, starts, ends of the bytes that repeated windows around the merged anchors cover."""
     order = np.array(list(merged(runs)), np.int64).reshape(-1, 4)
     n = len(order)
@@ -252,7 +263,7 @@ def repeated_windows(runs: list[Run]) -> Iterator[tuple[np.ndarray, np.ndarray,
     first, last = np.argwhere(edge.T == 1), np.argwhere(edge.T == -1)  # the runs of d of each anchor, in the same order
     times = sizes[first[:, 0]]
     who = np.repeat(starts[first[:, 0]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-    yield classes[who], places[who] - np.repeat(last[:, 1] - 1, times), places[who] - np.repeat(first[:, 1], times) + LENGTH
+    yield classes[who].tolist(), places[who] - np.repeat(last[:, 1] - 1, times), places[who] - np.repeat(first[:, 1], times) + LENGTH
 
 
 def spans(held: DataFrame) -> DataFrame:
@@ -261,7 +272,7 @@ def spans(held: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def sort(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries: dict[tuple[bytes, bytes], list[tuple[int, int]]] = {}
+        entries: dict[tuple[bytes, bytes], list[tuple[bytes, int]]] = {}
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
@@ -298,7 +309,83 @@ def spans(held: DataFrame) -> DataFrame:
                 yield batches(dict(zip(_SPANS.names, found)), _SPANS)
 
     runs = held.mapInArrow(sort, "part int, run binary")
-    return runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, "class long, start long, end long")
+    return runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, "class binary, start long, end long")
+
+
+def met(rows: DataFrame, keys: DataFrame, on: list[str], size: str, limit: int) -> DataFrame:
+    """``rows`` joined to ``keys``, which holds the number of rows of each key. Only keys of at most ``limit`` rows are
+    shuffled; those above it, of which ``limit_of`` lets there be MOST_HEAVY, are broadcast."""
+    large = keys.where(F.col(size) > limit)
+    rest = rows.join(F.broadcast(large.select(*on)), on, "left_anti").join(keys.where(F.col(size) <= limit), on)
+    return rows.join(F.broadcast(large), on).unionByName(rest)
+
+
+def limit_of(rows: DataFrame, heavy: int) -> int:
+    return max(heavy, rows.count() // MOST_HEAVY)
+
+
+def _sides(above: int, width: int):
+    """From class, text, nodes (place, low of a range of ``above`` values of d): the ranges of ``width`` in each, with the
+    d that fit the text (first to last), and hashes of the bytes all of their windows share and of those any covers."""
+
+    def run(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (s for part in rows for s in slices(part, 1 << 20)):
+            found = []
+            for name, text, nodes in zip(batch.column("class").to_pylist(), batch.column("text").to_pylist(), batch.column("nodes")):
+                for place, start in ((n["place"], n["low"]) for n in nodes.as_py()):
+                    after, before = text[place : place + LENGTH], text[max(0, place - WINDOW + 1) : place][::-1]
+                    for low in range(start, min(start + above, WINDOW), width):
+                        high = min(low + width, WINDOW) - 1
+                        first, last = max(low, LENGTH - len(after)), min(high, len(before))
+                        if first <= last:
+                            shared = b"%d:%d:" % (low, high) + after[: LENGTH - high] + before[:low]
+                            whole = b"%d:%d:" % (first, last) + after[: LENGTH - first] + before[:last]
+                            found.append((name, place, low, first, last, class_of(shared), class_of(whole)))
+                if len(found) > 20_000:
+                    yield batches(dict(zip(_SIDES.names, zip(*found))), _SIDES)
+                    found = []
+            if found:
+                yield batches(dict(zip(_SIDES.names, zip(*found))), _SIDES)
+
+    return run
+
+
+def _folded(nodes: DataFrame, above: int, width: int, heavy: int) -> tuple[DataFrame, DataFrame, int]:
+    """(class, start, end of what is repeated all along a range; class, place, low, partners of those to look at again; limit)."""
+    schema = "class binary, place long, low int, first int, last int, shared binary, whole binary"
+    sides = stage(nodes.mapInArrow(_sides(above, width), schema), "range-sides")
+    limit = limit_of(sides, heavy)
+    kinds = sides.groupBy("shared", "whole").agg(F.count("*").alias("n"), F.min(F.struct("class", "place", "low")).alias("one"))
+    kinds = stage(kinds, "range-kinds")
+    found = met(sides, kinds.where("n > 1").select("shared", "whole", "n"), ["shared", "whole"], "n", limit).select(
+        "class", (F.col("place") - F.col("last")).alias("start"), (F.col("place") - F.col("first") + LENGTH).alias("end")
+    )
+    groups = stage(kinds.groupBy("shared").agg(F.count("*").alias("partners")).where("partners > 1"), "range-groups")
+    left = met(kinds.select("shared", "one.*"), groups, ["shared"], "partners", limit)
+    return found, left.select("class", "place", "low", "partners"), limit
+
+
+def heavy_spans(held: DataFrame, heavy: int) -> tuple[list[DataFrame], DataFrame]:
+    """Spans of the places of heavy grams, and class, text, places of those that a merge can take after folding.
+    ``held``: class, text, heavy (places)."""
+    texts = held.where(F.size("heavy") > 0).dropDuplicates(["class"])
+    start = F.transform("heavy", lambda p: F.struct(p.alias("place"), F.lit(0).alias("low")))
+    spans, left, limit = _folded(texts.select("class", "text", start.alias("nodes")), WINDOW, WINDOW, heavy)
+    fits = F.col("partners") <= limit
+    node = F.struct("place", "low")
+    left = left.groupBy("class").agg(
+        F.collect_list(F.when(fits, F.col("place"))).alias("places"), F.collect_list(F.when(~fits, node)).alias("nodes")
+    )
+    left = stage(texts.select("class", "text").join(left, "class"), "folded-places")
+    found, above, nodes = [spans], WINDOW, left.where(F.size("nodes") > 0).select("class", "text", "nodes")
+    for width in RANGES:
+        if nodes.isEmpty():
+            break
+        spans, rest, _ = _folded(nodes, above, width, heavy)
+        found.append(spans)
+        nodes = texts.select("class", "text").join(rest.groupBy("class").agg(F.collect_list(node).alias("nodes")), "class")
+        nodes, above = stage(nodes, "range-nodes") if width > 1 else nodes, width
+    return found, left.select("class", "text", "places")
 
 
 def cut(text: bytes, covered: Iterable[tuple[int, int]]) -> tuple[list[tuple[int, int]], bytes]:
@@ -325,7 +412,7 @@ def _cut(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batches(found, _CUT)
 
 
-def _repeats(rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _repeats(rows: DataFrame, docs: DataFrame, heavy: int) -> tuple[DataFrame, DataFrame]:
     """(classes with copies and size, classes with spans and kept_sha256) of the repeats. ``rows``: ``docs`` described."""
     first = F.min(F.coalesce("doc_id", F.lit(NO_ID)))
     classes = rows.groupBy("class").agg(first.alias("first_id"), F.count("*").alias("copies"), F.min("n_bytes").alias("n_bytes"))
@@ -334,8 +421,13 @@ def _repeats(rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     places = F.explode(F.arrays_zip("grams", "places")).alias("x")
     found = rows.select("class", places).select("class", F.col("x.grams").alias("gram"), F.col("x.places").alias("place"))
     found = stage(found.groupBy("class", "place").agg(F.min("gram").alias("gram")), "anchors")
-    often = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    wanted = found.join(often, "gram").groupBy("class").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    often = stage(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    limit = limit_of(found, heavy)
+    few = F.col("n") <= limit
+    wanted = met(found, often, ["gram"], "n", limit).groupBy("class").agg(
+        F.sort_array(F.collect_list(F.when(few, F.col("place")))).alias("places"),
+        F.sort_array(F.collect_list(F.when(~few, F.col("place")))).alias("heavy"),
+    )
     wanted = wanted.join(classes.select("class", "first_id"), "class")
     texts = id_and_bytes(docs).withColumn("first_id", F.coalesce("doc_id", F.lit(NO_ID)))
 
@@ -345,11 +437,15 @@ def _repeats(rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             fits = [class_of(t.as_py()) == c for t, c in zip(batch.column("text"), batch.column("class").to_pylist())]
             yield batch.filter(pa.array(fits, pa.bool_()))
 
-    held = texts.select("first_id", "text").join(wanted, "first_id").select("class", "text", "places")
+    held = texts.select("first_id", "text").join(wanted, "first_id").select("class", "text", "places", "heavy")
     held = stage(held.mapInArrow(own, held.schema), "repeated-texts")
-    covered = spans(held).groupBy("class").agg(F.collect_list(F.struct("start", "end")).alias("covered"))
+    found, merging = [], held.select("class", "text", "places")
+    if not often.where(~few).isEmpty():
+        found, folded = heavy_spans(held, heavy)
+        merging = merging.unionByName(folded)
+    covered = reduce(DataFrame.unionByName, [spans(merging), *found]).groupBy("class").agg(F.collect_list(F.struct("start", "end")).alias("covered"))
     results = held.select("class", "text").join(covered, "class").mapInArrow(
-        _cut, "class long, spans array<struct<start: long, end: long>>, kept_sha256 string"
+        _cut, "class binary, spans array<struct<start: long, end: long>>, kept_sha256 string"
     )
     # Equal rows of one id come more than once; their class has copies, so only one result of it may be joined.
     results = stage(results.dropDuplicates(["class"]), "kept")
@@ -366,33 +462,33 @@ def _spanned(rows: DataFrame, classes: DataFrame, results: DataFrame) -> DataFra
     )
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """doc_id, n_bytes, spans (start and end of repeated bytes, merged, in order) and kept_sha256 for every document."""
     rows = stage(described(docs), "texts")
-    found = _spanned(rows.select("doc_id", "class", "n_bytes", "sha256"), *_repeats(rows, docs))
+    found = _spanned(rows.select("doc_id", "class", "n_bytes", "sha256"), *_repeats(rows, docs, heavy))
     return found.select("doc_id", "n_bytes", "spans", F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
 
 
-def kept_texts(docs: DataFrame) -> DataFrame:
+def kept_texts(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """doc_id and text for every document: the bytes outside its spans, which may begin or end inside a character."""
 
     def named(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            yield batch.append_column("class", pa.array([class_of(t.as_py()) for t in batch.column("text")], pa.int64()))
+            yield batch.append_column("class", pa.array([class_of(t.as_py()) for t in batch.column("text")], pa.binary()))
 
     def outside(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             left = [cut(t.as_py(), ((c["start"], c["end"]) for c in s.as_py()))[1] for t, s in zip(batch.column("text"), batch.column("spans"))]
             yield batches({"doc_id": batch.column("doc_id"), "text": left}, _TEXTS)
 
-    texts = id_and_bytes(docs).mapInArrow(named, "doc_id long, text binary, class long")
-    spanned = _spanned(texts, *_repeats(stage(described(docs), "texts"), docs))
+    texts = id_and_bytes(docs).mapInArrow(named, "doc_id long, text binary, class binary")
+    spanned = _spanned(texts, *_repeats(stage(described(docs), "texts"), docs, heavy))
     return spanned.select("doc_id", "text", "spans").mapInArrow(outside, "doc_id long, text binary")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document, from its spans."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
-    return repeated_spans(docs).select(
+    return repeated_spans(docs, heavy).select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
     )

@@ -124,12 +124,13 @@ def plain_repeats(rows):
     return sorted(found, key=str)
 
 
-def repeats(frame_):
-    return sorted(map(tuple, repeated_bytes.without_repeats(frame_).collect()), key=str)
+def repeats(frame_, **options):
+    return sorted(map(tuple, repeated_bytes.without_repeats(frame_, **options).collect()), key=str)
 
 
-def test_repeats_in_awkward_texts(docs, rows):
-    assert repeats(docs) == plain_repeats(rows)
+@pytest.mark.parametrize("heavy", [repeated_bytes.HEAVY, 2])
+def test_repeats_in_awkward_texts(docs, rows, heavy):
+    assert repeats(docs, heavy=heavy) == plain_repeats(rows)
 
 
 def test_spans_and_kept_texts(docs, rows):
@@ -154,7 +155,27 @@ def test_overlapping_passages(frame, monkeypatch):
         a = draw.randrange(0, 600)
         rows.append((k, letters(draw.randrange(300)) + passage[a : a + draw.randrange(250, 600)] + letters(draw.randrange(300))))
     rows += [(100, passage * 2), (101, letters(50) * 20), (102, "a" * 399), (103, "a" * 401), (104, "a" * 400)]
-    assert repeats(frame(rows).repartition(5)) == plain_repeats(rows)
+    expected = plain_repeats(rows)
+    for heavy in (repeated_bytes.HEAVY, 40, 3):  # nothing split, some grams folded and merged, ranges of d
+        assert repeats(frame(rows).repartition(5), heavy=heavy) == expected
+
+
+def test_a_passage_in_many_surroundings_is_split(frame, monkeypatch):
+    """Its gram never reaches the merge, and the results are those of the plain version."""
+    draw = random.Random(14)
+    letters = lambda n: "".join(draw.choice("abcdefgh") for _ in range(n))
+    passage = letters(450)
+    rows = [(k, letters(40 + draw.randrange(40)) + passage[: 450 - k % 3] + letters(60)) for k in range(300)]
+    rows += [(400, passage[:399] + letters(200)), (401, letters(300) + passage[30:] + letters(9)), (402, passage)]
+    merged, spans = [], repeated_bytes.spans
+
+    def counted(held):
+        merged.append(held.selectExpr("coalesce(max(size(places)), 0) AS n", "coalesce(sum(size(places)), 0) AS all").first())
+        return spans(held)
+
+    monkeypatch.setattr(repeated_bytes, "spans", counted)
+    assert repeats(frame(rows).repartition(4), heavy=50) == plain_repeats(rows)
+    assert merged[0]["all"] < 300
 
 
 def test_long_texts_are_read_in_segments(frame, monkeypatch):
@@ -174,7 +195,7 @@ def test_loser_tree_sorts_and_knows_the_common_prefixes(seed):
     for r in range(draw.randrange(1, 9)):
         own = sorted(bytes(draw.choice(b"ab") for _ in range(draw.randrange(1, 30))) for _ in range(draw.randrange(1, 15)))
         strings.append(own)
-        runs.append(repeated_bytes.Run(repeated_bytes.front_coded([(s, s[:3], [(r, k)]) for k, s in enumerate(own)])))
+        runs.append(repeated_bytes.Run(repeated_bytes.front_coded([(s, s[:3], [(bytes([r]) * 16, k)]) for k, s in enumerate(own)])))
     assert [[s for s, _ in run.strings()] for run in runs] == strings and runs[0].before(0) == strings[0][0][:3]
     last, found = b"", []
     for r, k, common, length in repeated_bytes.merged(runs):
