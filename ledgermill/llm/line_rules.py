@@ -1,13 +1,13 @@
 """Quality rules: per-text counts, and lines that many documents of a host share. DataFrame functions only.
 
 Lines are normalised (lower case, digits as 0, white space collapsed) and hashed. A line is common in its host where more
-than ``max_share`` of the host's distinct texts have it, and at least ``min_docs``; exact copies count once. Common lines
-are removed, and a document is rejected when less than ``min_left`` of its words are left, or by the rules per text.
+than ``max_share`` of the host's distinct texts have it, or more than ``max_docs``, and at least ``min_docs``; exact copies count
+once. Common lines are removed, and a document is rejected when less than ``min_left`` of its words are left, or by the rules per text.
 
 Two passes find the common lines. The first counts rows per (host, line), which pre-aggregates before its shuffle and can
 only be too high; the second counts distinct texts for the lines that pass. They meet the lines of the texts by a join on
-(host, line), so a row holds only those of its own text, however many a host has. ``max_docs`` is a limit in texts that
-does not grow with the host: where it is given, a line above either limit is common.
+(host, line), so a row holds only those of its own text, however many a host has. ``max_docs`` does not grow with the host;
+None leaves the share alone.
 
 Defined results: a null text has no words and fails; a null host is a host of its own; documents without lines above the
 limit lose nothing; repeated rows give a row each; an empty table gives no rows; other columns are ignored.
@@ -94,7 +94,7 @@ def common_lines(rows: DataFrame, min_docs: int, max_share: float, max_docs: int
 
 
 def cleaned(
-    docs: DataFrame, min_docs: int = 20, max_share: float = 0.2, min_left: float = 0.5, max_docs: int | None = None
+    docs: DataFrame, min_docs: int = 5, max_share: float = 0.05, min_left: float = 0.5, max_docs: int | None = 100
 ) -> DataFrame:
     """doc_id, host, text without its common lines, the counts, base_failed and kept. The host is the column source."""
     rows = docs.select(
@@ -144,7 +144,7 @@ lw AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS k,
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lw GROUP BY doc_id),
 hosts AS (SELECT host, count(DISTINCT md5(text)) AS texts FROM d GROUP BY host),
 common AS (SELECT lw.host, norm FROM lw JOIN hosts USING (host) GROUP BY lw.host, norm, texts
-           HAVING count(DISTINCT t) >= 20 AND count(DISTINCT t) > texts * 0.2),
+           HAVING count(DISTINCT t) >= 5 AND count(DISTINCT t) > least(texts * 0.05, 100)),
 gone AS (SELECT doc_id, sum(k) AS n FROM lw SEMI JOIN common USING (host, norm) GROUP BY doc_id),
 r AS (SELECT d.doc_id, len(ws) AS n_words,
       length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,

@@ -99,17 +99,33 @@ def test_shared_lines_go_and_depleted_documents_are_rejected(frame):
 def test_texts_lose_their_common_lines(frame):
     name = lambda k: chr(97 + k // 26) + chr(97 + k % 26)
     rows = [(2 * k, f"own {name(k)} a\n\n  Menu 4{k % 10} \nown {name(k)} b") for k in range(30)] + [(100 + 2 * k, f"other {name(k)}\n") for k in range(200)]
-    by_share = {r.doc_id: r for r in line_rules.cleaned(frame(rows)).collect()}
+    share = {"min_docs": 20, "max_share": 0.2}
+    by_share = {r.doc_id: r for r in line_rules.cleaned(frame(rows), **share, max_docs=None).collect()}
     assert all(by_share[i].text == t and by_share[i].n_removed_words == 0 for i, t in rows)  # 30 of 230 texts are under 20%
-    found = {r.doc_id: r for r in line_rules.cleaned(frame(rows), max_docs=25).collect()}
+    found = {r.doc_id: r for r in line_rules.cleaned(frame(rows), **share, max_docs=25).collect()}
     assert all(found[2 * k].text == f"own {name(k)} a\n\nown {name(k)} b" and found[2 * k].n_removed_words == 2 for k in range(30))
     assert all(found[100 + 2 * k].text == f"other {name(k)}\n" for k in range(200))
-    above = {r.doc_id: r for r in line_rules.cleaned(frame(rows), max_docs=30).collect()}
+    above = {r.doc_id: r for r in line_rules.cleaned(frame(rows), **share, max_docs=30).collect()}
     assert all(above[i].text == t for i, t in rows)
-    widely = {r.doc_id: r for r in line_rules.cleaned(frame(rows[:60])).collect()}
+    widely = {r.doc_id: r for r in line_rules.cleaned(frame(rows[:60]), **share, max_docs=None).collect()}
     assert all(widely[2 * k].text == f"own {name(k)} a\n\nown {name(k)} b" for k in range(30))
 
 
+def test_limits_of_the_query(spark, frame):
+    """Over 5% of the host's texts and five of them; the given tables have such lines."""
+    draw = random.Random(6)
+    own = lambda n: "".join(chr(97 + draw.randrange(26)) for _ in range(n))
+    rows = [(2 * k, own(30) + "\nfooter" * (k < 5) + "\nrare" * (k < 4)) for k in range(60)]
+    rows += [(2 * k + 1, own(30) + "\nfooter" * (k < 5)) for k in range(101)]  # five of 101 are not over 5%
+    found = {r.doc_id: r for r in line_rules.cleaned(frame(rows)).collect()}
+    assert {i for i, r in found.items() if r.n_removed_words} == {0, 2, 4, 6, 8}
+    assert all(found[i].text == t.replace("\nfooter", "") for i, t in rows if i % 2 == 0)
+    wide = {r.doc_id: r for r in line_rules.cleaned(frame(rows), max_docs=4).collect()}
+    assert {i for i, r in wide.items() if r.n_removed_words} == {0, 2, 4, 6, 8} | {1, 3, 5, 7, 9}
+    assert QUERIES["op5_shared_line_rules"](spark, "/root/testdata/sf0.01").where("n_removed_words > 0").count() > 0
+    assert line_rules.quality(frame([])).count() == 0
+
+
 def test_line_rules_run_no_python(docs):
     plan = line_rules.quality(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
