@@ -7,6 +7,8 @@ flags and references are read as the JSON text and cast. Text fields are read as
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,13 +71,21 @@ def unreadable(raw: Column, value: Column, kind: str) -> Column:
 
 
 def clean(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed columns of the table, the ``keep`` columns as they are, and ``_bad``: the fields that failed to read."""
+    """Typed columns of the table, the ``keep`` columns as they are, and ``_bad``: the fields that failed to read.
+
+    The values are computed in a step of their own, so that ``_bad`` compares them and does not read them again; its list is
+    put together only where a field failed.
+    """
     spec = spec.with_keys()
     fields = [f for f in spec.fields if f in raw.columns]
-    values = {f: typed(F.col(f), spec.kind(f), spec.keep_false) for f in fields}
-    lost = [F.when(unreadable(F.col(f), values[f], spec.kind(f)), F.lit(f)) for f in fields]
-    bad = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
-    return raw.select(*[values[f].alias(f) for f in fields], *keep, bad.alias("_bad"))
+    none = F.array().cast("array<string>")
+    if not fields:
+        return raw.select(*keep, none.alias("_bad"))
+    values = [typed(F.col(f), spec.kind(f), spec.keep_false).alias(f) for f in fields]
+    read = raw.select(*values, *keep, *[F.col(f).alias(f"_raw_{f}") for f in fields])
+    lost = {f: F.coalesce(unreadable(F.col(f"_raw_{f}"), F.col(f), spec.kind(f)), F.lit(False)) for f in fields}
+    bad = F.array_compact(F.array(*[F.when(one, F.lit(f)) for f, one in lost.items()]))
+    return read.select(*fields, *keep, F.when(reduce(Column.__or__, lost.values()), bad).otherwise(none).alias("_bad"))
 
 
 def bad_field_counts(cleaned: DataFrame) -> DataFrame:

@@ -248,7 +248,7 @@ def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str)
     if "_bad" in rows.columns:
         fields = [c for c in changes.columns if not c.startswith("_")]
         facts += [F.count_if(F.array_contains("_bad", F.lit(f))).alias(f"bad {f}") for f in fields]
-    return Staged(rows, label, facts)
+    return Staged(rows, label, facts, unwritten=["_bad"])
 
 
 def _result(facts: dict) -> UpsertResult:
@@ -261,7 +261,7 @@ def _result(facts: dict) -> UpsertResult:
 
 def _carried(rows: DataFrame, facts: dict) -> tuple[DataFrame, Collection[str] | None]:
     """The records with an id, and the fields that all of them carry; None where a record has its own in ``_has``, or all."""
-    rows = rows.where("id is not null").drop("_bad")
+    rows = rows.where("id is not null")
     if "_has" in rows.columns and facts["has_low"] != facts["has_high"]:
         return rows, None
     return rows.drop("_has"), facts["has_high"] if "_has" in rows.columns else None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import uuid
 from collections.abc import Iterable
@@ -20,11 +21,14 @@ from ledgermill.operators.upsert import UpsertResult, rebuild, upsert
 from ledgermill.plans.runlog import Progress, Run, RunLog
 from ledgermill.plans.views import register_views, sql_over_views
 from ledgermill.registry import select_specs
+from ledgermill.session import hadoop_path, path_exists
 from ledgermill.sources.landing import Landing
 from ledgermill.specs import TableSpec
 
 logger = logging.getLogger(__name__)
 
+PARSED = "_parsed-"
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -83,6 +87,33 @@ def changed_rows(house: Warehouse, spec: TableSpec, start: Progress, numbered: b
     return rows
 
 
+def parsed_once(house: Warehouse, spec: TableSpec, start: Progress, rows: DataFrame) -> DataFrame:
+    """The records of a capped load, parsed by its first part; the later parts read the files that one has written.
+
+    They lie beside the table until ``drop_parsed``. Their name tells what was read and how: a load of other extracts, or by
+    other rules, or of files that have changed since, parses again.
+    """
+    spark = house.store.spark
+    listed = []
+    for folder in house.landing.folders(spec, start.last_batch, start.upto):
+        fs, path = hadoop_path(spark, folder)
+        listed += [(str(s.getPath()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path)]
+    rules = (spec, start.mark, house.overlap, house.reference_watermark, sorted(listed))
+    path = f"{house.store.root}/{spec.name}/{PARSED}{hashlib.sha256(repr(rules).encode()).hexdigest()[:32]}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        drop_parsed(house, spec)
+        rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def drop_parsed(house: Warehouse, spec: TableSpec) -> None:
+    """Delete the parsed records of capped loads: once the table is up to date."""
+    fs, path = hadoop_path(house.store.spark, f"{house.store.root}/{spec.name}")
+    for status in fs.listStatus(path) if fs.exists(path) else []:
+        if status.getPath().getName().startswith(PARSED):
+            fs.delete(status.getPath(), True)
+
+
 def next_rows(house: Warehouse, rows: DataFrame, start: Progress) -> DataFrame:
     """The next rows by id under the cap; rows without an id come with the first ones, to be counted as rejected."""
     if start.last_id is not None:
@@ -126,11 +157,12 @@ def sync_table(
             return run(records_synced=facts.records, rejected=facts.rejected, bad_values=sum(facts.bad_values.values()),
                        mark=next_mark(started, facts.max_write_date, None), last_batch=facts.last_batch)
         if house.cap:
-            rows = next_rows(house, rows, start)
+            rows = next_rows(house, parsed_once(house, spec, start, rows), start)
         facts = upsert(house.store, spec, rows, None, house.arrival_wins, house.keep_copy)
         counted = dict(records_synced=facts.records, rejected=facts.rejected, bad_values=sum(facts.bad_values.values()))
         if house.cap and facts.records >= house.cap:
             return run(status="partial", last_id=facts.last_id, last_batch=start.upto, **counted)
+        drop_parsed(house, spec)
         mark = next_mark(started, facts.max_write_date, start.mark)
         return run(mark=mark, last_batch=start.upto, **counted)
     except Exception as problem:  # one table must not stop the others

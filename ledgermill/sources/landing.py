@@ -7,8 +7,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,16 +23,18 @@ BATCH = "landed_batch"
 def raw_records(lines: DataFrame, spec: TableSpec, number: int = 0) -> DataFrame:
     """Landed JSON lines to the configured fields as they are, ``_has`` and ``_batch``.
 
-    ``_has`` names the fields that the record carries: a field left out is not the same as one without a value. The
-    extract number is that of the file's folder, or ``number``.
+    ``_has`` names the fields that the record carries, sorted: a field left out is not the same as one without a value. The
+    extract number is that of the file's folder, or ``number``. The keys of an object are only looked up where a field is null.
     """
     schema = raw_schema(spec)
     batch = F.regexp_extract("_metadata.file_path", rf"/{BATCH}=(\d+)/", 1).try_cast("bigint")
-    has = F.array_sort(F.array_intersect(F.json_object_keys("value"), F.array(*[F.lit(f) for f in schema.names])))
+    every = F.array(*[F.lit(f) for f in sorted(schema.names)])
     records = lines.where(F.length(F.trim("value")) > 0).select(
-        F.from_json("value", schema).alias("record"), has.alias("_has"), F.coalesce(batch, F.lit(number).cast("bigint")).alias("_batch")
+        F.from_json("value", schema).alias("record"), "value", F.coalesce(batch, F.lit(number).cast("bigint")).alias("_batch")
     )
-    return records.select("record.*", "_has", "_batch")
+    whole = reduce(Column.__and__, [F.col("record")[f].isNotNull() for f in schema.names], F.col("value").startswith("{"))
+    has = F.when(whole, every).otherwise(F.array_intersect(every, F.json_object_keys("value")))
+    return records.select("record.*", has.alias("_has"), "_batch")
 
 
 class Landing:

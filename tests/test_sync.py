@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.full_load import records
 from ledgermill.operators.store import TableStore
@@ -8,7 +9,7 @@ from ledgermill.plans import sync as sync_module
 from ledgermill.plans.runlog import RUN_SCHEMA, Progress, Run, RunLog, run_summary, sync_state_latest, watermark_reference
 from ledgermill.plans.sync import Warehouse, next_mark, rebuild_table, sync_table, sync_tables
 from ledgermill.registry import load_registry
-from ledgermill.sources.landing import Landing
+from ledgermill.sources.landing import Landing, raw_records
 from ledgermill.specs import TableSpec
 from tests.test_cleaning import land
 
@@ -319,3 +320,27 @@ def test_the_run_log_stays_small(spark, tmp_path):
     assert log.progress() == {f"m{k % 3}": Progress(made[k].mark, None) for k in (37, 38, 39)}
     assert log.runs().columns == [f.split()[0] for f in RUN_SCHEMA.split(", ")]
     assert {r.model_name for r in sync_state_latest(RunLog(spark, str(tmp_path)).runs()).collect()} == {"m0", "m1", "m2"}
+
+
+def test_the_parts_of_a_capped_load_parse_once(house, landing):
+    land(landing, "sale_order", [order(i, f"n{i}", 1) for i in range(6)], 0)
+    house.cap = house.batch_size = 2
+    held = lambda: sorted(p.name for p in (landing.parent / "tables" / "sale_order").glob("_parsed-*"))
+    assert run(house).status == "partial"
+    first = held()
+    assert len(first) == 1 and run(house).status == "partial" and held() == first
+    land(landing, "sale_order", [order(9, "next", 2)], 1)
+    assert run(house).status == "partial" and held() == first, "it goes on in the extracts it began with"
+    while run(house).status == "partial":
+        pass
+    assert not held() and run(house).status == "success"
+    assert names(house) == {i: f"n{i}" for i in range(6)} | {9: "next"} and not held()
+
+
+def test_records_tell_their_fields_where_lines_are_odd(spark):
+    whole = '{"id": 1, "name": "a", "amount_total": 2, "write_date": false}'
+    lines = [whole, " " + whole, f"[{whole}]", whole[:-1], '{"id": 1, "name": null}', '{"id": 1, "x": 2}']
+    path = F.struct(F.lit("/landing/sale_order/x.json").alias("file_path"))
+    found = raw_records(spark.createDataFrame([(x,) for x in lines], "value string").withColumn("_metadata", path), SPEC)
+    every = sorted(SPEC.fields)
+    assert [r["_has"] for r in found.collect()] == [every, every, None, None, ["id", "name"], ["id"]]
