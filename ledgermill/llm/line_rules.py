@@ -4,10 +4,12 @@ Lines are normalised (lower case, digits as 0, white space collapsed) and hashed
 than ``max_share`` of the host's distinct texts have it, or more than ``max_docs``, and at least ``min_docs``; exact copies count
 once. Common lines are removed, and a document is rejected when less than ``min_left`` of its words are left, or by the rules per text.
 
-Two passes find the common lines. The first counts rows per (host, line), which pre-aggregates before its shuffle and can
-only be too high; the second counts distinct texts for the lines that pass. They meet the lines of the texts by a join on
-(host, line), so a row holds only those of its own text, however many a host has. ``max_docs`` does not grow with the host;
-None leaves the share alone.
+The texts are cut into lines once; their hashes and numbers of words are staged. Two passes over these find the common lines.
+The first counts rows per (host, line), which pre-aggregates before its shuffle and can only be too high; the second counts
+distinct texts for the lines that pass. They meet the lines of the texts by a join on (host, line), so a row holds only those
+of its own text, however many a host has. The counts of a text are made where it is read, and the words in its common lines
+are summed from the staged lines: texts themselves are shuffled only for a caller who wants them without these lines.
+``max_docs`` does not grow with the host; None leaves the share alone.
 
 Defined results: a null text has no words and fails; a null host is a host of its own; documents without lines above the
 limit lose nothing; repeated rows give a row each; an empty table gives no rows; other columns are ignored.
@@ -71,20 +73,20 @@ def line_hash(line: Column) -> Column:
 
 
 def text_lines(rows: DataFrame) -> DataFrame:
-    """host, text_key, line (hash) of the distinct lines of every row. ``rows``: host, text, text_key."""
-    return rows.select(
-        "host", "text_key", F.explode(F.array_distinct(F.transform(lines_of(F.col("text")), line_hash))).alias("line")
+    """host, text_key, place, line (hash) and words of every line with a word. ``rows``: host, text, text_key."""
+    found = F.transform(lines_of(F.col("text")), lambda x: F.struct(line_hash(x).alias("line"), F.size(words_of(x)).alias("words")))
+    return rows.select("host", "text_key", F.posexplode(found).alias("place", "found")).select(
+        "host", "text_key", "place", "found.line", "found.words"
     )
 
 
-def common_lines(rows: DataFrame, min_docs: int, max_share: float, max_docs: int | None = None) -> DataFrame:
-    """host, line of the lines over the limit. ``rows``: host, text, text_key."""
+def common_lines(rows: DataFrame, lines: DataFrame, min_docs: int, max_share: float, max_docs: int | None = None) -> DataFrame:
+    """host, line of the lines over the limit. ``rows``: host, text_key; ``lines``: their ``text_lines``."""
     texts = rows.groupBy("host", "text_key").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("texts"))
     limit = F.col("texts") * max_share
     if max_docs is not None:
         limit = F.least(limit, F.lit(max_docs))
     limits = stage(texts.select("host", F.greatest(F.lit(min_docs - 1), limit).alias("limit")), "host-limits")
-    lines = text_lines(rows)
     often = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
     suspects = stage(often.join(limits, "host").where(F.col("n") > F.col("limit")).select("host", "line", "limit"), "suspects")
     seen = lines.join(suspects, ["host", "line"]).groupBy("host", "line").agg(
@@ -103,26 +105,31 @@ def cleaned(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     rows = rows.withColumn("text_key", F.xxhash64("text", F.lit(1)))
-    lines = stage(common_lines(rows, min_docs, max_share, max_docs), "common-lines")
-    common = text_lines(rows).join(lines, ["host", "line"]).groupBy("host", "text_key").agg(F.collect_set("line").alias("common"))
+    lines = stage(text_lines(rows), "text-lines")
+    common = lines.join(stage(common_lines(rows, lines, min_docs, max_share, max_docs), "common-lines"), ["host", "line"])
+    # The rows of equal texts have the same lines in the same places.
+    placed = common.groupBy("host", "text_key", "place").agg(F.first("line").alias("line"), F.first("words").alias("words"))
+    gone = placed.groupBy("host", "text_key").agg(F.collect_set("line").alias("common"), F.sum("words").alias("gone"))
     text, words = F.col("text"), words_of(F.col("text"))
     visible = lines_of(text)
     blank = lambda x: F.length(without(x, SPACES)) == 0
     left = F.array_join(F.filter(F.split(text, "\n"), lambda x: blank(x) | ~F.array_contains(F.col("common"), line_hash(x))), "\n")
-    rows = rows.join(stage(common, "common-of-texts"), ["host", "text_key"], "left")
-    rows = rows.withColumn("left", F.when(F.col("common").isNull(), text).otherwise(left))
     counted = rows.select(
-        "doc_id", "host", F.col("left").alias("text"),
+        "doc_id", "host", "text", "text_key",
         F.size(words).cast("long").alias("n_words"),
         F.length(without(text, SPACES)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         let(visible, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(words).cast("long").alias("n_repeat_words"),
-        F.when(F.col("common").isNull(), 0).otherwise(F.size(words) - F.size(words_of(F.col("left")))).cast("long").alias("n_removed_words"),
+    )
+    met = counted.join(stage(gone, "common-of-texts"), ["host", "text_key"], "left").select(
+        "doc_id", "host", F.when(F.col("common").isNull(), text).otherwise(left).alias("text"),
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        F.coalesce(F.col("gone"), F.lit(0)).cast("long").alias("n_removed_words"),
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = F.col("n_words") - F.col("n_removed_words") < min_left * F.col("n_words")
-    return counted.withColumns({"base_failed": failed, "kept": ~failed & ~depleted})
+    return met.withColumns({"base_failed": failed, "kept": ~failed & ~depleted})
 
 
 def quality(docs: DataFrame, **limits) -> DataFrame:

@@ -354,3 +354,10 @@ def test_dense_tables_train_on_both_sorts_of_windows(frame, monkeypatch):
 
 def test_no_labelled_spans_no_network(frame):
     assert pii.train(frame([(1, "plain"), (2, None)])) is None
+
+
+def test_line_rules_shuffle_no_texts(docs):
+    plan = line_rules.quality(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join" not in plan, "texts without their common lines are not made where only counts are asked for"
+    above = plan.partition("Join")[0]
+    assert "n_words" in above and " text#" not in above, "counts are joined, not texts"
