@@ -31,7 +31,7 @@ from ledgermill.functions.formats import (
 )
 from ledgermill.functions.labels import area_label, log_severity, mode_label, status_label
 from ledgermill.functions.predicates import contains_text, domain_filter, since
-from ledgermill.operators.colocate import write_buckets
+from ledgermill.operators.colocate import buckets_for, write_buckets
 from ledgermill.operators.counts import source_count, table_counts, total_records
 from ledgermill.operators.dedupe import dedupe_latest
 from ledgermill.operators.paging import recent_rows, record_cap, scan_page
@@ -107,10 +107,11 @@ def product_chain(spark, sf_dir):
 @query
 def bi_ventas_colocated(spark, sf_dir):
     """Lines and headers from copies bucketed by the header's id: their join shuffles neither."""
-    table, copies = bound_tables(spark, sf_dir), {}
-    for name, key in (("sale_order", "id"), ("sale_order_line", "order_id")):
+    table, copies, keys = bound_tables(spark, sf_dir), {}, {"sale_order": "id", "sale_order_line": "order_id"}
+    buckets = buckets_for(*map(table, keys))
+    for name, key in keys.items():
         path = scratch_path(spark, "copy")
-        copies[name] = write_buckets(table(name), f"{name}_{path.rpartition('-')[2]}", path, key, 8)
+        copies[name] = write_buckets(table(name), f"{name}_{path.rpartition('-')[2]}", path, key, buckets)
     return build_view(SALES, lambda name: copies[name] if name in copies else table(name))
 
 

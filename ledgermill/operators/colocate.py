@@ -4,8 +4,8 @@ A table is kept in ranges of its id, which suits upserts. A view that joins line
 header for every query; a copy that is bucketed and sorted by the header's id, and known to the catalog as such, is
 shuffled once, when it is made. Both sides need the same number of buckets. A copy holds the table as it was then.
 
-A bucket is one task of the join, and cannot be split there: choose buckets by the size of the table (some 200 MB each), and
-join a table where one header has a large part of the lines without a copy, so that the adaptive plan can split it.
+A bucket is one task of the join, and cannot be split there: ``buckets_for`` chooses their number by the size of the tables.
+Join a table where one header has a large part of the lines without a copy, so that the adaptive plan can split it.
 """
 
 from __future__ import annotations
@@ -13,12 +13,23 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgermill.operators.sizes import row_bytes
 from ledgermill.operators.store import TableStore
 from ledgermill.session import hadoop_path
 from ledgermill.specs import TableSpec
 
 
+BUCKET_BYTES = 128 << 20
+
+
+def buckets_for(*tables: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int = 8) -> int:
+    """Buckets for copies of ``tables`` that are joined: as many as the largest needs for ``bucket_bytes`` of rows in each."""
+    sizes = [rows.agg(F.sum(row_bytes(rows)).alias("bytes")).first()["bytes"] or 0 for rows in tables]
+    return max(least, -(-max(sizes) // bucket_bytes))
+
+
 def write_buckets(rows: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
     """Write ``rows`` as the catalog table ``name``: one sorted file per bucket of ``key``."""
     dealt = rows.repartition(buckets, key).sortWithinPartitions(key)

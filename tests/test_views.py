@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.bindings import bound_tables, sync_runs
 from checks.queries import QUERIES
 from ledgermill.plans.builder import build_view, heavy_keys, needed_joins
-from ledgermill.operators.colocate import colocated, drop_copies, known_buckets
+from ledgermill.operators.colocate import buckets_for, colocated, drop_copies, known_buckets
 from ledgermill.operators.counts import table_counts
 from ledgermill.operators.store import TableStore
 from ledgermill.operators.upsert import upsert
@@ -193,6 +193,13 @@ def test_a_header_join_of_bucketed_copies_shuffles_no_lines(spark, conf, tmp_pat
     assert store.read(specs["sale_order"]).count() == tables("sale_order").count(), "copies are not part of the table"
 
 
+def test_buckets_follow_the_bytes_of_the_largest_table(spark):
+    few, many = spark.range(1000), spark.range(50_000_000)
+    assert buckets_for(few) == buckets_for(few.where("id < 0")) == 8
+    assert buckets_for(few, many) == buckets_for(many, few) == -(-50_000_000 * 24 // (128 << 20))
+    assert buckets_for(few, bucket_bytes=1000) == 24
+
+
 def test_hot_and_missing_keys_are_dealt_over_tasks(spark, conf, tmp_path):
     conf(autoBroadcastJoinThreshold=NONE, adaptive__enabled="false", shuffle__partitions="32")
     lines = spark.range(30_000).select(
