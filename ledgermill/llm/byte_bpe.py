@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgermill.llm.common import Remembered, batches, decoded, id_and_bytes, slices
+from ledgermill.llm.common import Remembered, batches, decoded, id_and_bytes, released, slices
 
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -69,11 +69,13 @@ class ByteBpe:
         self.table = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.table[rank] = token
-        self.pieces = Remembered(self._piece)
+        encode = self.tokenizer.encode
 
-    def _piece(self, piece: str) -> tuple[bytes, str]:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, "<i4").tobytes(), ",".join(map(str, ids))
+        def encoded(piece: str) -> tuple[bytes, str]:  # not a method: pieces and encoder would hold each other
+            ids = encode(piece, add_special_tokens=False).ids
+            return np.array(ids, "<i4").tobytes(), ",".join(map(str, ids))
+
+        self.pieces = Remembered(encoded)
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """Ids, and the same ids as decimals joined by commas."""
@@ -105,7 +107,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = [bpe.encode(decoded(t.as_py()))[0] for t in batch.column("text")]
             yield batches({"doc_id": batch.column("doc_id"), "ids": ids, "ends": [bpe.ends(x) for x in ids]}, _ENCODED)
 
-    return id_and_bytes(docs).mapInArrow(run, "doc_id long, ids array<int>, ends array<int>")
+    return id_and_bytes(docs).mapInArrow(released(run), "doc_id long, ids array<int>, ends array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -117,7 +119,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = (np.array(x.as_py() or [], "<i4") for x in batch.column("ids"))
             yield batches({"doc_id": batch.column("doc_id"), "text": [decoded(bpe.decode_bytes(x)) for x in ids]}, _DECODED)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(released(run), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
@@ -138,4 +140,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
             yield batches(columns, schema)
 
     ids = ", ids array<int>" if with_ids else ""
-    return id_and_bytes(docs).mapInArrow(run, f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{ids}")
+    return id_and_bytes(docs).mapInArrow(released(run), f"doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string{ids}")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import batches, id_and_bytes, mixed, shingle_hashes, slices, word_hashes
+from ledgermill.llm.common import batches, id_and_bytes, mixed, released, shingle_hashes, slices, word_hashes
 
 WIDTH = 5
 _PAIRS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_shared", pa.int64()), ("n_shingles", pa.int64())])
@@ -134,7 +134,7 @@ def contained_items(
                 columns = zip(*found) if found else ((),) * len(_PAIRS)
                 yield batches(dict(zip(_PAIRS.names, map(list, columns))), _PAIRS)
 
-        return id_and_bytes(docs).mapInArrow(run, "doc_id long, item_id long, n_shared long, n_shingles long")
+        return id_and_bytes(docs).mapInArrow(released(run), "doc_id long, item_id long, n_shared long, n_shingles long")
 
     send = docs.sparkSession.sparkContext.broadcast
     pairs = reduce(DataFrame.unionByName, [searched(send(r)) for r in _rounds(items, round_bytes)])
@@ -160,7 +160,7 @@ def without_items(
                     start += len(sets)
                 yield batch.filter(pa.array(keep))
 
-        return rest.mapInArrow(run, docs.schema)
+        return rest.mapInArrow(released(run), docs.schema)
 
     send = docs.sparkSession.sparkContext.broadcast
     return reduce(cleared, [send(r) for r in _rounds(items, round_bytes)], docs)

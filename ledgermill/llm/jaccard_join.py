@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import batches, id_and_bytes, mixed, shingle_hashes, slices, stage, word_hashes
+from ledgermill.llm.common import batches, id_and_bytes, mixed, released, shingle_hashes, slices, stage, word_hashes
 from ledgermill.llm.components import components
 
 GROUPS, BANDS, ROWS, FANOUT, TILE = 256, 24, 3, 24, 20_000
@@ -81,7 +81,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 columns["counts"].append(count_vector(shingles).tobytes())
             yield batches(columns, _SKETCH)
 
-    return id_and_bytes(docs).mapInArrow(run, "doc_id long, n long, node long, bands array<long>, counts binary")
+    return id_and_bytes(docs).mapInArrow(released(run), "doc_id long, n long, node long, bands array<long>, counts binary")
 
 
 class RTree:
@@ -196,7 +196,7 @@ def candidates(nodes: DataFrame, labels: DataFrame, percent: int, limit: int | N
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = members.repartition(parts, "block").sortWithinPartitions("block", "node")
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    return placed.mapInArrow(released(run), "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -214,7 +214,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
     texts = id_and_bytes(docs).withColumn("first_id", F.coalesce("doc_id", F.lit(NO_ID)))
     texts = texts.join(wanted.select("first_id").distinct(), "first_id").select("text")
     # Rows of equal ids may have other texts, and rows of equal texts come more than once.
-    sets = texts.mapInArrow(compute, "node long, shingles binary").dropDuplicates(["node"]).join(wanted.select("node"), "node", "left_semi")
+    sets = texts.mapInArrow(released(compute), "node long, shingles binary").dropDuplicates(["node"]).join(wanted.select("node"), "node", "left_semi")
     sets = stage(sets, "sets")
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int"))
     lead = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("node", "a"), "a")
@@ -240,7 +240,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, pe
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = lead.unionByName(other).repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return placed.mapInArrow(run, "a long, b long")
+    return placed.mapInArrow(released(run), "a long, b long")
 
 
 def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import batches, decoded, id_and_bytes, slices
+from ledgermill.llm.common import batches, decoded, id_and_bytes, released, slices
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, MARGIN = 64, 24
@@ -383,7 +383,7 @@ def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
                 found["spans"].append(joined(spans))
             yield batches(found, _FOUND)
 
-    return id_and_bytes(docs).mapInArrow(run, _COLUMNS)
+    return id_and_bytes(docs).mapInArrow(released(run), _COLUMNS)
 
 
 def masked(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
@@ -405,4 +405,4 @@ def masked(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
             new = pa.array([t if t is None else hidden(t, s) for t, (_, s) in zip(texts, spans)], batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), new)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import Remembered, batches, decoded, id_and_bytes, slices
+from ledgermill.llm.common import Remembered, batches, decoded, id_and_bytes, released, slices
 
 BITS = 20
 EDGES = ".,;:!?\"'()[]{}<>*_-"
@@ -188,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 3_000, **options)
     texts = texts.groupBy("draw", "doc_id").agg(F.first("text").alias("text"))
     chosen = texts.join(F.broadcast(wanted), ["draw", "doc_id"]).select("label", "copies", "text")
     schema = "label int, copies long, words array<int>, less array<int>, more array<int>"
-    found = chosen.mapInArrow(run, schema).toArrow().to_pandas()
+    found = chosen.mapInArrow(released(run), schema).toArrow().to_pandas()
     if not len(found):
         return fit(np.empty(0), [], [], [], **options)
     # The rows come in any order: sort them, so that sums and so weights are the same in every run.
@@ -203,10 +203,8 @@ class Scorer:
 
     def __init__(self, bias: float, weights: dict[int, float]):
         self.bias, self.weights = bias, weights
-        self.known = Remembered(self._weighted)
-
-    def _weighted(self, word: str) -> tuple[int, ...]:
-        return tuple(f for f in features(word) if f in self.weights)
+        # Not a method: the values would hold the scorer and the scorer them, and stay when a task is done.
+        self.known = Remembered(lambda word: tuple(f for f in features(word) if f in weights))
 
     def score(self, text: str) -> float:
         return float(sigmoid(self.bias + sum(self.weights[f] for f in sorted(features_of(text, self.known)))))
@@ -227,7 +225,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             found = [scorer.score(decoded(t.as_py())) for t in batch.column("text")]
             yield batches({"doc_id": batch.column("doc_id"), "score": found}, _SCORES)
 
-    scored = id_and_bytes(docs).mapInArrow(run, "doc_id long, score double")
+    scored = id_and_bytes(docs).mapInArrow(released(run), "doc_id long, score double")
     held_out = F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -242,4 +240,4 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> Data
             keep = [scorer.score(t.as_py() or "") < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
