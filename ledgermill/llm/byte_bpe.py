@@ -3,7 +3,8 @@
 The rank file becomes a BPE model over the byte-to-character mapping: every way to put a token together from two others
 is a merge, in the order of ranks; a piece that is itself a token is taken whole. The result equals that of a rank-based
 encoder. A text is cut where the split pattern must cut whatever stands further off (before a single space or line feed
-between visible characters, and after such a line feed); the pieces are encoded alone and remembered.
+between visible characters, after such a line feed, and between an ASCII letter and an ASCII character that is none); the
+pieces are encoded alone and remembered, and those that a text brings in new are encoded in one call.
 
 Decoding looks every id up in the byte table. A character can be split over tokens: the decoder keeps the open bytes and
 gives the character to the token that completes it, and bytes that never become a character read as U+FFFD.
@@ -19,15 +20,22 @@ import codecs
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgermill.llm.common import Remembered, batches, decoded, id_and_bytes, released, slices
+from ledgermill.llm.common import batches, decoded, id_and_bytes, released, slices
 
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
+# The pieces between certain cuts: mostly a word, found without looking for the other cuts; else up to the next of any sort.
+PIECE = re.compile(
+    r" ?[A-Za-z]++(?![^\x00-\x7F])"
+    r"|(?s:.+?)(?:(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)|(?<=[A-Za-z])(?=[\x00-@\[-`{-\x7F])|\Z)"
+)
+ROUND = 50_000  # pieces looked up, and if new encoded, at once
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 _DECODED = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
@@ -48,7 +56,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class ByteBpe:
     """Encoder and decoder for one rank file and split pattern."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
@@ -69,20 +77,28 @@ class ByteBpe:
         self.table = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.table[rank] = token
-        encode = self.tokenizer.encode
+        self.shown = list(map(str, range(len(self.table))))
+        self.pieces: dict[str, bytes] = {}
+        self.limit = limit
 
-        def encoded(piece: str) -> tuple[bytes, str]:  # not a method: pieces and encoder would hold each other
-            ids = encode(piece, add_special_tokens=False).ids
-            return np.array(ids, "<i4").tobytes(), ",".join(map(str, ids))
-
-        self.pieces = Remembered(encoded)
+    def remember(self, pieces: list[str]) -> None:
+        """Encode pieces that are not known, in one call; all others are forgotten where there would be too many."""
+        if len(self.pieces) + len(pieces) > self.limit:
+            self.pieces.clear()
+        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
+            self.pieces[piece] = array("i", found.ids).tobytes()
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """Ids, and the same ids as decimals joined by commas."""
-        if not text:
-            return np.empty(0, "<i4"), ""
-        found = list(map(self.pieces.__getitem__, SAFE_CUT.split(text)))
-        return np.frombuffer(b"".join([x[0] for x in found]), "<i4"), ",".join([x[1] for x in found])
+        pieces, found = PIECE.findall(text), []
+        for part in (pieces[start : start + ROUND] for start in range(0, len(pieces), ROUND)):
+            known = list(map(self.pieces.get, part))
+            if None in known:
+                self.remember(list({p for p, x in zip(part, known) if x is None}))
+                known = [self.pieces[p] if x is None else x for p, x in zip(part, known)]
+            found += known
+        ids = np.frombuffer(b"".join(found), "<i4")
+        return ids, ",".join(map(self.shown.__getitem__, ids.tolist()))
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.table.__getitem__, ids.tolist()))

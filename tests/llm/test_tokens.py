@@ -149,6 +149,15 @@ def test_texts_encode_as_by_ranks(byte_models):
     check()
 
 
+def test_signs_make_no_pieces_of_their_own_with_words():
+    bpe, plain = byte_bpe.ByteBpe(BYTE_RANKS, PATTERN, limit=4), rank_encoder(BYTE_RANKS)
+    text = "some words, some more: words. More some"
+    assert bpe.encode("some words, some words.")[0].tolist() == plain.encode_ordinary("some words, some words.")
+    assert set(bpe.pieces) == {"some", " words", ",", " some", "."}
+    assert bpe.encode(text)[0].tolist() == plain.encode_ordinary(text)
+    assert " words," not in bpe.pieces and len(bpe.pieces) <= 4 + 2  # forgotten, but for what the text brought in
+
+
 def test_offsets_of_split_characters(byte_models):
     bpe, _ = byte_models
     ids, _ = bpe.encode("a\U00012345b")
