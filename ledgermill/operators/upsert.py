@@ -51,20 +51,46 @@ class UpsertResult:
 
 
 DATES = "_dates"
+HAS, FLAGS = "_has_", 60
 HIDDEN = ("id", "id_bucket", "id_slice", DATES)
 
 
+def _flag(names: Collection[str], name: str) -> tuple[str, int]:
+    """Where the flag of a field is: the column, and its bit. A column holds the flags of ``FLAGS`` fields."""
+    place = sorted(names).index(name)
+    return f"{HAS}{place // FLAGS}", 1 << place % FLAGS
+
+
+def _flagged(rows: DataFrame) -> DataFrame:
+    """With ``_has`` as flags in whole numbers, which are cheaper to write, shuffle and test than the names; null stays null."""
+    names = _data(rows)
+    flags = {}
+    for name in names if "_has" in rows.columns else ():
+        column, bit = _flag(names, name)
+        flags.setdefault(column, []).append(F.when(F.array_contains("_has", F.lit(name)), bit).otherwise(0).cast("bigint"))
+    return rows.withColumns({c: F.when(F.col("_has").isNotNull(), reduce(Column.__add__, found)) for c, found in flags.items()})
+
+
+def _each(rows: DataFrame) -> bool:
+    return any(c.startswith(HAS) for c in rows.columns)
+
+
+def _data(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if not c.startswith("_") and c not in HIDDEN[1:]]
+
+
 class _Merge:
     """How the newest records of an id (``new``) and its stored row (``old``) become one row.
 
-    With ``_has`` each field has a newest record of its own; without, all fields in ``columns`` come from one record.
+    With flags of what each record has, a field has a newest record of its own; else all fields in ``columns`` come from one.
     ``tracked`` keeps the dates of fields that differ from the row's.
     """
 
     def __init__(self, stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool):
         self.names = [c for c in stored.columns if c not in HIDDEN]
         self.news = [n for n in self.names if n in columns]
-        self.each = "_has" in changes.columns
+        self.each = _each(changes)
+        self.carries = {n: _flag(_data(changes), n) for n in self.news if n in changes.columns}
         self.dated = "write_date" in self.names
         self.tracked = DATES in stored.columns
         self.arrival_wins = arrival_wins
@@ -80,7 +106,9 @@ class _Merge:
         found = {}
         if self.each:
             for n in self.news:
-                carried = F.when(fresh & F.array_contains("_has", F.lit(n)), F.struct(F.col(n).alias("value"), self.written.alias("at")))
+                column, bit = self.carries[n]
+                has = F.col(column).bitwiseAND(F.lit(bit).cast("bigint")) != 0
+                carried = F.when(fresh & has, F.struct(F.col(n).alias("value"), self.written.alias("at")))
                 found[f"_new_{n}"] = F.first(carried, ignorenulls=True).over(whole)
         else:
             found["_new"] = F.when(fresh, F.struct(*self.news, self.written.alias("_at")))
@@ -148,6 +176,7 @@ def merge_in_place(
     stored: DataFrame, changes: DataFrame, columns: Collection[str], arrival_wins: bool = False
 ) -> DataFrame:
     """The same as ``merge_rows`` for changes that fit a broadcast, which the caller has checked."""
+    changes = _flagged(changes)
     merge = _Merge(stored, changes, columns, arrival_wins)
     newest = merge.newest(changes, ["id", "id_bucket"]).withColumnRenamed("id", "_id")
     joined = stored.join(F.broadcast(newest.drop("id_bucket")), F.col("id") == F.col("_id"), "left")
@@ -164,6 +193,7 @@ def merge_rows(stored: DataFrame, changes: DataFrame, columns: Collection[str],
     the newest counts, field by field. A field older than the stored one is refused, unless arrival wins or either of the
     two has no date.
     """
+    changes = _flagged(changes)
     merge = _Merge(stored, changes, columns, arrival_wins)
     kept = [*merge.names, *([DATES] if merge.tracked else [])]
     both = (
@@ -231,7 +261,7 @@ def restore(store: TableStore, name: str, copy_path: str) -> None:
 
 def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str) -> Staged:
     """The batch in scratch files, with its facts; the set of ranges is bounded by their number, not by the rows."""
-    rows = _placed(changes, bucket_width, slice_width)
+    rows = _placed(_flagged(changes), bucket_width, slice_width)
     facts = [
         F.count("id").alias("records"),
         F.max("id").alias("last_id"),
@@ -243,12 +273,13 @@ def _stage(changes: DataFrame, bucket_width: int, slice_width: int, label: str)
         facts.append(F.max("write_date").alias("newest"))
     if "_batch" in rows.columns:
         facts.append(F.max("_batch").alias("last_batch"))
-    if "_has" in rows.columns:
-        facts += [F.min("_has").alias("has_low"), F.max("_has").alias("has_high")]
+    for c in rows.columns:
+        if c.startswith(HAS):
+            facts += [F.min(c).alias(f"low {c}"), F.max(c).alias(f"high {c}")]
     if "_bad" in rows.columns:
         fields = [c for c in changes.columns if not c.startswith("_")]
         facts += [F.count_if(F.array_contains("_bad", F.lit(f))).alias(f"bad {f}") for f in fields]
-    return Staged(rows, label, facts, unwritten=["_bad"])
+    return Staged(rows, label, facts, unwritten=["_bad", "_has"])
 
 
 def _result(facts: dict) -> UpsertResult:
@@ -260,22 +291,24 @@ def _result(facts: dict) -> UpsertResult:
 
 
 def _carried(rows: DataFrame, facts: dict) -> tuple[DataFrame, Collection[str] | None]:
-    """The records with an id, and the fields that all of them carry; None where a record has its own in ``_has``, or all."""
-    rows = rows.where("id is not null")
-    if "_has" in rows.columns and facts["has_low"] != facts["has_high"]:
+    """The records with an id, and the fields that all of them carry; None where a record has flags of its own, or all."""
+    rows, columns = rows.where("id is not null"), [c for c in rows.columns if c.startswith(HAS)]
+    if any(facts[f"low {c}"] != facts[f"high {c}"] for c in columns):
         return rows, None
-    return rows.drop("_has"), facts["has_high"] if "_has" in rows.columns else None
+    names = _data(rows)
+    places = {n: _flag(names, n) for n in names} if columns and facts[f"high {columns[0]}"] is not None else {}
+    return rows.drop(*columns), [n for n, (c, bit) in places.items() if facts[f"high {c}"] & bit] if places else None
 
 
 def _limited(rows: DataFrame, slice_width: int, arrival_wins: bool = False) -> DataFrame:
-    """The rows, or where one id has more than a slice may hold, the newest per id and set of fields.
+    """The rows, or where one id has more than a slice may hold, the newest per id and set of flags.
 
     The sketch reads the ids alone. The limit acts in the tasks that read the rows, before their shuffle.
     """
     top = rows.agg(F.expr("approx_top_k(id, 1, 10000)").alias("top")).first()["top"]
     if not top or top[0]["count"] <= slice_width:
         return rows
-    keys = ["id", "_has"] if "_has" in rows.columns else ["id"]
+    keys = ["id", *[c for c in rows.columns if c.startswith(HAS)]]
     return latest_per_key(rows, keys, newest_first(rows.columns, arrival_wins))
 
 
@@ -319,7 +352,7 @@ def upsert(
         rows, carried = _carried(rows, staged.facts)
         columns = [c for c in columns if carried is None or c in carried or c == "id"]
         if facts.records:
-            new_info = replace(new_info, schema=_with_dates(new_info.schema, None if "_has" in rows.columns else columns))
+            new_info = replace(new_info, schema=_with_dates(new_info.schema, None if _each(rows) else columns))
         if info is None or new_info != info:
             store.describe(spec.name, replace(new_info, change=new_info.change + 1))
         if not facts.records:
@@ -350,7 +383,7 @@ def rebuild(store: TableStore, spec: TableSpec, rows: DataFrame) -> UpsertResult
         facts = _result(staged.facts)
         rows, carried = _carried(staged.rows, staged.facts)
         columns = [c for c in data if carried is None or c in carried or c == "id"]
-        fresh = replace(fresh, schema=_with_dates(fresh.schema, None if "_has" in rows.columns else columns))
+        fresh = replace(fresh, schema=_with_dates(fresh.schema, None if _each(rows) else columns))
         path = store.data_path(spec.name, fresh)
         _write(first_rows(_limited(rows, fresh.slice_width), store.empty(fresh), columns), path)
     store.describe(spec.name, fresh)

@@ -12,7 +12,7 @@ from ledgermill.operators.dedupe import dedupe_latest
 from ledgermill.operators.sizes import row_bytes
 from ledgermill.operators.store import TableStore, range_of
 import ledgermill.operators.upsert as upsert_module
-from ledgermill.operators.upsert import merge_in_place, merge_rows, rebuild, restore, upsert
+from ledgermill.operators.upsert import _stage, merge_in_place, merge_rows, rebuild, restore, upsert
 from ledgermill.session import local_frame
 from ledgermill.specs import TableSpec
 
@@ -265,6 +265,23 @@ def test_a_field_is_refused_by_its_own_date(spark, store, both_ways):
     assert table(store) == {1: ("x", 1.0, DAY(3))}
 
 
+def test_what_records_carry_is_staged_as_flags(spark, store, both_ways):
+    """One whole number for 60 fields and not their names, which were written, shuffled and searched for every field."""
+    names = [f"note{n}" for n in range(70)]
+    spec = TableSpec("wide", ("id", "write_date", *names))
+    schema = "id bigint, write_date timestamp_ntz, " + ", ".join(f"{n} string" for n in names) + ", _batch bigint, _has array<string>"
+    one = lambda day, n, has: (1, DAY(day), *[f"{n}{day}"] * 70, day, has)
+    rows = local_frame(spark, [one(1, "a", None), one(2, "b", ["id", "note0", "write_date"]), one(3, "c", ["id", "note69", "write_date"])], schema)
+    with _stage(rows.drop("_batch"), 1_000_000, 100_000, "flags") as staged:
+        kinds = {f.name: f.dataType.simpleString() for f in staged.rows.schema.fields if f.name.startswith("_")}
+    assert kinds == {"_has_0": "bigint", "_has_1": "bigint"}
+    upsert(store, spec, local_frame(spark, [one(0, "s", sorted(["id", "write_date", *names]))], schema))
+    upsert(store, spec, rows)
+    found = store.read(spec).first()
+    assert [found[n] for n in ("note0", "note1", "note68", "note69")] == ["b2", "s0", "s0", "c3"]
+    assert found["write_date"] == DAY(3)
+
+
 def test_whole_records_keep_no_dates(spark, store, both_ways):
     for day in range(2):
         upsert(store, SPEC, batch(spark, (1, "a", 1.0, day, day)))
